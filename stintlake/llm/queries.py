@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stintlake.llm import bpe, fingerprint, language, media, quality, toxicity
+from stintlake.llm import bpe, fingerprint, language, media, mixing, quality, secrets, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,9 +31,17 @@ def op6_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
 
+def op7_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(_table(spark, sf_dir, "documents"))
+
+
+def op8_mixing_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_machine, op2_scaled_sketch, op4_mpeg_audio, op5_bpe_segment_tree, op6_language_centroids, op10_toxicity_subwords)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_quality_machine, op2_scaled_sketch, op4_mpeg_audio, op5_bpe_segment_tree, op6_language_centroids, op7_secret_battery, op8_mixing_tree, op10_toxicity_subwords)}
+ORACLES: dict[str, str] = {"op8_mixing_tree": mixing.ORACLE_SQL}
