@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stintlake.llm import bpe, fingerprint, language, media, mixing, quality, secrets, toxicity
+from stintlake.llm import bpe, fingerprint, language, media, mixing, near_dedup, quality, secrets, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_next(_table(spark, sf_dir, "documents"))
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.find(_table(spark, sf_dir, "documents"))
+
+
 def op4_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digest(_table(spark, sf_dir, "documents"))
 
@@ -43,5 +47,5 @@ def op10_toxicity_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_machine, op2_scaled_sketch, op4_mpeg_audio, op5_bpe_segment_tree, op6_language_centroids, op7_secret_battery, op8_mixing_tree, op10_toxicity_subwords)}
+QUERIES = {f.__name__: f for f in (op1_quality_machine, op2_scaled_sketch, op3_order_minhash, op4_mpeg_audio, op5_bpe_segment_tree, op6_language_centroids, op7_secret_battery, op8_mixing_tree, op10_toxicity_subwords)}
 ORACLES: dict[str, str] = {"op8_mixing_tree": mixing.ORACLE_SQL}
