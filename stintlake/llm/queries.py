@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stintlake.llm import bpe, fingerprint, language, media, mixing, near_dedup, quality, secrets, toxicity
+from stintlake.llm import bpe, fingerprint, language, media, mixing, near_dedup, quality, secrets, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,9 +43,13 @@ def op8_mixing_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(_table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_machine, op2_scaled_sketch, op3_order_minhash, op4_mpeg_audio, op5_bpe_segment_tree, op6_language_centroids, op7_secret_battery, op8_mixing_tree, op10_toxicity_subwords)}
+QUERIES = {f.__name__: f for f in (op1_quality_machine, op2_scaled_sketch, op3_order_minhash, op4_mpeg_audio, op5_bpe_segment_tree, op6_language_centroids, op7_secret_battery, op8_mixing_tree, op9_repeated_bytes, op10_toxicity_subwords)}
 ORACLES: dict[str, str] = {"op8_mixing_tree": mixing.ORACLE_SQL}
