@@ -91,7 +91,7 @@ def front_fill_range(df: DataFrame, key: str, date: str, start: str, end: str) -
     rest = [c for c in df.columns if c not in (key, date)]
     first = df.groupBy(key).agg(F.min(F.struct(F.col(date).alias("_d"), *rest)).alias("_x"))
     days = F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day")))
-    added = first.select(key, *[F.col(f"_x.{c}").alias(c) for c in rest], days.cast(df.schema[date].dataType).alias(date))
+    added = first.select(key, *[F.col(f"_x.{c}").alias(c) for c in rest], days.alias(date)).withColumn(date, F.col(date).cast(df.schema[date].dataType))
     return df.unionByName(added.select(*df.columns))
 
 

@@ -253,7 +253,8 @@ def value_history(docs: DataFrame, scrape_date: str) -> DataFrame:
         own = rows if not s.endswith("pos_rank") else rows.where(~F.col("position").eqNullSafe(F.lit("RDP")))
         part = own.select(*ids, F.lit(s).alias("_s"), F.posexplode(s).alias("_i", "_p"))
         tagged = part if tagged is None else tagged.union(part)
-    day = F.coalesce(F.try_to_date("_p.d", "yyMMdd"), F.try_to_date("_p.d", "yyyy-MM-dd"))
+    century = F.when(F.substring("_p.d", 1, 2) >= "69", "19").otherwise("20")  # two-digit years: 1969 to 2068
+    day = F.coalesce(F.when(F.length("_p.d") == 6, F.try_to_date(F.concat(century, "_p.d"), "yyyyMMdd")), F.try_to_date("_p.d", "yyyy-MM-dd"))
     last = lambda s: F.max_by(F.when(F.col("_s") == s, F.col("_p.v")), F.when(F.col("_s") == s, F.col("_i")))
     return tagged.groupBy(*ids, day.alias("ranking_date")).agg(*[last(s).cast(t).alias(s) for s, t in series.items()]).withColumn("scrape_date", F.lit(scrape_date).cast("date"))
 

@@ -40,7 +40,7 @@ def query(sql: str | None = None, **views: str) -> Callable:
             body = sql.strip()
             if head:
                 body = f"WITH {head}, {body[4:].lstrip()}" if body[:4].upper() == "WITH" else f"WITH {head} {body}"
-            ORACLES[fn.__name__] = plain(body)
+            ORACLES[fn.__name__] = plain(body).replace("@@", "{}")  # @@ stands for the braces of format()
         return fn
 
     return add
