@@ -337,6 +337,8 @@ class _Table(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "table" and self.depth:
             self.depth -= 1
+        elif tag in ("thead", "tbody"):
+            self.part = self.row = self.cell = None
         elif tag in ("td", "th", "tr"):
             self.cell = self.link = None
         elif tag == "a":
