@@ -119,12 +119,13 @@ def take(docs: DataFrame) -> DataFrame:
     state, few = cut_points(rows)
     source = F.coalesce("source", F.lit(""))
     domain = F.coalesce("domain", F.lit("")) if "domain" in docs.columns else domain_of(source)
-    keyed = docs.withColumns({"_domain": domain, "_lang": F.coalesce("lang", F.lit("")), "_source": source})
+    # the row travels as one struct, so its columns may have any names
+    keyed = docs.select("doc_id", domain.alias("_domain"), F.coalesce("lang", F.lit("")).alias("_lang"), source.alias("_source"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     state = state.toDF("_domain", "_lang", "_source", "_full", "_cut")
     joined = keyed.join(F.broadcast(state) if few else state, ["_domain", "_lang", "_source"])
     copies = F.col("_full") + F.coalesce((order_key(F.col("_full")) <= F.col("_cut")).cast("long"), F.lit(0))
     again = joined.withColumn("_copies", copies).where("_copies > 0")
-    return again.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    return again.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("row.*")
 
 
 _TREE = ", ".join(LEVELS)

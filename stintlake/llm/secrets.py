@@ -100,7 +100,7 @@ def _battery(df: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """All columns of docs, with _base and _all: arrays of (start, end, k, t), by start and kind."""
+    """docs with _base and _all: arrays of (start, end, k, t), by start and kind. Takes names with _."""
     df = docs.withColumn("_text", F.coalesce("text", F.lit("")))
     df = df.withColumns({f"_{k}": F.regexp_extract_all("_text", F.lit(p), F.lit(0)) for k, p in PATTERNS.items()})
     df = df.withColumns({f"_{k}": _spans("_text", k) for k in KINDS})
@@ -146,7 +146,9 @@ def redact(docs: DataFrame) -> DataFrame:
         ),
         lambda a: F.concat(a["out"], F.substr(F.col("_text"), a["at"] + 1, F.length("_text"))),
     )
-    out = scan(docs).withColumn("text", F.when(F.size("_all") > 0, cut).otherwise(F.col("text")))
+    # the row travels as one struct, so its columns may have any names
+    found = scan(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), "text")).withColumn("_new", F.when(F.size("_all") > 0, cut).otherwise(F.col("text")))
+    new = {"text": F.col("_new")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_all") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(F.size("_all") > 0, F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
