@@ -10,7 +10,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stintlake.llm import bpe, mixing, near_dedup, quality, scratch, secrets
+from stintlake.llm import bpe, mixing, near_dedup, quality, scratch, secrets, textops
+
+
+def _small_batches(stage: Callable) -> Callable:
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        textops.small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +47,11 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_classifier", quality_classifier),
-    ("near_duplicates", near_duplicates),
-    ("secret_scan", secret_scan),
-    ("mix_sources", mix_sources),
-    ("tokens", tokens),
+    ("quality_classifier", _small_batches(quality_classifier)),
+    ("near_duplicates", _small_batches(near_duplicates)),
+    ("secret_scan", _small_batches(secret_scan)),
+    ("mix_sources", _small_batches(mix_sources)),
+    ("tokens", _small_batches(tokens)),
 ]
 #: No SQL: the classifier and the tokens have none. Tests compare the stages with brute force.
 ORACLE_SQL = None

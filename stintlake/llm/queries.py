@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stintlake.llm import bpe, fingerprint, language, media, mixing, near_dedup, quality, secrets, substring_dedup, toxicity
+from stintlake.llm import bpe, fingerprint, language, media, mixing, near_dedup, quality, secrets, substring_dedup, textops, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    textops.small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

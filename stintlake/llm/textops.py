@@ -1,7 +1,7 @@
 """Vectorised work on Arrow batches of text: words, shingles and hashes without a loop over rows.
 
 Every function takes the UTF-8 bytes of several documents as one buffer with offsets. Null texts
-count as empty. A batch is cut into slices of a few megabytes, so the memory of a task does not
+count as empty. A batch is cut into slices of half a megabyte, so the memory of a task does not
 depend on how many rows Spark puts into an Arrow batch; one document is never cut.
 """
 
@@ -12,15 +12,22 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
+BATCH_ROWS = 1000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[int, np.ndarray] = {}
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Fewer rows in an Arrow batch than Spark's 10 000: documents are long, and each running task holds
+    some batches in the JVM and in Python. Holds for the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def byte_table(seed: int, fold: bool = False) -> np.ndarray:
     """A random 64-bit word for each byte; fold gives ASCII capitals the word of the small letter."""
     table = np.random.default_rng(seed).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -111,7 +118,7 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, n: int, size: int = 5) -> tup
     count = np.diff(at)
     out = np.zeros(len(hashes), dtype=np.uint64)
     weights = mix(np.arange(1, size + 1, dtype=np.uint64)) | np.uint64(1)
-    for k in range(size):
+    for k in range(min(size, len(hashes))):
         out[: len(hashes) - k] += hashes[k:] * weights[k]
     left = at[1:][rows] - np.arange(len(rows))  # words from here to the row's end
     keep = left >= size
