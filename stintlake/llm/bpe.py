@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 
 #: How the vocabulary's pre-tokenizer cuts text (a fixed value of the byte-level format).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_WORDS, CACHE_BYTES = 400_000, 64
+CACHE_WORDS, CACHE_BYTES = 250_000, 64
 
 
 def default_path() -> str:
