@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,6 +118,20 @@ def _identity() -> list[Column]:
     return [F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("id"), F.xxhash64(text, F.length(text)).alias("tx")]
 
 
+def _packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """columns, id, tx and the compressed text: texts go through two shuffles."""
+    rows = docs.select(*columns, *_identity(), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for k in range(0, len(batch), 512):
+                part = batch.slice(k, 512)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array([squeeze.compress(x) for x in part.columns[-1].to_pylist()], pa.binary())], names=part.schema.names)
+
+    return rows.mapInArrow(pack, rows.schema)
+
+
 def _sampled(docs: DataFrame) -> DataFrame:
     def sample(kept, data, at):
         row, first, last, anchor, covered = anchored(data, at)
@@ -131,13 +146,16 @@ def _sampled(docs: DataFrame) -> DataFrame:
 def _examples(kinds: DataFrame, docs: DataFrame) -> DataFrame:
     """Adds the covered bytes to the examples of each kind."""
     by_doc = kinds.groupBy("id", "tx").agg(F.collect_list(F.struct("anchor", "covered", "n", "kinds", "first", "last")).alias("list"))
-    texts = docs.select(*_identity(), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    texts = _packed(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for k in range(0, len(batch), 64):
                 part = batch.slice(k, 64)
-                flat = [(x["anchor"], x["covered"], x["n"], x["kinds"], i, t, x["first"], text[x["first"] : x["last"] + LENGTH]) for i, t, rows, text in zip(*(c.to_pylist() for c in part.columns), strict=True) for x in rows]
+                ids, tx, rows, texts = (c.to_pylist() for c in part.columns)
+                texts = [unpack.decompress(t) for t in texts]
+                flat = [(x["anchor"], x["covered"], x["n"], x["kinds"], i, t, x["first"], text[x["first"] : x["last"] + LENGTH]) for i, t, own, text in zip(ids, tx, rows, texts, strict=True) for x in own]
                 types = [pa.int64()] * 6 + [pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*flat, strict=True)), types, strict=True)], names=["anchor", "covered", "n", "kinds", "id", "tx", "first", "bytes"])
 
@@ -229,15 +247,17 @@ def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes) of every row."""
     spans = keep(repeated_spans(docs))
     by_doc = spans.groupBy("id", "tx").agg(F.collect_list(F.struct("low", "high")).alias("list"))
-    texts = docs.select("doc_id", *_identity(), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    texts = _packed(docs, "doc_id")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for k in range(0, len(batch), 256):
                 part = batch.slice(k, 256)
                 rows = []
-                for text, spans in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                for packed, spans in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                    text = unpack.decompress(packed)
                     cover = _cover(np.array([s["low"] for s in spans]), np.array([s["high"] for s in spans])) if spans else []
                     ends = [0, *[x for c in cover for x in c], len(text)]
                     kept = b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True))
