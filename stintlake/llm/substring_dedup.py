@@ -17,12 +17,12 @@ common prefixes, but over suffixes sampled by content and with symbols of SYMBOL
    to its anchor's task. The starts of all examples are one interleave, refined from the last symbol of
    a string to its first by stable bucket passes, which is the order of their 400-byte prefixes.
    Neighbours with all symbols in common form repeated intervals.
-4. An anchor with more than HOT_KINDS kinds is not merged in one task: the hashes of its strings are
+4. An anchor that stands in more than HOT_TIMES rows is not merged in one task: the hashes of its strings are
    counted by Spark instead, with the same result.
 
 Null texts count as empty. Repeated rows are repeats of each other. Documents shorter than 400 bytes
 stay whole. An empty table gives an empty result. Only doc_id and text are read. Memory of a task is a
-few times its largest document, or HOT_KINDS kinds of less than 800 bytes.
+few times its largest document, or HOT_TIMES strings of less than 800 bytes.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from stintlake.llm import textops as T
 from stintlake.llm.scratch import keep
 
-LENGTH, GRAM, SYMBOL, HOT_KINDS = 400, 50, 100, 4096
+LENGTH, GRAM, SYMBOL, HOT_TIMES = 400, 50, 100, 4096
 _LOW = np.uint64((1 << 31) - 1)  # the low bits of an ordered gram hold its place
 
 
@@ -145,7 +145,7 @@ def _sampled(docs: DataFrame) -> DataFrame:
 
 def _examples(kinds: DataFrame, docs: DataFrame) -> DataFrame:
     """Adds the covered bytes to the examples of each kind."""
-    by_doc = kinds.groupBy("id", "tx").agg(F.collect_list(F.struct("anchor", "covered", "n", "kinds", "first", "last")).alias("list"))
+    by_doc = kinds.groupBy("id", "tx").agg(F.collect_list(F.struct("anchor", "covered", "n", "first", "last")).alias("list"))
     texts = _packed(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,12 +155,12 @@ def _examples(kinds: DataFrame, docs: DataFrame) -> DataFrame:
                 part = batch.slice(k, 64)
                 ids, tx, rows, texts = (c.to_pylist() for c in part.columns)
                 texts = [unpack.decompress(t) for t in texts]
-                flat = [(x["anchor"], x["covered"], x["n"], x["kinds"], i, t, x["first"], text[x["first"] : x["last"] + LENGTH]) for i, t, own, text in zip(ids, tx, rows, texts, strict=True) for x in own]
-                types = [pa.int64()] * 6 + [pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*flat, strict=True)), types, strict=True)], names=["anchor", "covered", "n", "kinds", "id", "tx", "first", "bytes"])
+                flat = [(x["anchor"], x["covered"], x["n"], i, t, x["first"], text[x["first"] : x["last"] + LENGTH]) for i, t, own, text in zip(ids, tx, rows, texts, strict=True) for x in own]
+                types = [pa.int64()] * 5 + [pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*flat, strict=True)), types, strict=True)], names=["anchor", "covered", "n", "id", "tx", "first", "bytes"])
 
     joined = by_doc.join(texts, ["id", "tx"]).select("id", "tx", "list", "text")
-    return joined.mapInArrow(cut, "anchor long, covered long, n long, kinds long, id long, tx long, first int, bytes binary")
+    return joined.mapInArrow(cut, "anchor long, covered long, n long, id long, tx long, first int, bytes binary")
 
 
 _SPANS = "id long, tx long, low int, high int"
@@ -193,7 +193,7 @@ def _merged(examples: DataFrame, batch_bytes: int = 1 << 20) -> DataFrame:
         if held:
             yield solve(held)
 
-    return examples.drop("kinds").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _SPANS)
+    return examples.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _SPANS)
 
 
 def _counted(examples: DataFrame) -> DataFrame:
@@ -203,13 +203,13 @@ def _counted(examples: DataFrame) -> DataFrame:
         for batch in batches:
             for k in range(0, len(batch), 256):
                 part = batch.slice(k, 256)
-                data, at = T.buffers(part.column(7))
+                data, at = T.buffers(part.column(6))
                 row = np.repeat(np.arange(len(part)), np.diff(at) - LENGTH + 1)
                 count = np.diff(at) - LENGTH + 1
                 inside = np.arange(len(row)) - np.repeat(np.append(0, np.cumsum(count)[:-1]), count)
                 start = at[row] + inside
                 take = lambda i: part.column(i).to_numpy()[row]  # noqa: E731, B023
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (take(0), take(1), take(2), take(4), take(5), (take(6) + inside).astype(np.int32), T.span_hash(T.prefix_hash(data), start, start + LENGTH).view(np.int64))], names=["anchor", "covered", "n", "id", "tx", "low", "hash"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (take(0), take(1), take(2), take(3), take(4), (take(5) + inside).astype(np.int32), T.span_hash(T.prefix_hash(data), start, start + LENGTH).view(np.int64))], names=["anchor", "covered", "n", "id", "tx", "low", "hash"])
 
     rows = keep(examples.dropDuplicates(["anchor", "covered"]).mapInArrow(explode, "anchor long, covered long, n long, id long, tx long, low int, hash long"))
     twice = keep(rows.groupBy("anchor", "hash").count().where("count > 1").select("anchor", "hash"))
@@ -219,15 +219,18 @@ def _counted(examples: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(id, tx, low, high): starts low..high of the document are starts of repeated strings."""
     rows = keep(_sampled(docs))
-    kinds = keep(rows.groupBy("anchor", "covered").agg(F.count("*").alias("n")))
-    several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    open_kinds = keep(kinds.join(several, "anchor").where("n > 1 OR kinds > 1"))
-    known = keep(rows.join(open_kinds, ["anchor", "covered"]))
-    whole = known.where("n > 1").select("id", "tx", F.col("first").alias("low"), F.col("last").alias("high"))
-    examples = known.where("kinds > 1").dropDuplicates(["anchor", "covered"])
-    spans = whole.union(_merged(_examples(examples.where(F.col("kinds") <= HOT_KINDS), docs)))
-    if open_kinds.where(F.col("kinds") > HOT_KINDS).limit(1).count():
-        spans = spans.union(_counted(_examples(examples.where(F.col("kinds") > HOT_KINDS), docs)))
+    seen = rows.groupBy("anchor").agg(F.count("*").alias("times"), F.min("covered").alias("_low"), F.max("covered").alias("_high")).where("times > 1")
+    anchors = keep(seen.select("anchor", "times", (F.col("_low") != F.col("_high")).alias("mixed")))
+    known = keep(rows.join(anchors, "anchor"))
+    span = ["id", "tx", F.col("first").alias("low"), F.col("last").alias("high")]
+    mixed = known.where("mixed")
+    example = [F.first(c).alias(c) for c in ("times", "id", "tx", "first", "last")]  # all of one row
+    kinds = keep(mixed.groupBy("anchor", "covered").agg(F.count("*").alias("n"), *example))
+    again = mixed.join(kinds.where("n > 1").select("anchor", "covered"), ["anchor", "covered"])
+    spans = known.where("NOT mixed").select(*span).union(again.select(*span))
+    spans = spans.union(_merged(_examples(kinds.where(F.col("times") <= HOT_TIMES), docs)))
+    if kinds.where(F.col("times") > HOT_TIMES).limit(1).count():
+        spans = spans.union(_counted(_examples(kinds.where(F.col("times") > HOT_TIMES), docs)))
     return spans
 
 

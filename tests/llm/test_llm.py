@@ -352,7 +352,7 @@ def brute_repeats(texts):
 
 @pytest.mark.parametrize("hot", [4096, 1])
 def test_repeats_against_brute_force(spark, corpus, hot, monkeypatch):
-    monkeypatch.setattr(substring_dedup, "HOT_KINDS", hot)
+    monkeypatch.setattr(substring_dedup, "HOT_TIMES", hot)
     rng = random.Random(12)
     passage = " ".join(words(rng, 120))
     texts = [t for t in corpus[:-1]] + [" ".join(words(rng, 50)) + passage[k * 7 : 560 + k * 11] + " ".join(words(rng, 50)) for k in range(8)]
