@@ -11,6 +11,10 @@ similarity of the word sequences, 1 - distance / longer length, is SIMILARITY or
 follows the furthest-reaching points within the band that the threshold allows. Members that are not
 similar to their leader get another chance: they are bucketed again by pairs of the entries they were
 left with, so that those which agree on two entries meet without the leaders that stood between them.
+What then still belongs to different classes within a bucket is compared pair by pair, so that all pairs
+which agree on an entry are either compared or already in one class. Only pairs whose numbers of words or
+bags of words rule the threshold out (lower bounds of the edit distance) are spared the alignment. Large
+buckets are cut into blocks, and each pair of blocks is a group of its own.
 
 Equal texts are one node from the start. Classes are the connected components of the links.
 
@@ -22,6 +26,7 @@ keep_one keeps all columns.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +41,8 @@ from stintlake.llm.scratch import keep
 SHINGLE, SAMPLES, PICKS, SIMILARITY = 5, 24, 2, 0.8
 #: Rows of a file of the stored tables.
 FILE_ROWS = 500_000
+#: Bins of a bag of words, and the nodes of a bucket that are met as one block.
+BINS, BLOCK = 256, 1000
 _seed = np.random.default_rng(1905)
 _XOR = _seed.integers(0, 1 << 64, SAMPLES, dtype=np.uint64)
 _TIMES = _seed.integers(0, 1 << 64, SAMPLES, dtype=np.uint64) | np.uint64(1)
@@ -174,6 +181,58 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return whole.select("node", "leader", "a", "b").mapInArrow(align, "node long, leader long, holds boolean")
 
 
+def _bags(docs: DataFrame) -> DataFrame:
+    """node, number of words and word counts in BINS bins (up to 255 each) of every row."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, bags = [], []
+            for text in batch.column(1):
+                found = (text.as_py() or "").split()  # the words that within() compares
+                size.append(len(found))
+                bags.append(np.minimum(np.bincount(np.array([zlib.crc32(w.encode()) % BINS for w in found], np.int64), minlength=BINS), 255).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int32()), pa.array(bags, pa.binary())], names=["node", "size", "bag"])
+
+    return docs.mapInArrow(count, "node long, size int, bag binary")
+
+
+def possible(size: np.ndarray, bag: np.ndarray, root: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows from different roots that within() could accept; of two parts, only pairs across."""
+    order = np.argsort(size, kind="stable")
+    size, bag, root, part = size[order], bag[order].astype(np.int16), root[order], part[order]
+    two, left, right = part.min() != part.max(), [], []
+    allowed = ((1 - SIMILARITY) * size + 1e-9).astype(np.int64)  # of the pair's longer text
+    first = np.searchsorted(size, size - allowed)
+    for k in range(1, len(size)):
+        at = np.arange(first[k], k)
+        at = at[(root[at] != root[k]) & ((part[at] != part[k]) | (not two))]
+        if len(at):
+            more = bag[k] - bag[at]
+            over = np.maximum(more, 0).sum(1)
+            at = at[np.maximum(over, over - more.sum(1)) <= allowed[k]]
+            left.append(np.full(len(at), k))
+            right.append(at)
+    none = [np.zeros(0, np.int64)]
+    return order[np.concatenate(left or none)], order[np.concatenate(right or none)]
+
+
+def _rest(buckets: DataFrame, mixed: DataFrame, roots: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, leader) of all pairs within the mixed buckets that are in different classes and could be similar."""
+    members = keep(buckets.join(mixed, "key", "left_semi").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
+    blocks = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 2").select((F.col("key") + F.lit(0)).alias("key"), F.ceil(F.col("n") / BLOCK).alias("n"))
+    cut = members.join(blocks, "key").withColumn("part", F.pmod(F.xxhash64("node"), "n")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    texts = docs.select(_key().alias("node"), "text").join(members.select("node").distinct(), "node", "left_semi")
+    met = cut.join(keep(_bags(texts)), "node").select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "root", "size", "bag")
+
+    def pair(groups: pa.Table) -> pa.Table:
+        column = {c: groups.column(c).to_numpy() for c in ("node", "root", "size", "part")}
+        data, _ = T.buffers(groups.column("bag"))
+        a, b = (column["node"][x] for x in possible(column["size"], data.reshape(-1, BINS), column["root"], column["part"]))
+        return pa.table({"node": np.maximum(a, b), "leader": np.minimum(a, b)})
+
+    return met.groupBy("key", "low", "high").applyInArrow(pair, "node long, leader long").distinct()
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """(id, class_id, rows) for every id: its class and the number of rows that share the id."""
     rows = keep(_sketched(docs))
@@ -190,7 +249,14 @@ def classes(docs: DataFrame) -> DataFrame:
     pairs = keep(pairs)
     again = pairs.join(_leaders(pairs), "key").where("node != leader").select("node", "leader").distinct()
     second = _verify(again.join(first, ["node", "leader"], "left_anti"), docs)
-    links = first.union(second).where("holds").select("node", "leader")
+    done = keep(first.union(second).coalesce(SAMPLES * files))
+    # all pairs of the buckets whose members are not in one class yet
+    roots = keep(components(done.where("holds").select("node", "leader")).coalesce(files))
+    top = roots.select(F.col("node").alias("leader"), F.col("root").alias("top"))
+    apart = done.where("NOT holds").join(roots, "node", "left").join(top, "leader", "left").where("coalesce(root, node) != coalesce(top, leader)")
+    mixed = met.join(apart.select("node", "leader"), ["node", "leader"], "left_semi").select("key").distinct()
+    third = _verify(_rest(buckets, mixed, roots, docs).join(done, ["node", "leader"], "left_anti"), docs)
+    links = done.union(third).where("holds").select("node", "leader")
     # rows with one id but several texts are one document
     ids = rows.join(copies, "same").select("id", "node").distinct()
     roots = components(links.union(ids.where("id != node").select("id", "node")))

@@ -207,6 +207,43 @@ def test_near_duplicates_against_brute_force(spark, corpus):
     assert near_dedup.find(docs.limit(0)).count() == 0 and near_dedup.keep_one(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [1000, 7])
+def test_one_bucket_is_compared_whole(spark, monkeypatch, block):
+    """Chains whose links do not go through the least document, and a templated group, all in the same two buckets."""
+    rng = random.Random(11)
+    w = [f"{x}{k}" for k, x in enumerate(words(rng, 100))]
+    texts = [w, w[:90], w[:78]]  # L-A and A-B hold, L-B does not
+    v = [f"{x}-{k}" for k, x in enumerate(words(rng, 124))]
+    texts += [v[:100], v[8:108], v[16:116], v[24:124]]  # only neighbours hold: each end may lead, the middle is linked to neither
+    template = [f"{x}+{k}" for k, x in enumerate(words(rng, 70))]
+    for k in range(24):  # 8 groups of three that share 70 of 100 words
+        own = random.Random(k % 8)
+        texts.append(template + [f"{x}_{k % 8}" for x in words(own, 26)] + [f"{x}_{k}" for x in words(rng, 4)])
+    order = list(range(len(texts)))
+    texts = [texts[k] for k in (0, 1, 2, 3, 6, 4, 5, *order[7:])]
+    monkeypatch.setattr(near_dedup, "BLOCK", block, raising=False)
+    monkeypatch.setattr(near_dedup, "_entries", lambda nodes: nodes.select("node", F.explode(F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))).alias("key")))
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.find(make(spark, [" ".join(t) for t in texts])).collect()}
+    similar = [(i, j) for i in order for j in range(i) if 1 - edit_distance(texts[i], texts[j]) / max(len(texts[i]), len(texts[j])) >= 0.8 - 1e-12]
+    expected = list(order)
+    for _ in order:
+        for i, j in similar:
+            expected[i] = expected[j] = min(expected[i], expected[j])
+    assert expected[:7] == [0, 0, 0, 3, 3, 3, 3] and len(set(expected)) == 10
+    assert got == dict(enumerate(expected))
+
+
+def test_spared_pairs_are_never_similar():
+    rng = random.Random(13)
+    split = [[str(rng.randrange(12)) for _ in range(rng.randrange(0, 30))] for _ in range(60)]
+    split += [[x for x in t if rng.random() > 0.1] for t in split for _ in range(2)]
+    bags = np.array([np.bincount(np.array([zlib.crc32(x.encode()) % 256 for x in t], np.int64), minlength=256) for t in split]).astype(np.uint8)
+    size, n = np.array([len(t) for t in split]), len(split)
+    a, b = near_dedup.possible(size, bags, np.arange(n), np.zeros(n, np.int64))
+    met = {frozenset(p) for p in zip(a.tolist(), b.tolist(), strict=True)}
+    assert {frozenset((i, j)) for i in range(n) for j in range(i) if near_dedup.within(split[i], split[j])} <= met
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 30)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7), (200, 201), (201, 200)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
