@@ -57,19 +57,54 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
     return known[:n]
 
 
-def prefix_hash(data: np.ndarray, table: np.ndarray = PLAIN) -> np.ndarray:
-    """Sums of hashed prefixes, for span_hash; one longer than data."""
-    out = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(table[data] * _power(_BASE, len(data)), dtype=np.uint64, out=out[1:])
+def prefix_of(codes: np.ndarray) -> np.ndarray:
+    """Sums of hashed prefixes of 64-bit codes, for span_hash; one longer than codes."""
+    out = np.zeros(len(codes) + 1, dtype=np.uint64)
+    np.cumsum(codes * _power(_BASE, len(codes)), dtype=np.uint64, out=out[1:])
     return out
 
 
+def prefix_hash(data: np.ndarray, table: np.ndarray = PLAIN) -> np.ndarray:
+    return prefix_of(table[data])
+
+
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span; equal bytes have equal hashes wherever they stand."""
     value = (prefix[end] - prefix[start]) * _power(_BASE_INVERSE, len(prefix))[start]
     return mix(value + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+#: Moduli and bases of prime_hash. Sums modulo 2^64 can agree for crafted long strings; these do not.
+PRIMES = ((2147483647, 1103515245), (2147483629, 1812433253))
+
+
+def _prime_power(prime: int, base: int, n: int) -> np.ndarray:
+    known = _powers.get(prime * base)
+    if known is None or len(known) < n:
+        known, size = np.ones(1, np.uint64), 1
+        while size < max(n, 1 << 16):
+            known = np.concatenate([known, known * np.uint64(pow(base, size, prime)) % np.uint64(prime)])
+            size *= 2
+        _powers[prime * base] = known
+    return known[:n]
+
+
+def prime_prefix(codes: np.ndarray) -> list[np.ndarray]:
+    """Like prefix_of, modulo each of PRIMES (sums of less than 2^32 residues stay exact)."""
+    out = []
+    for prime, base in PRIMES:
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(codes % np.uint64(prime) * _prime_power(prime, base, len(codes)) % np.uint64(prime), dtype=np.uint64, out=sums[1:])
+        out.append(sums)
+    return out
+
+
+def prime_hash(prefixes: list[np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each span, 31 bits from each of two prime fields."""
+    parts = [(sums[end] - sums[start]) % np.uint64(prime) * _prime_power(prime, pow(base, -1, prime), len(sums))[start] % np.uint64(prime) for (prime, base), sums in zip(PRIMES, prefixes, strict=True)]
+    return mix((parts[0] << np.uint64(32) | parts[1]) + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string or binary column; null is empty."""
     if isinstance(column, pa.ChunkedArray):

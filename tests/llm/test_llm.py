@@ -387,21 +387,66 @@ def brute_repeats(texts):
     return out
 
 
+def brute_passages(rows):
+    """Words and runs of words in 51-word passages that stand in another document, too."""
+    owners: dict = {}
+    for i, t in rows:
+        w = t.split()
+        for s in range(len(w) - 50):
+            owners.setdefault(tuple(w[s : s + 51]), set()).add((i, t))
+    out = []
+    for _, t in rows:
+        w = t.split()
+        gone = np.zeros(len(w) + 1, bool)
+        for s in range(len(w) - 50):
+            if len(owners[tuple(w[s : s + 51])]) > 1:
+                gone[s : s + 51] = True
+        out.append((int(gone.sum()), int(np.sum(gone[1:] & ~gone[:-1])) + int(gone[0])))
+    return out
+
+
 @pytest.mark.parametrize("hot", [4096, 1])
 def test_repeats_against_brute_force(spark, corpus, hot, monkeypatch):
-    monkeypatch.setattr(substring_dedup, "HOT_TIMES", hot)
+    monkeypatch.setattr(substring_dedup, "HOT_KINDS", hot)
     rng = random.Random(12)
     passage = " ".join(words(rng, 120))
+    long = " ".join(words(rng, 8000))
     texts = [t for t in corpus[:-1]] + [" ".join(words(rng, 50)) + passage[k * 7 : 560 + k * 11] + " ".join(words(rng, 50)) for k in range(8)]
-    texts += ["ab" * 700, "p" * 400, "p" * 401, "ü" * 250, passage[:399], passage[:400]]
-    docs = make(spark, [*texts, (3, "q" * 450), (3, "q" * 450), (None, "r" * 500)])
+    texts += ["ab" * 700, "p" * 400, "p" * 401, "ü" * 250, passage[:399], passage[:400], long, long[5000:30_000] + passage]
+    line = " ".join(words(rng, 9)) + " "
+    texts += [line * 9, passage + " " + passage, "\0" * 300 + "a" + "\0" * 500, " ".join(words(rng, 30)) + " " + line * 7]
+    docs = make(spark, [*texts, (3, "q" * 450), (3, "q" * 450), (None, "r" * 500), (7, line * 20), (7, line * 20)])
     got = Counter(map(tuple, substring_dedup.report(docs).collect()))
     source = docs.collect()
     expected = brute_repeats([(r["text"] or "").encode() for r in source])
-    assert got == Counter((r["doc_id"], *e) for r, e in zip(source, expected, strict=True))
+    passages = brute_passages([(r["doc_id"], r["text"] or "") for r in source])
+    assert got == Counter((r["doc_id"], *e, *p) for r, e, p in zip(source, expected, passages, strict=True))
     assert substring_dedup.report(docs.limit(0)).count() == 0
 
 
+def test_interleave_orders_and_measures():
+    rng = random.Random(8)
+    strings = [bytes(rng.choice((0, 97, 98)) for _ in range(rng.randrange(0, 30))) * rng.randrange(1, 4) for _ in range(300)]
+    group = np.array([rng.randrange(4) for _ in strings])
+    order, common = substring_dedup.interleave(group, strings)
+    for a, b, c in zip([None, *order[:-1]], order, common, strict=True):
+        if a is None or group[a] != group[b]:
+            assert c == -1
+            continue
+        shared = next((k for k, (x, y) in enumerate(zip(strings[a], strings[b], strict=False)) if x != y), min(len(strings[a]), len(strings[b])))
+        assert c == shared
+        assert strings[a].ljust(120, b"\0") <= strings[b].ljust(120, b"\0")
+
+
+def test_span_hashes_of_crafted_strings_differ():
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    data = np.frombuffer((word + word.translate(str.maketrans("ab", "ba"))).encode(), np.uint8)
+    start = np.array([0, 1024])
+    assert len(set(textops.prime_hash(textops.prime_prefix(textops.PLAIN[data]), start, start + 1024).tolist())) == 2
+
+
 # --- pipeline -----------------------------------------------------------------------------------------------------------
 
 
