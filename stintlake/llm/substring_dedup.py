@@ -180,8 +180,8 @@ def repeated_starts(group: np.ndarray, strings: list[bytes], place: np.ndarray,
         return [np.zeros(0, np.int64)] * n
     kind, start = (np.concatenate(x) for x in zip(*found, strict=True))
     turn = np.lexsort((start, kind))
-    cut = np.searchsorted(kind[turn], np.arange(n + 1))
-    return [start[turn][a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    start, cut = start[turn], np.searchsorted(kind[turn], np.arange(n + 1))
+    return [start[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
 def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -90,11 +90,12 @@ def _prime_power(prime: int, base: int, n: int) -> np.ndarray:
 
 
 def prime_prefix(codes: np.ndarray) -> list[np.ndarray]:
-    """Like prefix_of, modulo each of PRIMES (sums of less than 2^32 residues stay exact)."""
+    """Like prefix_of, modulo each of PRIMES: of the codes' upper 31 bits and of their lower 31 bits, so
+    that products stay below 2^62 (and sums of less than 2^32 residues exact)."""
     out = []
-    for prime, base in PRIMES:
+    for (prime, base), half in zip(PRIMES, (codes >> np.uint64(33), codes & np.uint64((1 << 31) - 1)), strict=True):
         sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(codes % np.uint64(prime) * _prime_power(prime, base, len(codes)) % np.uint64(prime), dtype=np.uint64, out=sums[1:])
+        np.cumsum(half * _prime_power(prime, base, len(codes)) % np.uint64(prime), dtype=np.uint64, out=sums[1:])
         out.append(sums)
     return out
 

@@ -1,13 +1,16 @@
 """Toxicity: embeddings of subword n-grams, averaged over the text, under a linear softmax.
 
 A word's n-grams (3 to 5 bytes, blanks standing for its edges) share their vectors with every word
-that has them, so an unseen misspelling keeps most of the vector of the word it comes from. Vectors
-and softmax are trained together in numpy on a bounded sample (SAMPLE_ROWS). N-grams are
-hashed; of the hashed n-grams the KEPT ones that tell the classes apart best in the sample have a
-vector, the others have the zero vector and only count in the average.
+that has them, so an unseen misspelling keeps most of the vector of the word it comes from. Every hashed
+n-gram has a vector. Vectors and softmax are trained together in numpy, in small batches over a bounded
+sample (SAMPLE_ROWS). The average is weighted: an n-gram whose share of documents differs by z standard
+errors between the classes of the sample weighs z^4 / (z^4 + CLEAR^4), so the many that are common in both
+don't drown the few that tell.
 
 Null texts count as empty; a text without n-grams gets the score of the bias. Repeated rows give the
-same score each; an empty table gives an empty result. Only doc_id and text are read.
+same score each; ties don't occur, as each row is scored alone. A very long text is one slice: memory is a
+few hundred times its bytes at most. An empty table gives an empty result. Only doc_id (any type) and
+text are read, so extra columns have no influence.
 """
 
 from __future__ import annotations
@@ -18,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stintlake.llm import textops as T
-from stintlake.llm.training import adam, fold, labelled_sample
+from stintlake.llm.training import fold, labelled_sample, sigmoid
 
-BINS, KEPT, WIDTH, LENGTHS = 1 << 16, 2048, 8, (3, 4, 5)
+BINS, WIDTH, LENGTHS, CLEAR = 1 << 16, 4, (3, 4, 5), 4.0
 TOXIC_FROM = 0.5
 #: Neutral n-grams added to every text, so that a few n-grams of a short text don't decide alone.
 NEUTRAL = 40
@@ -32,32 +35,43 @@ _fold[[c for c in range(128) if not chr(c).isalpha()]] = 32
 
 
 def subwords(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bin and row of every n-gram, grouped by length, rows in order within each."""
-    clean = np.full(len(data) + 1, 32, np.uint8)
-    clean[1:] = _fold[data]  # a blank before the first byte
+    """Bin and row of every n-gram, grouped by length, rows in order within each. Each row stands between
+    blanks, so its n-grams don't depend on its neighbours."""
+    n = len(at) - 1
+    clean = np.full(len(data) + n + 1, 32, np.uint8)
+    clean[np.arange(len(data)) + np.repeat(np.arange(1, n + 1), np.diff(at))] = _fold[data]
+    edge = at[:-1] + np.arange(n)  # the blank before each row
     blank = clean == 32
     code = T.byte_table(21)[clean]
     bins, rows = [], []
-    for n in LENGTHS:
-        m = len(clean) - n + 1
+    for size in LENGTHS:
+        m = len(clean) - size + 1
         if m <= 0:
             continue
         value, good = code[:m].copy(), np.ones(m, bool)
-        for k in range(1, n):
+        for k in range(1, size):
             value = value * np.uint64(0x9E3779B97F4A7C15) + code[k : k + m]
-            if k < n - 1:
+            if k < size - 1:
                 good &= ~blank[k : k + m]
         spot = np.flatnonzero(good)
-        first = np.maximum(spot - 1, 0)
-        row = np.searchsorted(at, np.where(blank[spot], spot, first), "right") - 1
-        inside = spot + n - 2 < at[np.minimum(row + 1, len(at) - 1)]  # no n-gram reaches into the next row
-        bins.append((T.mix(value[spot[inside]]) % np.uint64(BINS)).astype(np.int64))
-        rows.append(row[inside])
+        bins.append((T.mix(value[spot]) % np.uint64(BINS)).astype(np.int64))
+        rows.append(np.searchsorted(edge, spot, "right") - 1)
     return (np.concatenate(bins), np.concatenate(rows)) if bins else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def fit(sample: DataFrame, steps: int = 200, rate: float = 0.05, decay: float = 1e-4) -> dict:
-    """Trains on a bounded frame (text, label). With one class or no row the score is constant."""
+def weights(parts: list[tuple], y: np.ndarray) -> np.ndarray:
+    """Weight of every bin, from how its share of documents differs between the classes."""
+    seen = np.zeros((2, BINS))
+    for (bins, _, _), label in zip(parts, y, strict=True):
+        seen[int(label), bins] += 1
+    n = np.array([(y == 0).sum(), (y == 1).sum()])[:, None]
+    p = (seen + 0.5) / (n + 1)
+    z = (p[1] - p[0]) ** 4 / ((p * (1 - p) / n).sum(0)) ** 2
+    return (z / (z + CLEAR**4)).astype(np.float32)
+
+
+def fit(sample: DataFrame, epochs: int = 3, batch: int = 64, rate: float = 0.5, decay: float = 1e-5) -> dict:
+    """Trains on a bounded frame (text, label) by AdaGrad. With one class or no row the score is constant."""
 
     def encode(kept, data, at):
         bins, rows = subwords(data, at)
@@ -65,42 +79,40 @@ def fit(sample: DataFrame, steps: int = 200, rate: float = 0.05, decay: float =
         key, times = np.unique(rows * BINS + bins, return_counts=True)
         cut = T.per_row(key // BINS, n)
         pick = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
-        return [kept[0], np.bincount(rows, minlength=n), pick((key % BINS).astype(np.uint16)), pick(np.minimum(times, 65535).astype(np.uint16))]
+        return [kept[0], np.bincount(rows, minlength=n), pick((key % BINS).astype(np.uint16)), pick(times.astype(np.uint32))]
 
-    rows = T.map_texts(sample, ["label"], "text", encode, "label int, total long, bins binary, times binary").collect()
+    rows = T.map_texts(sample.select("label", "text").orderBy(F.xxhash64("text"), "text", "label"), ["label"], "text", encode, "label int, total long, bins binary, times binary").collect()
     y = np.array([r.label for r in rows], np.float32)
-    slot = np.full(BINS, -1, np.int32)
     if len(rows) < 2 or y.min() == y.max():
         p = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
-        return {"slot": slot, "e": np.zeros((1, WIDTH), np.float32), "w": np.zeros((WIDTH, 2), np.float32), "b": np.log(np.array([1 - p, p], np.float32)), "scale": 1.0}
-    seen = np.zeros((2, BINS))
-    parts = [(np.frombuffer(r.bins, np.uint16), np.frombuffer(r.times, np.uint16), r.total) for r in rows]
-    for (b, _, _), label in zip(parts, y, strict=True):
-        seen[int(label), b] += 1
-    n = np.array([(y == 0).sum(), (y == 1).sum()])[:, None]
-    p = (seen + 0.5) / (n + 1)
-    z = np.abs(p[1] - p[0]) / np.sqrt((p * (1 - p) / n).sum(0))
-    chosen = np.sort(np.argsort(-z, kind="stable")[:KEPT])
-    slot[chosen] = np.arange(KEPT)
-    x = np.zeros((len(rows), KEPT), np.float32)
-    for k, (b, t, total) in enumerate(parts):
-        s = slot[b]
-        x[k, s[s >= 0]] = t[s >= 0] / (total + NEUTRAL)
-    scale = float(1 / max(np.sqrt((x * x).sum(1).mean()), 1e-9))
-    x *= scale
+        return {"e": np.zeros((BINS, WIDTH), np.float32), "w": np.zeros((WIDTH, 2), np.float32), "b": np.log(np.array([1 - p, p], np.float32))}
+    parts = [(np.frombuffer(r.bins, np.uint16), np.frombuffer(r.times, np.uint32), r.total) for r in rows]
+    weight = weights(parts, y)
+    share = [t * weight[b] / np.float32(total + NEUTRAL) for b, t, total in parts]
+    scale = np.float32(1 / max(np.sqrt(np.mean([(s * s).sum() for s in share])), 1e-9))
     rng = np.random.default_rng(7)
-    e, w, b = rng.normal(0, 0.1, (KEPT, WIDTH)).astype(np.float32), rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32), np.zeros(2, np.float32)
-    target = np.stack([1 - y, y], axis=1)
-
-    def gradients(params):
-        e, w, b = params
-        h = x @ e
-        g = softmax(h @ w + b) - target
-        g /= len(y)
-        return [x.T @ (g @ w.T) + decay * e, h.T @ g + decay * w, g.sum(0)]
-
-    e, w, b = adam([e, w, b], gradients, steps, rate)
-    return {"slot": slot, "e": e, "w": w, "b": b, "scale": scale}
+    e, w, b = rng.normal(0, 0.1, (BINS, WIDTH)).astype(np.float32), rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32), np.zeros(2, np.float32)
+    steps = [np.full_like(x, 1e-6) for x in (e, w, b)]
+    for epoch in range(epochs):
+        step = rate * (1 - epoch / epochs)
+        for k in range(0, len(parts), batch):
+            some, label = parts[k : k + batch], y[k : k + batch].astype(int)
+            own = np.repeat(np.arange(len(some)), [len(p[0]) for p in some])
+            bins, at = np.unique(np.concatenate([p[0] for p in some]), return_inverse=True)
+            x = np.concatenate(share[k : k + batch]) * scale
+            near = e[bins]
+            sums = lambda index, values, size: np.stack([np.bincount(index, v, minlength=size) for v in values.T], axis=1).astype(np.float32)
+            h = sums(own, near[at] * x[:, None], len(some))
+            g = softmax(h @ w + b)
+            g[np.arange(len(some)), label] -= 1
+            g /= len(some)
+            de = sums(at, (g @ w.T)[own] * x[:, None], len(bins)) + decay * near
+            steps[0][bins] += de * de
+            e[bins] = near - step * de / np.sqrt(steps[0][bins])
+            for p, s, d in ((w, steps[1], h.T @ g), (b, steps[2], g.sum(0))):
+                s += d * d
+                p -= step * d / np.sqrt(s)
+    return {"e": e * (weight * scale)[:, None], "w": w, "b": b}
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -109,13 +121,13 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def toxic_share(model: dict, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The softmax of the averaged vectors. It is linear up to the softmax, so what each bin adds to the
+    difference of the two classes is looked up and summed."""
     n = len(at) - 1
     bins, rows = subwords(data, at)
     total = np.bincount(rows, minlength=n) + NEUTRAL
-    slot = model["slot"][bins]
-    known, slot = rows[slot >= 0], slot[slot >= 0]
-    mean = np.stack([np.bincount(known, model["e"][slot, d], minlength=n) for d in range(WIDTH)], axis=1) * (model["scale"] / total)[:, None]
-    return softmax(mean @ model["w"] + model["b"])[:, 1].astype(np.float64)
+    apart = (model["e"] @ (model["w"][:, 1] - model["w"][:, 0])).astype(np.float64)
+    return sigmoid(np.bincount(rows, apart[bins], minlength=n) / total + float(model["b"][1] - model["b"][0]))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> dict:

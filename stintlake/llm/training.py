@@ -19,8 +19,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Col
     """At most `rows` labelled documents (doc_id, text, label), chosen by a hash of the id.
 
     `allowed` is a condition on doc_id. Null labels are left out; if an id has several labels, the
-    largest holds; a document id that stands in several rows gives each of them. The ids are at most
-    `rows`, so sending them to every task is bounded.
+    largest holds; of an id that stands in several rows the least text holds, so the bound is one of rows.
+    The ids are at most `rows`, so sending them to every task is bounded.
     """
     ids = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & allowed)
@@ -29,7 +29,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Col
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", F.col("_label").alias("label"))
+    met = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return met.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("_label").alias("label"))
 
 
 def adam(params: list[np.ndarray], gradients, steps: int, rate: float) -> list[np.ndarray]:

@@ -310,6 +310,64 @@ def test_languages(spark):
     assert {r["lang_pred"] for r in language.identify(docs.withColumn("lang", F.lit(None).cast("string")).limit(4)).collect()} == {"und"}
 
 
+def test_languages_score_is_the_cosine(spark):
+    rng = random.Random(4)
+    texts = [" ".join(words(rng, 30, "abcdé" if i % 2 else "wxyzÜ")) for i in range(40)] + ["Wxyz " * 9000]
+    docs = make(spark, texts).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "ww").otherwise("aa"))
+    model = language.train(docs)
+    rows = {r["doc_id"]: r for r in language.identify(docs).collect()}
+    for i, t in enumerate(texts):
+        counts = Counter()
+        clean = "".join(chr(c) if chr(c).isalpha() and c < 128 or c >= 128 else " " for c in t.lower().encode()).encode("latin-1")
+        for n in (1, 2, 3):
+            for k in range(len(clean) - n + 1):
+                gram = clean[k : k + n]
+                if (gram[0] == 32) if n < 3 else gram[:2] == b"  ":
+                    continue
+                value = gram[0]
+                for m, byte in enumerate(gram[1:], 2):
+                    value = value * 257 + byte + m
+                counts[(value * 0x9E3779B1 >> 7) % language.BINS] += 1
+        x = np.zeros(language.BINS)
+        x[list(counts)] = np.log1p(list(counts.values()))
+        x *= model["idf"]
+        near = model["centre"] @ x / np.sqrt(x @ x)
+        assert rows[i]["lang_pred"] == model["names"][model["owner"][near.argmax()]] == ("ww" if i % 2 == 0 else "aa")
+        assert rows[i]["score"] == pytest.approx(min(1, near.max()) / (1 if near.max() >= model["floor"] else 2), abs=1e-6)
+
+
+def test_every_language_is_learned(spark):
+    docs = spark.createDataFrame([(i, f"{chr(0x4E00 + i // 3)}" * 20, f"l{i // 3:03}") for i in range(750)], "doc_id long, text string, lang string")
+    model = language.train(docs, per_language=2)
+    learned = {f"l{i // 3:03}" for i in range(750) if zlib.crc32(str(i).encode()) % 3 != 1}
+    assert set(model["names"]) == learned and len(learned) > 200
+
+
+def test_toxicity_is_the_softmax_of_averaged_vectors(spark):
+    docs, labels = labelled(spark, "toxic")
+    model = toxicity.train(docs, labels)
+    texts = ["plain words here", "some vilekln text", "vi1eklm", "", "x" * 100_000]
+    data, at = textops.buffers(pa.array(texts))
+    got = toxicity.toxic_share(model, data, at)
+    for k, t in enumerate(texts):
+        d, a = textops.buffers(pa.array([t]))
+        bins, _ = toxicity.subwords(d, a)
+        mean = model["e"][bins].sum(0) / (len(bins) + toxicity.NEUTRAL)
+        assert got[k] == pytest.approx(toxicity.softmax((mean @ model["w"] + model["b"])[None])[0, 1], abs=1e-5)
+    # a misspelling that training never saw shares n-grams with the word, and has vectors of its own
+    assert got[1] > 0.5 > got[0] and got[2] > got[0]
+    unseen = textops.buffers(pa.array(["zzqqjj"]))
+    assert np.abs(model["e"][toxicity.subwords(*unseen)[0]]).sum() > 0
+
+
+def test_sample_is_bounded_by_rows(spark):
+    from stintlake.llm.training import labelled_sample
+
+    docs, labels = labelled(spark, "toxic")
+    many = docs.union(docs).union(docs.withColumn("text", F.concat(F.col("text"), F.lit("!"))))
+    assert labelled_sample(many, labels, "toxic", F.lit(True), 10).count() == 10
+
+
 # --- 7: secrets ------------------------------------------------------------------------------------------------
 
 BASE = [
