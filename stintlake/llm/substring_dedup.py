@@ -25,7 +25,7 @@ by content, and only what is not settled by counts is merged:
    counted by Spark instead, with the same result.
 
 Null texts count as empty. Repeated rows are repeats of each other (for passages of words, rows with equal
-id and text are one document). Documents shorter than 400 bytes stay whole; of very long ones a task holds one at a time. An empty table
+id are one document). Documents shorter than 400 bytes stay whole; of very long ones a task holds one at a time. An empty table
 gives an empty result. Only doc_id (any type that casts to a number, else it is an error) and text are
 read. Memory of a task is a few times its largest document, or HOT_KINDS strings of less than 800 bytes.
 """
@@ -211,26 +211,32 @@ def _packed(docs: DataFrame, *columns: str) -> DataFrame:
     return rows.mapInArrow(pack, rows.schema)
 
 
-def _sampled(docs: DataFrame, unit: Unit) -> DataFrame:
+def _sampled(docs: DataFrame) -> DataFrame:
+    """The rows of both units, from one scan; `words` marks those of PASSAGES, whose anchors have other hashes."""
+
     def sample(kept, data, at):
-        codes, at, _ = _units(data, at, unit)
-        row, first, last, anchor, name, covered = anchored(codes, at, unit)
-        base = at[row]
-        ids, tx = (c.to_numpy()[row] for c in kept)
-        return [ids, tx, (first - base).astype(np.int32), (last - base).astype(np.int32), (anchor - first).astype(np.int16), name.view(np.int64), covered.view(np.int64)]
+        out = []
+        for unit in (BYTES, PASSAGES):
+            codes, cut, _ = _units(data, at, unit)
+            row, first, last, anchor, name, covered = anchored(codes, cut, unit)
+            ids, tx = (c.to_numpy()[row] for c in kept)
+            base, name = cut[row], T.mix(name + np.uint64(unit.width))
+            out.append([ids, tx, np.full(len(row), unit.across), (first - base).astype(np.int32), (last - base).astype(np.int32), (anchor - first).astype(np.int16), name.view(np.int64), covered.view(np.int64)])
+        return [np.concatenate(c) for c in zip(*out, strict=True)]
 
-    return T.map_texts(docs.select(*_identity(), "text"), ["id", "tx"], "text", sample, "id long, tx long, first int, last int, place short, anchor long, covered long")
+    return T.map_texts(docs.select(*_identity(), "text"), ["id", "tx"], "text", sample, "id long, tx long, words boolean, first int, last int, place short, anchor long, covered long")
 
 
-_EXAMPLE = "anchor long, covered long, settled boolean, who long, id long, tx long, first int, place short, bytes binary"
-_EXAMPLE_TYPES = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.binary()]
+_EXAMPLE = "words boolean, anchor long, covered long, settled boolean, who long, id long, tx long, first int, place short, bytes binary"
+_EXAMPLE_TYPES = [pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.binary()]
 _NAMES = [f.split()[0] for f in _EXAMPLE.split(", ")]
 _KEY = ["anchor", "covered", "id", "tx", "first"]
+_SPANS = "id long, tx long, words boolean, low int, high int"
 
 
-def _examples(kinds: DataFrame, docs: DataFrame, unit: Unit) -> DataFrame:
+def _examples(kinds: DataFrame, docs: DataFrame) -> DataFrame:
     """Adds the units covered by the example of each kind."""
-    by_doc = kinds.groupBy("id", "tx").agg(F.collect_list(F.struct("anchor", "covered", "settled", "who", "first", "last", "place")).alias("list"))
+    by_doc = kinds.groupBy("id", "tx").agg(F.collect_list(F.struct("words", "anchor", "covered", "settled", "who", "first", "last", "place")).alias("list"))
     texts = _packed(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,35 +244,35 @@ def _examples(kinds: DataFrame, docs: DataFrame, unit: Unit) -> DataFrame:
         for batch in batches:
             for k in range(0, len(batch), 64):
                 part = batch.slice(k, 64)
-                texts = pa.array([unpack.decompress(t) for t in part.column(3).to_pylist()], pa.large_binary())
-                _, at, body = _units(*T.buffers(texts), unit)
-                flat = [
-                    (x["anchor"], x["covered"], x["settled"], x["who"], i, t, x["first"], x["place"], body[unit.width * (a + x["first"]) : unit.width * (a + x["last"] + unit.length)].tobytes())
-                    for i, t, a, own in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), at[:-1].tolist(), part.column(2).to_pylist(), strict=True)
-                    for x in own
-                ]
+                texts = T.buffers(pa.array([unpack.decompress(t) for t in part.column(3).to_pylist()], pa.large_binary()))
+                views = {unit.across: (unit, *_units(*texts, unit)[1:]) for unit in (BYTES, PASSAGES)}
+                flat = []
+                for n, (i, t, own) in enumerate(zip(*(part.column(c).to_pylist() for c in range(3)), strict=True)):
+                    for x in own:
+                        unit, at, body = views[x["words"]]
+                        piece = body[unit.width * (at[n] + x["first"]) : unit.width * (at[n] + x["last"] + unit.length)].tobytes()
+                        flat.append((x["words"], x["anchor"], x["covered"], x["settled"], x["who"], i, t, x["first"], x["place"], piece))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*flat, strict=True)), _EXAMPLE_TYPES, strict=True)], names=_NAMES)
 
     joined = by_doc.join(texts, ["id", "tx"]).select("id", "tx", "list", "text")
     return joined.mapInArrow(cut, _EXAMPLE)
 
 
-_SPANS = "id long, tx long, low int, high int"
-
-
-def _merged(examples: DataFrame, unit: Unit, batch_bytes: int = 1 << 20) -> DataFrame:
+def _merged(examples: DataFrame, batch_bytes: int = 1 << 20) -> DataFrame:
     """Repeated starts of the kinds that are not repeated as a whole; whole anchors at a time."""
 
     def solve(rows: list[dict]) -> pa.RecordBatch:
-        rows = list({tuple(r[c] for c in _KEY): r for r in rows}.values())
         out: list[tuple] = []
-        column = lambda c: np.array([r[c] for r in rows], np.int64)
-        for r, starts in zip(rows, repeated_starts(column("anchor"), [r["bytes"] for r in rows], column("place"), column("who"), unit), strict=True):
-            if not r["settled"] and len(starts):
-                low, high = _runs(starts)
-                out += [(r["id"], r["tx"], r["first"] + a, r["first"] + b) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
-        columns = list(zip(*out, strict=True)) or [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.int32(), pa.int32()], strict=True)], names=["id", "tx", "low", "high"])
+        for unit in (BYTES, PASSAGES):
+            own = list({tuple(r[c] for c in _KEY): r for r in rows if r["words"] is unit.across}.values())
+            column = lambda c: np.array([r[c] for r in own], np.int64)  # noqa: E731, B023
+            starts_of = repeated_starts(column("anchor"), [r["bytes"] for r in own], column("place"), column("who"), unit)
+            for r, starts in zip(own, starts_of, strict=True):
+                if not r["settled"] and len(starts):
+                    low, high = _runs(starts)
+                    out += [(r["id"], r["tx"], unit.across, r["first"] + a, r["first"] + b) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+        columns = list(zip(*out, strict=True)) or [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32()], strict=True)], names=["id", "tx", "words", "low", "high"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -285,52 +291,58 @@ def _merged(examples: DataFrame, unit: Unit, batch_bytes: int = 1 << 20) -> Data
     return examples.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _SPANS)
 
 
-def _counted(examples: DataFrame, unit: Unit) -> DataFrame:
+def _counted(examples: DataFrame) -> DataFrame:
     """The same for anchors of very many kinds: counts of string hashes, spread over all tasks."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, len(batch), 256):
-                part = batch.slice(k, 256)
-                data, at = T.buffers(part.column(8))
-                codes, at = (T.PLAIN[data], at) if unit.width == 1 else (np.frombuffer(data.tobytes(), np.uint64), at // 8)
-                count = np.diff(at) - unit.length + 1
-                row = np.repeat(np.arange(len(part)), count)
-                inside = np.arange(len(row)) - np.repeat(np.append(0, np.cumsum(count)[:-1]), count)
-                start = at[row] + inside
-                hashed = T.prime_hash(T.prime_prefix(codes), start, start + unit.length).view(np.int64)
-                take = lambda i: part.column(i).to_numpy(zero_copy_only=False)[row]  # noqa: E731, B023
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (take(0), take(2), take(3), take(4), take(5), (take(6) + inside).astype(np.int32), hashed)], names=["anchor", "settled", "who", "id", "tx", "low", "hash"])
-
-    rows = keep(examples.dropDuplicates(_KEY).mapInArrow(explode, "anchor long, settled boolean, who long, id long, tx long, low int, hash long"))
+                for unit in (BYTES, PASSAGES):
+                    part = batch.slice(k, 256)
+                    part = part.filter(pa.array([w is unit.across for w in part.column(0).to_pylist()]))
+                    data, at = T.buffers(part.column(9))
+                    codes, at = (T.PLAIN[data], at) if unit.width == 1 else (np.frombuffer(data.tobytes(), np.uint64), at // 8)
+                    count = np.diff(at) - unit.length + 1
+                    row = np.repeat(np.arange(len(part)), count)
+                    inside = np.arange(len(row)) - np.repeat(np.append(0, np.cumsum(count)[:-1]), count)
+                    start = at[row] + inside
+                    hashed = T.prime_hash(T.prime_prefix(codes), start, start + unit.length).view(np.int64)
+                    take = lambda i: part.column(i).to_numpy(zero_copy_only=False)[row]  # noqa: E731, B023
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((take(1), take(3), take(4), take(5), take(6), take(0), take(7) + inside, hashed), types, strict=True)], names=names)
+
+    schema = "anchor long, settled boolean, who long, id long, tx long, words boolean, low int, hash long"
+    names, types = [f.split()[0] for f in schema.split(", ")], [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64()]
+    rows = keep(examples.dropDuplicates(_KEY).mapInArrow(explode, schema))
     several = keep(rows.groupBy("anchor", "hash").agg(F.min("who").alias("_a"), F.max("who").alias("_b")).where("_a != _b").select("anchor", "hash"))
-    return rows.where("NOT settled").join(several, ["anchor", "hash"]).select("id", "tx", "low", F.col("low").alias("high"))
+    return rows.where("NOT settled").join(several, ["anchor", "hash"]).select("id", "tx", "words", "low", F.col("low").alias("high"))
 
 
-def repeated_spans(docs: DataFrame, unit: Unit = BYTES) -> DataFrame:
-    """(id, tx, low, high): starts low..high (in units) of the document are starts of repeated strings."""
-    rows = keep(_sampled(docs, unit))
-    owner = [F.min(F.xxhash64("id", "tx")).alias("_a"), F.max(F.xxhash64("id", "tx")).alias("_b")] if unit.across else []
-    several = F.col("_a") != F.col("_b") if unit.across else F.col("times") > 1
-    seen = rows.groupBy("anchor").agg(F.count("*").alias("times"), F.min("covered").alias("_low"), F.max("covered").alias("_high"), *owner).where(several)
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """(id, tx, words, low, high): starts low..high of the document are starts of repeated strings; they
+    count bytes, or words where `words` is true."""
+    rows = keep(_sampled(docs))
+    counts = [F.count("*").alias("times"), F.min("id").alias("_a"), F.max("id").alias("_b")]
+    several = F.when(F.col("words"), F.col("_a") != F.col("_b")).otherwise(F.col("times") > 1)
+    seen = rows.groupBy("words", "anchor").agg(F.min("covered").alias("_low"), F.max("covered").alias("_high"), *counts).where(several)
     anchors = keep(seen.select("anchor", (F.col("_low") != F.col("_high")).alias("mixed")))
     known = keep(rows.join(anchors, "anchor"))
-    span = ["id", "tx", F.col("first").alias("low"), F.col("last").alias("high")]
+    span = ["id", "tx", "words", F.col("first").alias("low"), F.col("last").alias("high")]
     mixed = known.where("mixed")
-    example = [F.first(c).alias(c) for c in ("id", "tx", "first", "last", "place")]  # all of one row
-    grouped = mixed.groupBy("anchor", "covered").agg(F.count("*").alias("times"), *owner, *example).withColumn("settled", several)
-    who = F.when(F.col("settled") | F.lit(not unit.across), F.col("covered")).otherwise(F.xxhash64("id", "tx"))
-    columns = ["anchor", "covered", "settled", "who", "id", "tx", "first", "last", "place"]
+    example = [F.first(c).alias(c) for c in ("tx", "first", "last", "place", "id")]  # all of one row
+    grouped = mixed.groupBy("words", "anchor", "covered").agg(*counts, *example).withColumn("settled", several)
+    who = F.when(F.col("settled") | ~F.col("words"), F.col("covered")).otherwise(F.col("id"))
+    columns = ["words", "anchor", "covered", "settled", "who", "id", "tx", "first", "last", "place"]
     kinds = keep(grouped.withColumn("who", who).select(*columns, "times"))
     again = mixed.join(kinds.where("settled").select("anchor", "covered"), ["anchor", "covered"])
     spans = known.where("NOT mixed").select(*span).union(again.select(*span))
-    if unit.across:  # what one document repeats has an example at each place
-        places = mixed.join(kinds.where("NOT settled AND times > 1").select("anchor", "covered", "settled", "who"), ["anchor", "covered"])
-        kinds = kinds.where("settled OR times = 1").select(*columns).union(places.select(*columns))
+    # what one document repeats has an example at each place
+    alone = F.col("words") & ~F.col("settled") & (F.col("times") > 1)
+    places = mixed.join(kinds.where(alone).select("anchor", "covered", "settled", "who"), ["anchor", "covered"])
+    kinds = kinds.where(~alone).select(*columns).union(places.select(*columns))
     hot = keep(kinds.groupBy("anchor").count().where(F.col("count") > HOT_KINDS).select("anchor"))
-    spans = spans.union(_merged(_examples(kinds.join(hot, "anchor", "left_anti"), docs, unit), unit))
+    spans = spans.union(_merged(_examples(kinds.join(hot, "anchor", "left_anti"), docs)))
     if hot.limit(1).count():
-        spans = spans.union(_counted(_examples(kinds.join(hot, "anchor", "left_semi"), docs, unit), unit))
+        spans = spans.union(_counted(_examples(kinds.join(hot, "anchor", "left_semi"), docs)))
     return spans
 
 
@@ -348,9 +360,8 @@ def _cover(low: np.ndarray, high: np.ndarray, length: int) -> list[tuple[int, in
 
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, shared_words, n_passages, kept (the remaining bytes) of every row."""
-    both = [keep(repeated_spans(docs, unit)).withColumn("words", F.lit(unit.across)) for unit in (BYTES, PASSAGES)]
     # a set: rows with equal id and text bring the same spans
-    by_doc = both[0].union(both[1]).groupBy("id", "tx").agg(F.collect_set(F.struct("words", "low", "high")).alias("list"))
+    by_doc = keep(repeated_spans(docs)).groupBy("id", "tx").agg(F.collect_set(F.struct("words", "low", "high")).alias("list"))
     texts = _packed(docs, "doc_id")
     kind = docs.schema["doc_id"].dataType.simpleString()
 

@@ -451,7 +451,7 @@ def brute_passages(rows):
     for i, t in rows:
         w = t.split()
         for s in range(len(w) - 50):
-            owners.setdefault(tuple(w[s : s + 51]), set()).add((i, t))
+            owners.setdefault(tuple(w[s : s + 51]), set()).add(i if i is not None else t)
     out = []
     for _, t in rows:
         w = t.split()
@@ -473,7 +473,7 @@ def test_repeats_against_brute_force(spark, corpus, hot, monkeypatch):
     texts += ["ab" * 700, "p" * 400, "p" * 401, "ü" * 250, passage[:399], passage[:400], long, long[5000:30_000] + passage]
     line = " ".join(words(rng, 9)) + " "
     texts += [line * 9, passage + " " + passage, "\0" * 300 + "a" + "\0" * 500, " ".join(words(rng, 30)) + " " + line * 7]
-    docs = make(spark, [*texts, (3, "q" * 450), (3, "q" * 450), (None, "r" * 500), (7, line * 20), (7, line * 20)])
+    docs = make(spark, [*texts, (3, "q" * 450), (3, "q" * 450), (None, "r" * 500), (7, line * 20), (7, line * 20), (8, "n " + line * 9)])
     got = Counter(map(tuple, substring_dedup.report(docs).collect()))
     source = docs.collect()
     expected = brute_repeats([(r["text"] or "").encode() for r in source])
