@@ -13,16 +13,44 @@ def _tie(df: DataFrame, skip: Sequence[str]) -> list[Column]:
     return [F.col(f.name) for f in df.schema.fields if f.name not in skip and f.dataType.typeName() not in ("map", "variant")]
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """The first row of each key in `order`; remaining ties go by all columns, ascending."""
-    columns = [F.col(o) if isinstance(o, str) else o for o in order]
+#: Types whose descending order is an ascending order of a number.
+_TURNED = {"date": F.unix_date, "timestamp": F.unix_micros, "boolean": lambda c: c.cast("int")}
+_NUMBERS = ("byte", "short", "integer", "long", "float", "double", "decimal")
+
+
+def _best(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool) -> DataFrame | None:
+    """One row a key as an aggregate, which needs no sort of a whole key in one task; None if the order can't
+    be turned into ascending ones."""
+    types = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    first: list[Column] = []
+    for name in order:
+        if not descending:
+            first.append(F.col(name))
+        elif types.get(name) in _TURNED or types.get(name) in _NUMBERS:
+            number = _TURNED.get(types[name], lambda c: c.cast("decimal(20,0)") if types[name] == "long" else c)(F.col(name))  # noqa: B023
+            if types[name] in ("float", "double"):  # descending orders have NaN first
+                first.append(~F.coalesce(F.isnan(name), F.lit(False)))
+            first += [F.col(name).isNull(), -number]  # and nulls last
+        else:
+            return None
+    line = F.struct(*[c.alias(f"_{i}") for i, c in enumerate([*first, *_tie(df, keys)] or [F.lit(0)])])
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*[df[c] for c in df.columns]), line).alias("_row")).select("_row.*")
+
+
+def _numbered(df: DataFrame, keys: Sequence[str], columns: Sequence[Column]) -> DataFrame:
     line = Window.partitionBy(*keys).orderBy(*columns, *_tie(df, keys))
     return df.withColumn("_n", F.row_number().over(line)).where("_n = 1").drop("_n")
 
 
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of each key in `order`; remaining ties go by all columns, ascending."""
+    return df.dropDuplicates() if set(df.columns) == set(keys) else _best(df, keys, order, False)
+
+
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row of each key in `order` (names; nulls come first)."""
-    return keep_first(df, keys, [F.desc(o) for o in order])
+    """The last row of each key in `order` (names; nulls come first); remaining ties go by all columns, ascending."""
+    best = _best(df, keys, order, True)
+    return _numbered(df, keys, [F.desc(o) for o in order]) if best is None else best
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +36,10 @@ def _cut(df: DataFrame) -> DataFrame:
     """Cuts lineage through the checkpoint folder, setting one only where none is named (tests)."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        import tempfile
-
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="stintlake-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="stintlake-"))
     return df.checkpoint()
 
 
@@ -71,7 +75,7 @@ def discover_forward(known: DataFrame, candidates: DataFrame, members: DataFrame
     return found
 
 
-def bfs_crawl(seeds: DataFrame, user_league: DataFrame, league_owner: DataFrame, cap: int, max_hops: int = 50) -> DataFrame:
+def bfs_crawl(seeds: DataFrame, user_league: DataFrame, league_owner: DataFrame, cap: int = 10_000) -> DataFrame:
     """(league_id, hop) reached from seed users over leagues and their owners, at most `cap` of them.
 
     A league's hop is the round that first met it; the cap (the crawl's own feature) keeps the first ones
@@ -79,7 +83,7 @@ def bfs_crawl(seeds: DataFrame, user_league: DataFrame, league_owner: DataFrame,
     """
     users = seeds.select("user_id").distinct()
     leagues, new_users = None, users
-    for hop in range(max_hops):
+    for hop in count():
         step = user_league.join(new_users, "user_id", "left_semi").select("league_id").distinct()
         if leagues is not None:
             step = step.join(leagues, "league_id", "left_anti")

@@ -32,20 +32,25 @@ def duplicate_owners(membership: DataFrame, asset: Sequence[str], owner: str) ->
     return membership.groupBy(*asset).agg(n.alias("n_owners")).where("n_owners > 1")
 
 
-def reconcile(players: DataFrame, picks: DataFrame, leagues: DataFrame, owner: str = "franchise_id", log=None) -> tuple[DataFrame, DataFrame]:
+def reconcile(players: DataFrame, picks: DataFrame, leagues: DataFrame, owner: str = "franchise_id") -> tuple[DataFrame, DataFrame]:
     """(fact, quarantine) of player and pick membership.
 
     Assets with several owners (duplicate_ownership) and assets without one (unresolved_franchise) leave
     the fact as a whole; players without a player_key (unmapped_player) are listed and stay. Leagues that
-    are not in `leagues` are left out of both.
+    are not in `leagues` are left out of both. The quarantine is the log: one row for each reason.
     """
     both = players.unionByName(picks, allowMissingColumns=True).join(leagues.select("league_id").distinct(), "league_id", "left_semi")
     asset = ["league_id", "asset_type", "asset_id"]
-    twice = both.join(duplicate_owners(both, asset, owner).select(*asset), asset, "left_semi").withColumn("reason", F.lit("duplicate_ownership"))
-    nobody = both.where(F.col(owner).isNull()).withColumn("reason", F.lit("unresolved_franchise"))
-    unmapped = both.where((F.col("asset_type") == "PLAYER") & F.col("player_key").isNull()).withColumn("reason", F.lit("unmapped_player"))
-    bad = twice.select(*asset).union(nobody.select(*asset)).distinct()
-    return both.join(bad, asset, "left_anti"), twice.unionByName(nobody).unionByName(unmapped)
+    nobody = F.max(F.col(owner).isNull())
+    marks = both.groupBy(*asset).agg((F.countDistinct(owner) + nobody.cast("int") > 1).alias("_twice"), nobody.alias("_nobody"))
+    marked = both.join(marks, asset)
+    reasons = F.array(
+        F.when(F.col("_twice"), "duplicate_ownership"),
+        F.when(F.col(owner).isNull(), "unresolved_franchise"),
+        F.when((F.col("asset_type") == "PLAYER") & F.col("player_key").isNull(), "unmapped_player"),
+    )
+    listed = marked.withColumn("reason", F.explode(F.array_compact(reasons)))
+    return marked.where("NOT _twice AND NOT _nobody").select(*both.columns), listed.select(*both.columns, "reason")
 
 
 def conservation(picks: DataFrame, expected: DataFrame, group: Sequence[str], by: str, size: str) -> DataFrame:

@@ -15,6 +15,7 @@ VALUE_COLUMNS = {"oneqb_value": ("1QB", "Standard"), "oneqb_tep_value": ("1QB",
 ROUND_WORDS = {"1st": 1, "2nd": 2, "3rd": 3, "4th": 4}
 # Fixed pattern: names that stand for picks.
 PICK_NAME = "(?i)pick|round|1st|2nd|3rd|4th|20[2-9][0-9]"
+# Fixed names: columns of the long pick layout, and its key.
 LONG = ("valuation_date", "season", "round", "tier", "market_type", "qb_format", "te_premium", "value")
 PICK_KEY = ("valuation_date", "season", "round", "tier", "market_type", "qb_format", "te_premium")
 
@@ -32,9 +33,11 @@ def unpivot_values(df: DataFrame, index: Sequence[str], columns: dict[str, tuple
 
 
 def melt_values(df: DataFrame, market_type: str, source: str = "wide_feed") -> DataFrame:
-    """The wide feed (valuation_date, slug, playerName, value columns) in the long staging layout."""
+    """The wide feed (valuation_date, slug, playerName, value columns) in the long staging layout.
+
+    The whole slug is the source_id (trailing_id cuts it later) and every row counts as a player's."""
     long = unpivot_values(df, ["valuation_date", "slug", "playerName"])
-    return long.select("valuation_date", F.lit(source).alias("source_system"), trailing_id("slug").cast("string").alias("source_id"), F.col("playerName").alias("asset_name"), asset_type("playerName").alias("asset_type"), F.lit(market_type).alias("market_type"), "qb_format", "te_premium", "value")
+    return long.select("valuation_date", F.lit(source).alias("source_system"), F.col("slug").cast("string").alias("source_id"), F.col("playerName").alias("asset_name"), F.lit("PLAYER").alias("asset_type"), F.lit(market_type).alias("market_type"), "qb_format", "te_premium", "value")
 
 
 def standardize_simple(df: DataFrame, source: str, market: str, qb_format: str, te_premium: str, value: str, id: str = "id", name: str = "name", date: str = "valuation_date") -> DataFrame:

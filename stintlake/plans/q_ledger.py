@@ -12,9 +12,14 @@ PRESENT = "SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS snapshot_dat
 MOVES = """SELECT user_id, event_id % 5 AS asset_id, ts, CAST(ts AS DATE) AS date,
   CASE WHEN event_type IN ('purchase', 'signup') THEN 'add' WHEN event_type IN ('error', 'view') THEN 'drop' ELSE 'other' END AS action FROM {events}"""
 #: One price a day and asset, in whole cents.
-PRICES = "SELECT event_type AS player_id, CAST(ts AS DATE) AS valuation_date, CAST(floor(max(value) * 100) AS BIGINT) AS value FROM {events} WHERE event_id % 4 = 0 GROUP BY event_type, CAST(ts AS DATE)"
+PRICES = "SELECT event_type AS player_id, CAST(ts AS DATE) AS valuation_date, CAST(floor(max(value) * 100) AS BIGINT) AS value FROM {events} GROUP BY event_type, CAST(ts AS DATE)"
 FRANCHISES = "SELECT DISTINCT CAST(user_id AS STRING) AS franchise_id, concat('L', CAST(user_id % 4 AS STRING)) AS league_lineage_id FROM {events}"
-HOLD = "SELECT DISTINCT CAST(user_id AS STRING) AS franchise_id, event_type AS asset_id, 'player' AS asset_type, CAST(ts AS DATE) AS snapshot_date FROM {events} WHERE user_id % 3 <> 0 OR day(ts) % 5 <> 0"
+#: Players that a franchise holds on the days of its events, and picks (season:round:roster).
+HOLD = """SELECT DISTINCT CAST(user_id AS STRING) AS franchise_id, event_type AS asset_id, 'player' AS asset_type, CAST(ts AS DATE) AS snapshot_date FROM {events} WHERE user_id % 3 <> 0 OR day(ts) % 5 <> 0
+  UNION SELECT DISTINCT CAST(user_id AS STRING), concat(CAST(2024 + event_id % 3 AS STRING), ':', CAST(1 + event_id % 4 AS STRING), ':', CAST(user_id % 12 AS STRING)), 'pick', CAST(ts AS DATE) FROM {events}"""
+#: Prices of rounds. The feed starts on day 9, and never prices the fourth round of 2026.
+PICK_PRICES = """SELECT CAST(2024 + event_id % 3 AS STRING) AS season, CAST(1 + event_id % 4 AS BIGINT) AS round, CAST(ts AS DATE) AS valuation_date, CAST(floor(max(value) * 30) AS BIGINT) AS value FROM {events}
+  WHERE day(ts) >= 9 AND NOT (event_id % 3 = 2 AND event_id % 4 = 3) GROUP BY CAST(2024 + event_id % 3 AS STRING), CAST(1 + event_id % 4 AS BIGINT), CAST(ts AS DATE)"""
 
 _ISLANDS = """d AS (SELECT snapshot_date, row_number() OVER (ORDER BY snapshot_date) AS i, lead(snapshot_date) OVER (ORDER BY snapshot_date) AS nx FROM (SELECT DISTINCT snapshot_date FROM present)),
 p AS (SELECT k.*, d.i, d.nx, d.i - row_number() OVER (PARTITION BY user_id, event_type ORDER BY k.snapshot_date) AS isl FROM present k JOIN d USING (snapshot_date)),
@@ -25,6 +30,21 @@ t AS (SELECT *, lead(date) OVER (PARTITION BY user_id, asset_id ORDER BY ts, a,
 ev AS (SELECT user_id, asset_id, date AS valid_from, valid_to, valid_to IS NULL AS is_current FROM t WHERE a)"""
 
 
+def _islands(p: str, source: str, key: str, where: str = "true") -> str:
+    """Common tables that end in {p}s: snapshot stints of `source` by `key`, over the days there are."""
+    return f"""{p}k AS (SELECT * FROM {source} WHERE {where}),
+{p}d AS (SELECT snapshot_date, row_number() OVER (ORDER BY snapshot_date) AS i, lead(snapshot_date) OVER (ORDER BY snapshot_date) AS nx FROM (SELECT DISTINCT snapshot_date FROM {p}k)),
+{p}p AS (SELECT k.*, i, nx, i - row_number() OVER (PARTITION BY {key} ORDER BY k.snapshot_date) AS isl FROM {p}k k JOIN {p}d USING (snapshot_date)),
+{p}s AS (SELECT {key}, min(snapshot_date) AS valid_from, nullif(arg_max(coalesce(nx, DATE '9999-01-01'), i), DATE '9999-01-01') AS valid_to FROM {p}p GROUP BY {key}, isl)"""
+
+
+def _stints(p: str, source: str, key: str) -> str:
+    """Common tables that end in {p}s: stints of the add and drop events of `source` by `key`."""
+    return f"""{p}r AS (SELECT *, action = 'add' AS a, coalesce(lag(action = 'add') OVER (PARTITION BY {key} ORDER BY ts, action = 'add', date), false) AS b FROM {source} WHERE action IN ('add', 'drop')),
+{p}t AS (SELECT *, lead(date) OVER (PARTITION BY {key} ORDER BY ts, a, date) AS valid_to FROM {p}r WHERE a <> b),
+{p}s AS (SELECT {key}, date AS valid_from, valid_to FROM {p}t WHERE a)"""
+
+
 def _present(spark, d):
     return derive(spark, d, PRESENT)
 
@@ -106,7 +126,7 @@ def l17_trim_ramp(spark, d):
 SNAPS = """SELECT DISTINCT concat('L', CAST(user_id % 4 AS STRING)) AS league_lineage_id, concat('L', CAST(user_id % 4 AS STRING), '_', CAST(user_id AS STRING)) AS franchise_id,
   event_type AS player_id, CAST(ts AS DATE) AS snapshot_date FROM {events} WHERE user_id % 4 = 3 OR day(ts) < 12 + user_id % 4 OR day(ts) >= 18 + user_id % 4"""
 SNAP_MOVES = """SELECT concat('L', CAST(user_id % 4 AS STRING)) AS league_lineage_id, concat('L', CAST(user_id % 4 AS STRING), '_', CAST(user_id AS STRING)) AS franchise_id, event_type AS player_id,
-  event_id AS ts, CAST(ts AS DATE) AS date, CASE WHEN event_id % 3 = 0 THEN 'drop' ELSE 'add' END AS action FROM {events} WHERE day(ts) >= 14 AND event_id % 2 = 0"""
+  event_id AS ts, CAST(ts AS DATE) AS date, CASE WHEN event_id % 3 = 0 THEN 'drop' ELSE 'add' END AS action FROM {events} WHERE day(ts) >= 14"""
 _WINDOWS = """dd AS (SELECT league_lineage_id, snapshot_date AS d, lead(snapshot_date) OVER (PARTITION BY league_lineage_id ORDER BY snapshot_date) AS nx FROM (SELECT DISTINCT league_lineage_id, snapshot_date FROM snaps)),
 gg AS (SELECT *, row_number() OVER (PARTITION BY league_lineage_id ORDER BY nx - d DESC, d) AS rn FROM dd WHERE nx IS NOT NULL),
 ff AS (SELECT league_lineage_id, min(date) AS f FROM mv GROUP BY league_lineage_id),
@@ -155,9 +175,9 @@ DRAFTS = """SELECT concat('D', CAST(n_nationkey AS STRING), '_', CAST(y AS STRIN
   CASE WHEN n_nationkey % 5 <> 0 THEN CAST(1651366800000 + (y - 2022) * CAST(31536000000 AS BIGINT) + n_nationkey * CAST(86400000 AS BIGINT) AS BIGINT) END AS last_picked
   FROM {nation}, (SELECT 2022 AS y UNION ALL SELECT 2023 UNION ALL SELECT 2024) AS ys"""
 TRADED = """SELECT concat('N', CAST(c_nationkey AS STRING), '_', CAST(2023 + o_orderkey % 2 AS STRING)) AS league_id, CAST(2024 + o_orderkey % 4 AS STRING) AS season, 1 + o_orderkey % 3 AS round, 1 + o_orderkey % 6 AS original_roster_id,
-  1 + o_custkey % 6 AS owner_roster_id, CAST(o_orderkey AS BIGINT) AS ord, o_orderdate AS timestamp FROM {orders} JOIN {customer} ON o_custkey = c_custkey WHERE o_orderkey % 11 = 0"""
+  1 + o_custkey % 6 AS owner_roster_id, CAST(o_orderkey AS BIGINT) AS ord, o_orderdate AS timestamp FROM {orders} JOIN {customer} ON o_custkey = c_custkey"""
 TXN_PICKS = """SELECT concat('T', CAST(l_orderkey AS STRING)) AS transaction_id, concat('N', CAST(l_suppkey % 25 AS STRING), '_2024') AS league_id, CAST(2025 + l_partkey % 3 AS STRING) AS season, 1 + l_partkey % 3 AS round, 1 + l_partkey % 6 AS roster_id,
-  1 + l_suppkey % 6 AS owner_id, 1 + l_partkey % 5 AS previous_owner_id, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS ts FROM {lineitem} WHERE l_partkey % 13 = 0"""
+  1 + l_suppkey % 6 AS owner_id, 1 + l_partkey % 5 AS previous_owner_id, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS ts FROM {lineitem}"""
 OVERRIDES = """SELECT concat('N', CAST(s_nationkey AS STRING), '_2023') AS league_id, CAST(2025 + s_suppkey % 2 AS STRING) AS season, 1 + s_suppkey % 3 AS round, 1 + s_suppkey % 6 AS roster_id, 1 + (s_suppkey + 2) % 6 AS from_team_id,
   1 + (s_suppkey + 3) % 6 AS to_team_id, CAST(1700000000000 + s_suppkey * 1000 AS BIGINT) AS created FROM {supplier}"""
 _LINEAGE = """lt AS (SELECT league_lineage_id, max(CAST(season AS INT)) AS ms, max(CASE WHEN status = 'complete' THEN CAST(season AS INT) END) AS latest_completed_season FROM leagues GROUP BY league_lineage_id),
@@ -338,21 +358,21 @@ def o13_conservation(spark, d):
 
 
 DAILY = """SELECT DISTINCT CAST(ts AS DATE) AS snapshot_date, concat('N', CAST(user_id % 25 AS STRING), '_2024') AS league_id, CAST(2025 + event_id % 2 AS STRING) AS season, 1 + event_id % 2 AS round, 1 + event_id % 6 AS original_roster_id, 1 + user_id % 6 AS owner_roster_id
-  FROM {events} WHERE event_id % 10 = 0 AND user_id % 25 < 6"""
+  FROM {events}"""
 
 
-@query(
-    f"""WITH {_LINEAGE}, st AS (SELECT DISTINCT snapshot_date, current_league_id AS league_id, t.season, CAST(round AS BIGINT) AS round, CAST(original_roster_id AS BIGINT) AS original_roster_id, CAST(owner_roster_id AS BIGINT) AS own FROM daily t JOIN lm USING (league_id)),
+_PICK_PRESENCE = """st AS (SELECT DISTINCT snapshot_date, current_league_id AS league_id, t.season, CAST(round AS BIGINT) AS round, CAST(original_roster_id AS BIGINT) AS original_roster_id, CAST(owner_roster_id AS BIGINT) AS own FROM daily t JOIN lm USING (league_id)),
 dy AS (SELECT DISTINCT snapshot_date, league_id FROM st),
 dn AS (SELECT current_league_id AS league_id, CAST(season AS INT) AS season, rounds, CAST(make_timestamp(start_time * 1000) AS DATE) AS sd FROM drafts JOIN lm USING (league_id) WHERE drafts.status = 'complete'),
 cu AS (SELECT snapshot_date, dy.league_id, max(dn.season) AS cs, arg_max(rounds, dn.season) AS rr FROM dy LEFT JOIN dn ON dn.league_id = dy.league_id AND (sd IS NULL OR sd <= snapshot_date) GROUP BY snapshot_date, dy.league_id),
 me AS (SELECT DISTINCT snapshot_date, cu.league_id, total_rosters, coalesce(cs, latest_completed_season) AS cutoff, coalesce(rr, 3) AS rr, league_lineage_id FROM cu JOIN lm ON lm.current_league_id = cu.league_id),
 uu AS (SELECT DISTINCT snapshot_date, league_id, league_lineage_id, season, round, r FROM (SELECT me.*, cutoff + s AS season, rd AS round FROM me, generate_series(1, 3) AS a(s), generate_series(1, rr) AS b(rd) UNION SELECT me.*, CAST(st.season AS INT), st.round FROM me JOIN st USING (snapshot_date, league_id)), generate_series(1, total_rosters) AS c(r) WHERE season > cutoff),
-ow AS (SELECT snapshot_date, league_id, season, round, original_roster_id, min(own) AS own FROM st GROUP BY ALL)
-SELECT uu.snapshot_date, league_lineage_id, league_lineage_id || '_' || CAST(coalesce(own, uu.r) AS VARCHAR) AS franchise_id, CAST(uu.season AS VARCHAR) || ':' || CAST(uu.round AS VARCHAR) || ':' || CAST(uu.r AS VARCHAR) AS pick_id
-FROM uu LEFT JOIN ow ON ow.snapshot_date = uu.snapshot_date AND ow.league_id = uu.league_id AND ow.season = CAST(uu.season AS VARCHAR) AND ow.round = uu.round AND ow.original_roster_id = uu.r""",
-    leagues=LEAGUES, drafts=DRAFTS, daily=DAILY,
-)
+ow AS (SELECT snapshot_date, league_id, season, round, original_roster_id, min(own) AS own FROM st GROUP BY ALL),
+pp AS (SELECT uu.snapshot_date, league_lineage_id, league_lineage_id || '_' || CAST(coalesce(own, uu.r) AS VARCHAR) AS franchise_id, CAST(uu.season AS VARCHAR) || ':' || CAST(uu.round AS VARCHAR) || ':' || CAST(uu.r AS VARCHAR) AS pick_id
+FROM uu LEFT JOIN ow ON ow.snapshot_date = uu.snapshot_date AND ow.league_id = uu.league_id AND ow.season = CAST(uu.season AS VARCHAR) AND ow.round = uu.round AND ow.original_roster_id = uu.r)"""
+
+
+@query(f"WITH {_LINEAGE}, {_PICK_PRESENCE} SELECT * FROM pp", leagues=LEAGUES, drafts=DRAFTS, daily=DAILY)
 def o14_pick_presence(spark, d):
     return ledger.pick_presence(derive(spark, d, DAILY), None, derive(spark, d, LEAGUES), derive(spark, d, DRAFTS))
 
@@ -403,12 +423,12 @@ MOVE_ITEMS = "SELECT concat('T', CAST(l_orderkey AS STRING)) AS transaction_id,
 DRAFT_PICKS = "SELECT concat('D', CAST(s_nationkey AS STRING), '_2024') AS draft_id, 1 + s_suppkey % 6 AS roster_id, CAST(s_suppkey AS STRING) AS player_id FROM {supplier}"
 
 
-@query(
-    """WITH al AS (SELECT DISTINCT league_id, roster_id, player_id, created AS ts, action, transaction_id FROM it JOIN txns USING (transaction_id) WHERE status = 'complete'
-UNION ALL SELECT DISTINCT league_id, roster_id, player_id, coalesce(last_picked, start_time), 'add', draft_id FROM dp JOIN drafts USING (draft_id))
-SELECT league_lineage_id, league_lineage_id || '_' || CAST(roster_id AS VARCHAR) AS franchise_id, player_id, ts, CAST(make_timestamp(ts * 1000) AS DATE) AS date, action FROM al JOIN (SELECT DISTINCT league_id, league_lineage_id FROM leagues) USING (league_id)""",
-    it=MOVE_ITEMS, txns=TXNS, dp=DRAFT_PICKS, drafts=DRAFTS, leagues=LEAGUES,
-)
+_PLAYER_EVENTS = """pa_ AS (SELECT DISTINCT league_id, roster_id, player_id, created AS ts, action, transaction_id FROM items JOIN txns USING (transaction_id) WHERE status = 'complete'
+UNION ALL SELECT DISTINCT league_id, roster_id, player_id, coalesce(last_picked, start_time), 'add', draft_id FROM dp JOIN drafts USING (draft_id)),
+pev AS (SELECT league_lineage_id, league_lineage_id || '_' || CAST(roster_id AS VARCHAR) AS franchise_id, player_id, ts, CAST(make_timestamp(ts * 1000) AS DATE) AS date, action FROM pa_ JOIN (SELECT DISTINCT league_id, league_lineage_id FROM leagues) USING (league_id))"""
+
+
+@query(f"WITH {_PLAYER_EVENTS} SELECT * FROM pev", items=MOVE_ITEMS, txns=TXNS, dp=DRAFT_PICKS, drafts=DRAFTS, leagues=LEAGUES)
 def l7_player_events(spark, d):
     return ledger.player_events(derive(spark, d, TXNS), derive(spark, d, MOVE_ITEMS), derive(spark, d, DRAFTS), derive(spark, d, DRAFT_PICKS), _lineage_map(spark, d))
 
@@ -421,12 +441,29 @@ def l8_pick_trade_events(spark, d):
 ROSTER_DAYS = "SELECT concat('N', CAST(user_id % 25 AS STRING), '_2024') AS league_id, user_id % 6 + 1 AS roster_id, event_type AS player_id, CAST(ts AS DATE) AS snapshot_date FROM {events}"
 
 
-@query("SELECT DISTINCT league_lineage_id, league_lineage_id || '_' || CAST(roster_id AS VARCHAR) AS franchise_id, player_id, snapshot_date FROM rd JOIN (SELECT DISTINCT league_id, league_lineage_id FROM leagues) USING (league_id)", rd=ROSTER_DAYS, leagues=LEAGUES)
+_PLAYER_PRESENCE = "ppl AS (SELECT DISTINCT league_lineage_id, league_lineage_id || '_' || CAST(roster_id AS VARCHAR) AS franchise_id, player_id, snapshot_date FROM rd JOIN (SELECT DISTINCT league_id, league_lineage_id FROM leagues) USING (league_id))"
+
+
+@query(f"WITH {_PLAYER_PRESENCE} SELECT * FROM ppl", rd=ROSTER_DAYS, leagues=LEAGUES)
 def l9_player_presence(spark, d):
     return ledger.player_presence(derive(spark, d, ROSTER_DAYS), _lineage_map(spark, d))
 
 
-@query()
+_OWNER = "league_lineage_id, franchise_id"
+_ERA = "DATE '2024-01-10'"
+_CLIPPED = "valid_from, least(coalesce(valid_to, {0}), {0}) AS valid_to, false AS is_current FROM {1} WHERE valid_from < {0} AND valid_from < least(coalesce(valid_to, {0}), {0})"
+
+
+@query(
+    f"""WITH {_LINEAGE}, {_PLAYER_PRESENCE}, {_PLAYER_EVENTS}, {_PICK_PRESENCE}, {_LIFE}, {_TRADES}, {_PICK_STINTS},
+{_islands("e", "ppl", _OWNER + ", player_id", f"snapshot_date >= {_ERA}")}, {_stints("b", "pev", _OWNER + ", player_id")}, {_islands("q", "pp", _OWNER + ", pick_id", f"snapshot_date >= {_ERA}")},
+al_ AS (SELECT {_OWNER}, player_id AS asset_id, 'player' AS asset_type, valid_from, valid_to, valid_to IS NULL AS is_current FROM es
+UNION ALL SELECT {_OWNER}, player_id, 'player', {_CLIPPED.format(_ERA, "bs")}
+UNION ALL SELECT {_OWNER}, pick_id, 'pick', valid_from, valid_to, valid_to IS NULL FROM qs
+UNION ALL SELECT {_OWNER}, pick_id, 'pick', {_CLIPPED.format(_ERA, "pints")})
+SELECT *, CASE WHEN valid_from < {_ERA} THEN 'events' ELSE 'snapshots' END AS source, DATE '2024-02-01' AS loaded_at FROM al_""",
+    leagues=LEAGUES, drafts=DRAFTS, daily=DAILY, rounds=ROUNDS, txn=TXN_PICKS, txns=TXNS, overrides=OVERRIDES, rd=ROSTER_DAYS, items=MOVE_ITEMS, dp=DRAFT_PICKS,
+)
 def l16_ledger(spark, d):
     lineages = _lineage_map(spark, d)
     present = ledger.player_presence(derive(spark, d, ROSTER_DAYS), lineages)
@@ -445,16 +482,21 @@ def _team_ledger(spark, d):
 _TEAM_LEDGER = """dts AS (SELECT snapshot_date, row_number() OVER (ORDER BY snapshot_date) AS i, lead(snapshot_date) OVER (ORDER BY snapshot_date) AS nx FROM (SELECT DISTINCT snapshot_date FROM hold)),
 pp AS (SELECT k.*, i, nx, i - row_number() OVER (PARTITION BY franchise_id, asset_id ORDER BY k.snapshot_date) AS isl FROM hold k JOIN dts USING (snapshot_date)),
 tl AS (SELECT franchise_id, asset_id, asset_type, min(snapshot_date) AS valid_from, nullif(arg_max(coalesce(nx, DATE '9999-01-01'), i), DATE '9999-01-01') AS valid_to FROM pp GROUP BY franchise_id, asset_id, asset_type, isl)"""
-_VALUED = f"""{_TEAM_LEDGER}, g AS ({_WEEKS}), hd AS (SELECT tl.franchise_id, asset_id, g.date FROM tl JOIN g ON valid_from <= g.date AND (valid_to IS NULL OR valid_to > g.date)),
-pc AS (SELECT * FROM prices WHERE value > 0), va AS (SELECT hd.*, pc.value FROM hd ASOF LEFT JOIN pc ON hd.asset_id = pc.player_id AND hd.date >= pc.valuation_date)"""
+_VALUED = f"""{_TEAM_LEDGER}, g AS ({_WEEKS}), hd AS (SELECT tl.franchise_id, asset_id, asset_type, split_part(asset_id, ':', 1) AS season, TRY_CAST(split_part(asset_id, ':', 2) AS BIGINT) AS round, g.date FROM tl JOIN g ON valid_from <= g.date AND (valid_to IS NULL OR valid_to > g.date)),
+pc AS (SELECT * FROM prices WHERE value > 0), fp AS (SELECT season, round, arg_min(value, valuation_date) AS first_value FROM pick_prices GROUP BY ALL),
+vp AS (SELECT hp.*, pc.value FROM (SELECT * FROM hd WHERE asset_type = 'player') hp ASOF LEFT JOIN pc ON hp.asset_id = pc.player_id AND hp.date >= pc.valuation_date),
+vk AS (SELECT hk.*, k.value FROM (SELECT * FROM hd WHERE asset_type = 'pick') hk ASOF LEFT JOIN pick_prices k ON hk.season = k.season AND hk.round = k.round AND hk.date >= k.valuation_date),
+va AS (SELECT franchise_id, asset_id, asset_type, date, value FROM vp UNION ALL SELECT franchise_id, asset_id, asset_type, date, coalesce(value, first_value) FROM vk LEFT JOIN fp USING (season, round))"""
+_SUMS = """CAST(coalesce(sum(value) FILTER (asset_type = 'player'), 0) AS DOUBLE) AS player_value, CAST(coalesce(sum(value) FILTER (asset_type = 'pick'), 0) AS DOUBLE) AS pick_value,
+count(*) FILTER (asset_type = 'player' AND value > 0) AS n_player, count(*) FILTER (asset_type = 'pick' AND value > 0) AS n_pick, CAST(coalesce(sum(value), 0) AS DOUBLE) AS total_value"""
 
 
 def _dates(spark):
     return intervals.weekly_dates(spark, "2024-01-01", "2024-01-30")
 
 
-EVENT_KEYS = "SELECT event_id, user_id, CAST(ts AS DATE) AS date FROM {events} WHERE event_id % 2 = 0"
-USER_PRICES = "SELECT user_id, CAST(ts AS DATE) AS valuation_date, max(value) AS value FROM {events} WHERE event_id % 5 = 0 GROUP BY user_id, CAST(ts AS DATE)"
+EVENT_KEYS = "SELECT event_id, user_id, CAST(ts AS DATE) AS date FROM {events}"
+USER_PRICES = "SELECT user_id, CAST(ts AS DATE) AS valuation_date, max(value) AS value FROM {events} GROUP BY user_id, CAST(ts AS DATE)"
 
 
 @query("SELECT k.*, p.value FROM k ASOF LEFT JOIN p ON k.user_id = p.user_id AND k.date >= p.valuation_date", k=EVENT_KEYS, p=USER_PRICES)
@@ -474,9 +516,9 @@ def m3_backfill_first(spark, d):
     return asof.backfill_first(found, prices, ["user_id"], "value", "valuation_date")
 
 
-@query(f"WITH {_VALUED} SELECT franchise_id, date, sum(coalesce(value, 0))::DOUBLE AS player_value, 0.0::DOUBLE AS pick_value, count(value) AS n_player, 0::BIGINT AS n_pick, sum(coalesce(value, 0))::DOUBLE AS total_value FROM va GROUP BY franchise_id, date", hold=HOLD, prices=PRICES)
+@query(f"WITH {_VALUED} SELECT franchise_id, date, {_SUMS} FROM va GROUP BY franchise_id, date", hold=HOLD, prices=PRICES, pick_prices=PICK_PRICES)
 def m4_team_value(spark, d):
-    return measures.team_value_timeseries(_team_ledger(spark, d), _dates(spark), derive(spark, d, PRICES))
+    return measures.team_value_timeseries(_team_ledger(spark, d), _dates(spark), derive(spark, d, PRICES), derive(spark, d, PICK_PRICES))
 
 
 _ADJ = "(0.05 * pow(v / 10100.0, 1.3) + 0.05 * (v / (1.05 * greatest(a, 0.1))) + 0.1) * v * ((2.0 * pow(v / 10200.0, 1.3) + pow(greatest(a, 0.1) / 10200.0, 1.2)) / 3.0 * 0.7 + 0.3)"
@@ -505,14 +547,14 @@ def m6_power_index(spark, d):
     f"""WITH {_VALUED}, u AS (SELECT franchise_id, league_lineage_id, date, sum({_ADJ}) AS adj FROM (SELECT franchise_id, league_lineage_id, date, CAST(value AS DOUBLE) AS v, avg(value) OVER (PARTITION BY league_lineage_id, date, slot) AS a
 FROM (SELECT va.*, league_lineage_id, row_number() OVER (PARTITION BY date, franchise_id ORDER BY value DESC, asset_id) AS slot FROM va JOIN fr USING (franchise_id) WHERE value > 0)) GROUP BY ALL)
 SELECT franchise_id, league_lineage_id, date, round(adj, 3) AS adj_total, CAST(floor(adj / max(adj) OVER (PARTITION BY league_lineage_id, date) * 99) AS INT) AS power_index FROM u""",
-    hold=HOLD, prices=PRICES, fr=FRANCHISES,
+    hold=HOLD, prices=PRICES, pick_prices=PICK_PRICES, fr=FRANCHISES,
 )
 def m6_team_power_index(spark, d):
-    out = measures.team_power_index(_team_ledger(spark, d), _dates(spark), derive(spark, d, PRICES), derive(spark, d, FRANCHISES))
+    out = measures.team_power_index(_team_ledger(spark, d), _dates(spark), derive(spark, d, PRICES), derive(spark, d, FRANCHISES), derive(spark, d, PICK_PRICES))
     return out.withColumn("adj_total", F.round("adj_total", 3))
 
 
-_TV = f"{_VALUED}, tv AS (SELECT va.franchise_id, league_lineage_id, date, sum(coalesce(value, 0))::DOUBLE AS player_value, sum(coalesce(value, 0))::DOUBLE AS total_value, count(value) AS n_player FROM va JOIN fr USING (franchise_id) GROUP BY ALL)"
+_TV = f"{_VALUED}, tv AS (SELECT va.franchise_id, league_lineage_id, date, {_SUMS} FROM va JOIN fr USING (franchise_id) GROUP BY ALL)"
 
 
 def _tv(spark, d):
@@ -522,7 +564,7 @@ def _tv(spark, d):
 @query(
     f"""WITH {_TV}, ag AS (SELECT league_lineage_id, date, avg(total_value) AS league_mean, sum(total_value) AS league_total, CAST(sum(n_player) AS BIGINT) AS lg_players_valued, count(*) AS n_teams FROM tv GROUP BY ALL)
 SELECT *, league_total / greatest(lg_players_valued, 1) AS val_per_valued, round((league_mean / nullif(lag(league_mean) OVER w, 0) - 1) * 100, 1) AS wow_pct, lg_players_valued - lag(lg_players_valued) OVER w AS d_players FROM ag WINDOW w AS (PARTITION BY league_lineage_id ORDER BY date)""",
-    hold=HOLD, prices=PRICES, fr=FRANCHISES,
+    hold=HOLD, prices=PRICES, pick_prices=PICK_PRICES, fr=FRANCHISES,
 )
 def m7_league_diagnostics(spark, d):
     return measures.league_diagnostics(_tv(spark, d))[1]
@@ -532,32 +574,34 @@ def m7_league_diagnostics(spark, d):
     f"""WITH {_TV}, b AS (SELECT franchise_id, arg_min(total_value, date) AS base FROM tv WHERE total_value > 0 GROUP BY franchise_id)
 SELECT tv.franchise_id, date, league_lineage_id, round(total_value / nullif(avg(total_value) OVER w, 0), 6) AS share, round(total_value / base * 100, 6) AS idx, round(99 * player_value / nullif(max(player_value) OVER w, 0), 0) AS player_index, round(99 * total_value / nullif(max(total_value) OVER w, 0), 0) AS total_index
 FROM tv LEFT JOIN b USING (franchise_id) WINDOW w AS (PARTITION BY league_lineage_id, date)""",
-    hold=HOLD, prices=PRICES, fr=FRANCHISES,
+    hold=HOLD, prices=PRICES, pick_prices=PICK_PRICES, fr=FRANCHISES,
 )
 def m7_team_diagnostics(spark, d):
     plus = measures.league_diagnostics(_tv(spark, d))[0]
     return plus.select("franchise_id", "date", "league_lineage_id", F.round("share", 6).alias("share"), F.round("idx", 6).alias("idx"), "player_index", "total_index")
 
 
-@query(f"WITH {_TV} SELECT franchise_id, league_lineage_id, date, total_value, round(100 * total_value / nullif(avg(total_value) OVER (PARTITION BY league_lineage_id, date), 0), 6) AS total_value_rel FROM tv", hold=HOLD, prices=PRICES, fr=FRANCHISES)
+@query(f"WITH {_TV} SELECT franchise_id, league_lineage_id, date, total_value, round(100 * total_value / nullif(avg(total_value) OVER (PARTITION BY league_lineage_id, date), 0), 6) AS total_value_rel FROM tv", hold=HOLD, prices=PRICES, pick_prices=PICK_PRICES, fr=FRANCHISES)
 def m8_relative_to_mean(spark, d):
     out = measures.relative_to_mean(_tv(spark, d), "total_value", ["league_lineage_id", "date"])
     return out.select("franchise_id", "league_lineage_id", "date", "total_value", F.round("total_value_rel", 6).alias("total_value_rel"))
 
 
 @query(
-    f"""WITH {_TEAM_LEDGER}, held AS (SELECT franchise_id, asset_id FROM tl WHERE valid_from <= DATE '2024-01-20' AND (valid_to IS NULL OR valid_to > DATE '2024-01-20')),
-lt AS (SELECT player_id, CAST(arg_max(value, valuation_date) AS DOUBLE) AS v FROM prices WHERE valuation_date <= DATE '2024-01-20' AND value > 0 GROUP BY player_id)
-SELECT franchise_id, array_to_string(list(CAST(v AS BIGINT) ORDER BY v DESC) FILTER (v > 0), ',') AS bag, coalesce(sum(v), 0.0) AS naive_sum, count(v) AS n FROM held LEFT JOIN lt ON player_id = asset_id GROUP BY franchise_id""",
-    hold=HOLD, prices=PRICES,
+    f"""WITH {_TEAM_LEDGER}, held AS (SELECT franchise_id, asset_id, asset_type FROM tl WHERE valid_from <= DATE '2024-01-20' AND (valid_to IS NULL OR valid_to > DATE '2024-01-20')),
+lt AS (SELECT player_id, CAST(arg_max(value, valuation_date) AS DOUBLE) AS v FROM prices WHERE valuation_date <= DATE '2024-01-20' AND value > 0 GROUP BY player_id),
+lk AS (SELECT season || ':' || CAST(round AS VARCHAR) AS k, CAST(arg_max(value, valuation_date) AS DOUBLE) AS v FROM pick_prices WHERE valuation_date <= DATE '2024-01-20' GROUP BY ALL),
+hv AS (SELECT franchise_id, nullif(coalesce(lt.v, lk.v), 0) AS v FROM held LEFT JOIN lt ON asset_type = 'player' AND player_id = asset_id LEFT JOIN lk ON asset_type = 'pick' AND starts_with(asset_id, k || ':'))
+SELECT franchise_id, array_to_string(list(CAST(v AS BIGINT) ORDER BY v DESC) FILTER (v > 0), ',') AS bag, coalesce(sum(v), 0.0) AS naive_sum, count(v) AS n FROM hv GROUP BY franchise_id""",
+    hold=HOLD, prices=PRICES, pick_prices=PICK_PRICES,
 )
 def m9_team_bags(spark, d):
-    bags = measures.team_bags(_team_ledger(spark, d), "2024-01-20", derive(spark, d, PRICES))
+    bags = measures.team_bags(_team_ledger(spark, d), "2024-01-20", derive(spark, d, PRICES), derive(spark, d, PICK_PRICES))
     text = F.array_join(F.transform("values", lambda v: v.cast("bigint").cast("string")), ",")
     return bags.select("franchise_id", F.when(F.col("n") > 0, text).alias("bag"), "naive_sum", "n")
 
 
-@query(f"WITH {_TV} SELECT franchise_id, max(date) AS date, arg_max(total_value, date) AS total_value FROM tv GROUP BY franchise_id", hold=HOLD, prices=PRICES, fr=FRANCHISES)
+@query(f"WITH {_TV} SELECT franchise_id, max(date) AS date, arg_max(total_value, date) AS total_value FROM tv GROUP BY franchise_id", hold=HOLD, prices=PRICES, pick_prices=PICK_PRICES, fr=FRANCHISES)
 def m10_latest_ranked(spark, d):
     return measures.latest_ranked(_tv(spark, d), "total_value")
 

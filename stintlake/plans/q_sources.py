@@ -239,6 +239,14 @@ def b25_crawl_rows(spark, d):
     return flatten.crawl_league_rows(derive(spark, d, LEAGUE)).select("league_id", "name", "total_rosters", "settings", "roster_positions")
 
 
+CRAWLED = "SELECT to_json(named_struct('league_id', concat('L', CAST(c_nationkey AS STRING)), 'roster_id', c_custkey, 'owner_id', c_name, 'players', array(c_mktsegment, 'x'), 'settings', named_struct('wins', c_nationkey))) AS doc FROM {customer}"
+
+
+@query("SELECT 'L' || CAST(c_nationkey AS VARCHAR) AS league_id, CAST(c_custkey AS BIGINT) AS roster_id, c_name AS owner_id, '[\"' || c_mktsegment || '\",\"x\"]' AS players, CAST(NULL AS VARCHAR) AS taxi, '{\"wins\":' || CAST(c_nationkey AS VARCHAR) || '}' AS settings FROM customer")
+def b25_crawl_rosters(spark, d):
+    return flatten.crawl_roster_rows(derive(spark, d, CRAWLED)).select("league_id", "roster_id", "owner_id", "players", "taxi", "settings")
+
+
 @query("SELECT event_id, CAST(json_extract_string(props, '$.page') AS VARCHAR) AS page FROM events")
 def b26_text_to_nested(spark, d):
     nested = flatten.text_to_nested(table(spark, d, "events"), "props", "map<string,string>", "p")
@@ -261,6 +269,42 @@ def b27_harvest_brackets(spark, d):
     return flatten.harvest_tables(derive(spark, d, SEASON), lineage)["brackets"].select("league_id", "season", "bracket", "round", "match_id", "t1", "league_lineage_id")
 
 
+#: The other tables of a season document: entity -> {field: its value, in words that both engines know}.
+_HARVEST = {
+    "transactions": {"leg": "CAST(o_orderkey % 17 AS STRING)", "transaction_id": "concat('T', CAST(o_orderkey AS STRING))", "type": "o_orderstatus", "status": "o_orderpriority"},
+    "rosters": {"roster_id": "CAST(o_orderkey AS STRING)", "owner_id": "concat('O', CAST(o_custkey AS STRING))", "players": "o_orderpriority"},
+    "users": {"user_id": "concat('U', CAST(o_orderkey AS STRING))", "display_name": "o_orderpriority", "is_owner": "'true'"},
+    "traded_picks": {"season": "'2025'", "round": "CAST(1 + o_orderkey % 4 AS STRING)", "roster_id": "CAST(o_orderkey AS STRING)", "previous_owner_id": "'1'", "owner_id": "'2'"},
+    "drafts": {"draft_id": "concat('D', CAST(o_orderkey AS STRING))", "type": "'snake'", "status": "o_orderstatus"},
+    "draft_picks": {"draft_id": "concat('D', CAST(o_orderkey AS STRING))", "pick_no": "CAST(o_orderkey % 40 AS STRING)", "round": "'1'", "player_id": "CAST(o_orderkey AS STRING)"},
+}
+_FIELDS = ", ".join(f"'{e}', collect_list(map({', '.join(f"'{k}', {v}" for k, v in fields.items())}))" for e, fields in _HARVEST.items())
+SEASON_ARRAYS = f"SELECT to_json(named_struct('league_id', concat('L', CAST(o_custkey AS STRING)), 'season', '2024', 'name', 'n', 'total_rosters', 12, 'settings', named_struct('playoff_teams', o_custkey % 7), {_FIELDS})) AS doc FROM {{orders}} GROUP BY o_custkey"
+_LINEAGES = "SELECT DISTINCT concat('L', CAST(o_custkey AS STRING)) AS league_id, concat('R', CAST(o_custkey % 3 AS STRING)) AS league_lineage_id FROM {orders}"
+
+
+def _harvested(entity: str, fields: dict[str, str]) -> None:
+    renamed = {k: "pick_season" if entity == "traded_picks" and k == "season" else k for k in fields}
+
+    def harvest(spark, d):
+        out = flatten.harvest_tables(derive(spark, d, SEASON_ARRAYS), derive(spark, d, _LINEAGES))[entity]
+        return out.select("league_id", "season", *renamed.values(), "league_lineage_id")
+
+    harvest.__name__ = f"b27_harvest_{entity}"
+    columns = ", ".join(f"{v.replace('STRING', 'VARCHAR')} AS {renamed[k]}" for k, v in fields.items())
+    query(f"SELECT 'L' || CAST(o_custkey AS VARCHAR) AS league_id, '2024' AS season, {columns}, 'R' || CAST(o_custkey % 3 AS VARCHAR) AS league_lineage_id FROM orders")(harvest)
+
+
+for _entity, _fields in _HARVEST.items():
+    _harvested(_entity, _fields)
+
+
+@query("SELECT DISTINCT 'L' || CAST(o_custkey AS VARCHAR) AS league_id, '2024' AS season, 'n' AS name, CAST(12 AS BIGINT) AS total_rosters, CAST(o_custkey % 7 AS BIGINT) AS playoff_teams, CAST(NULL AS BIGINT) AS num_teams, 'R' || CAST(o_custkey % 3 AS VARCHAR) AS league_lineage_id FROM orders")
+def b27_harvest_season_meta(spark, d):
+    out = flatten.harvest_tables(derive(spark, d, SEASON_ARRAYS), derive(spark, d, _LINEAGES))["season_meta"]
+    return out.select("league_id", "season", "name", "total_rosters", "playoff_teams", "num_teams", "league_lineage_id")
+
+
 LOOSE = "SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN '' WHEN 1 THEN ' 12 ' WHEN 2 THEN 'NA' WHEN 3 THEN '1,234.5' WHEN 4 THEN 'abc' ELSE CAST(o_custkey AS STRING) END AS t FROM {orders}"
 
 
@@ -292,19 +336,22 @@ KNOWN = "SELECT league_id, league_lineage_id, CAST(2000 + depth AS STRING) AS se
 MEMBERS = "SELECT CAST(o_orderkey AS STRING) AS league_id, concat('U', CAST(o_custkey AS STRING)) AS user_id FROM {orders}"
 
 
-@query(f"WITH p AS ({_PLACES}) SELECT p.league_id, q.league_id AS previous_league_id, CAST(p.o_custkey AS VARCHAR) AS league_lineage_id, CAST(p.depth - 1 AS INT) AS hop FROM p JOIN p q ON q.o_custkey = p.o_custkey AND q.depth = p.depth - 1 WHERE p.depth BETWEEN 2 AND 4")
+@query(f"WITH p AS ({_PLACES}) SELECT p.league_id, q.league_id AS previous_league_id, CAST(p.o_custkey AS VARCHAR) AS league_lineage_id, CAST(p.depth - 1 AS INT) AS hop FROM p JOIN p q ON q.o_custkey = p.o_custkey AND q.depth = p.depth - 1 WHERE p.depth BETWEEN 2 AND 6")
 def g3_discover_forward(spark, d):
-    return graph.discover_forward(derive(spark, d, KNOWN), derive(spark, d, CHAIN), derive(spark, d, MEMBERS), hops=3)
+    return graph.discover_forward(derive(spark, d, KNOWN), derive(spark, d, CHAIN), derive(spark, d, MEMBERS))
 
 
-USER_LEAGUE = "SELECT DISTINCT concat('U', CAST(o_custkey % 300 AS STRING)) AS user_id, concat('P', CAST(o_orderkey % 2000 AS STRING)) AS league_id FROM {orders} WHERE o_orderkey % 7 = 0"
-SEEDS = "SELECT concat('U', CAST(min(o_custkey % 300) AS STRING)) AS user_id FROM {orders} WHERE o_orderkey % 7 = 0"
+#: Suppliers meet in orders. The crawl starts from the first supplier, under its default cap.
+USER_LEAGUE = "SELECT DISTINCT concat('U', CAST(l_suppkey AS STRING)) AS user_id, concat('P', CAST(l_orderkey AS STRING)) AS league_id FROM {lineitem}"
+SEEDS = "SELECT concat('U', CAST(min(l_suppkey) AS STRING)) AS user_id FROM {lineitem}"
+_HOPS = """l0 AS (SELECT DISTINCT league_id FROM e JOIN s USING (user_id)), u1 AS (SELECT DISTINCT user_id FROM e JOIN l0 USING (league_id)), l1 AS (SELECT DISTINCT league_id FROM e JOIN u1 USING (user_id)),
+u2 AS (SELECT DISTINCT user_id FROM e JOIN l1 USING (league_id)), l2 AS (SELECT DISTINCT league_id FROM e JOIN u2 USING (user_id)), u3 AS (SELECT DISTINCT user_id FROM e JOIN l2 USING (league_id)), l3 AS (SELECT DISTINCT league_id FROM e JOIN u3 USING (user_id))"""
 
 
-@query()
+@query(f"WITH {_HOPS} SELECT league_id, CAST(min(hop) AS INT) AS hop FROM (SELECT *, 0 AS hop FROM l0 UNION ALL SELECT *, 1 FROM l1 UNION ALL SELECT *, 2 FROM l2 UNION ALL SELECT *, 3 FROM l3) GROUP BY league_id ORDER BY hop, league_id LIMIT 10000", e=USER_LEAGUE, s=SEEDS)
 def g4_bfs_crawl(spark, d):
     edges = derive(spark, d, USER_LEAGUE)
-    return graph.bfs_crawl(derive(spark, d, SEEDS), edges, edges, cap=500)
+    return graph.bfs_crawl(derive(spark, d, SEEDS), edges, edges)
 
 
 # --- sources: round trips through the session's scratch folder ------------------------------------------
@@ -315,6 +362,8 @@ def _folder(spark) -> str:
     import uuid
 
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     return f"{named}/stintlake-{uuid.uuid4().hex}" if named else tempfile.mkdtemp(prefix="stintlake-")
 
 

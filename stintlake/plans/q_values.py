@@ -21,15 +21,15 @@ def d1_merge_full_and_incremental(spark, d):
 
 #: Orders as a chain: every order points to the same customer's order before it.
 CHAIN = """SELECT CAST(o_orderkey AS STRING) AS league_id, CAST(lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS STRING) AS previous_league_id,
-  CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INT) AS place, o_custkey, o_orderstatus FROM {orders} WHERE o_custkey % 4 = 0"""
-META_FULL = "SELECT league_id, previous_league_id, CASE WHEN place = 1 THEN league_id END AS league_lineage_id, CAST(2000 + place AS STRING) AS season, CASE WHEN o_orderstatus = 'F' THEN 'complete' ELSE 'in_season' END AS status, 10 AS total_rosters FROM (" + CHAIN + ") AS c WHERE place <= 8"
+  CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INT) AS place, o_custkey, o_orderstatus FROM {orders}"""
+META_FULL = "SELECT league_id, previous_league_id, CASE WHEN place = 1 THEN league_id END AS league_lineage_id, CAST(2000 + place AS STRING) AS season, CASE WHEN o_orderstatus = 'F' THEN 'complete' ELSE 'in_season' END AS status, 10 AS total_rosters, place, o_custkey FROM (" + CHAIN + ") AS c"
 META_STATUS = "SELECT league_id, 'complete' AS status FROM (" + CHAIN + ") AS c WHERE place = 2"
 
 
 @query(
-    """WITH RECURSIVE up AS (SELECT league_id, league_id AS root FROM f WHERE previous_league_id IS NULL UNION ALL SELECT f.league_id, up.root FROM f JOIN up ON f.previous_league_id = up.league_id)
-SELECT f.league_id, root AS league_lineage_id, CAST(NULL AS VARCHAR) AS league_name, season, coalesce(s.status, f.status) AS status, CAST(NULL AS VARCHAR) AS season_type, total_rosters, CAST(NULL AS VARCHAR) AS draft_id, CAST(NULL AS VARCHAR) AS bracket_id,
-CAST(NULL AS VARCHAR) AS leg, CAST(NULL AS VARCHAR) AS last_scored_leg, previous_league_id, f.league_id = root AS is_original, coalesce(s.status, f.status) <> 'complete' AS is_active FROM f JOIN up USING (league_id) LEFT JOIN s ON s.league_id = f.league_id""".replace("WITH RECURSIVE", "WITH"),
+    """WITH g AS (SELECT f.*, first_value(league_id) OVER (PARTITION BY o_custkey ORDER BY place) AS first_id FROM f), r AS (SELECT *, CASE WHEN place <= 13 THEN first_id ELSE league_id END AS root FROM g)
+SELECT r.league_id, root AS league_lineage_id, CAST(NULL AS VARCHAR) AS league_name, season, coalesce(s.status, r.status) AS status, CAST(NULL AS VARCHAR) AS season_type, total_rosters, CAST(NULL AS VARCHAR) AS draft_id, CAST(NULL AS VARCHAR) AS bracket_id,
+CAST(NULL AS VARCHAR) AS leg, CAST(NULL AS VARCHAR) AS last_scored_leg, previous_league_id, r.league_id = root AS is_original, coalesce(s.status, r.status) <> 'complete' AS is_active FROM r LEFT JOIN s ON s.league_id = r.league_id""",
     f=META_FULL, s=META_STATUS,
 )
 def d2_dim_leagues_meta(spark, d):
@@ -37,10 +37,6 @@ def d2_dim_leagues_meta(spark, d):
     return dimensions.dim_leagues_meta(full, full.limit(0), derive(spark, d, META_STATUS))
 
 
-from stintlake.plans.registry import ORACLES  # noqa: E402
-
-ORACLES["d2_dim_leagues_meta"] = ORACLES["d2_dim_leagues_meta"].replace("WITH f AS", "WITH RECURSIVE f AS", 1)
-
 OLD = "SELECT c_custkey AS league_id, CAST(floor(c_acctbal) AS BIGINT) AS teams, c_mktsegment AS kind FROM {customer} WHERE c_custkey % 5 <> 0"
 NEW = "SELECT c_custkey AS league_id, CASE WHEN c_custkey % 4 = 0 THEN CAST(floor(c_acctbal) AS BIGINT) + 1 ELSE CAST(floor(c_acctbal) AS BIGINT) END AS teams, CASE WHEN c_custkey % 9 = 0 THEN CAST(NULL AS STRING) ELSE c_mktsegment END AS kind FROM {customer} WHERE c_custkey % 7 <> 0"
 
@@ -188,10 +184,9 @@ WIDE = """SELECT CAST(l_shipdate AS DATE) AS valuation_date, concat('name-', CAS
   FROM {lineitem} GROUP BY l_shipdate, l_partkey, l_suppkey"""
 _LONG = """lo AS (SELECT valuation_date, slug, playerName, '1QB' AS qb_format, 'Standard' AS te_premium, oneqb_value AS value FROM w UNION ALL SELECT valuation_date, slug, playerName, '1QB', 'TEP', oneqb_tep_value FROM w
 UNION ALL SELECT valuation_date, slug, playerName, 'SF', 'Standard', sf_value FROM w UNION ALL SELECT valuation_date, slug, playerName, 'SF', 'TEP', sf_tep_value FROM w)"""
-_PICK = r"regexp_matches(playerName, '(?i)pick|round|1st|2nd|3rd|4th|20[2-9][0-9]')"
 
 
-@query(f"WITH {_LONG} SELECT valuation_date, 'wide_feed' AS source_system, CAST(try_cast(split_part(slug, '-', -1) AS BIGINT) AS VARCHAR) AS source_id, playerName AS asset_name, CASE WHEN {_PICK} THEN 'PICK' ELSE 'PLAYER' END AS asset_type, 'DYNASTY' AS market_type, qb_format, te_premium, CAST(value AS DOUBLE) AS value FROM lo WHERE value IS NOT NULL", w=WIDE)
+@query(f"WITH {_LONG} SELECT valuation_date, 'wide_feed' AS source_system, slug AS source_id, playerName AS asset_name, 'PLAYER' AS asset_type, 'DYNASTY' AS market_type, qb_format, te_premium, CAST(value AS DOUBLE) AS value FROM lo WHERE value IS NOT NULL", w=WIDE)
 def v1_melt_values(spark, d):
     return values.melt_values(derive(spark, d, WIDE), "DYNASTY")
 
@@ -226,7 +221,7 @@ def v5_stack_latest(spark, d):
 
 
 STAGING = """SELECT CAST(l_shipdate AS DATE) AS valuation_date, CASE WHEN l_linenumber % 2 = 0 THEN 'ktc' ELSE 'fc' END AS source_system, CAST(l_partkey AS STRING) AS source_id, concat('P', CAST(l_partkey % 900 AS STRING)) AS asset_name, 'DYNASTY' AS market_type,
-  CASE WHEN l_suppkey % 2 = 0 THEN 'SF' ELSE '1QB' END AS qb_format, 'Standard' AS te_premium, CAST(floor(l_extendedprice) AS BIGINT) AS value FROM {lineitem} WHERE l_orderkey % 3 = 0"""
+  CASE WHEN l_suppkey % 2 = 0 THEN 'SF' ELSE '1QB' END AS qb_format, 'Standard' AS te_premium, CAST(floor(l_extendedprice) AS BIGINT) AS value FROM {lineitem}"""
 PLAYER_DIM = "SELECT CAST(p_partkey AS STRING) AS player_id, concat('P', CAST(p_partkey % 1500 AS STRING)) AS name, CASE WHEN p_partkey % 6 <> 0 THEN p_partkey END AS ktc_id FROM {part}"
 _RESOLVED = """un AS (SELECT name, any_value(player_id) AS pid FROM pd GROUP BY name HAVING count(*) = 1),
 rs AS (SELECT st.*, CASE WHEN source_system = 'ktc' THEN k.player_id WHEN source_system = 'fc' THEN un.pid END AS player_id FROM st LEFT JOIN pd k ON CAST(k.ktc_id AS VARCHAR) = source_id LEFT JOIN un ON un.name = asset_name)"""
@@ -344,7 +339,7 @@ def v18_rookie_selections(spark, d):
     return values.rookie_selections(derive(spark, d, DRAFT_HEADS), derive(spark, d, SELECTED))
 
 
-LEFT_NAMES = "SELECT l_orderkey, l_linenumber, concat('P', CAST(l_partkey % 1800 AS STRING)) AS name FROM {lineitem} WHERE l_orderkey % 5 = 0"
+LEFT_NAMES = "SELECT l_orderkey, l_linenumber, concat('P', CAST(l_partkey % 1800 AS STRING)) AS name FROM {lineitem}"
 
 
 @query("SELECT name, l_orderkey, l_linenumber, pid AS player_id FROM l JOIN (SELECT name, any_value(player_id) AS pid FROM pd GROUP BY name HAVING count(*) = 1) USING (name)", l=LEFT_NAMES, pd=PLAYER_DIM)

@@ -1,10 +1,13 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from conftest import rows
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from stintlake.functions import coerce
-from stintlake.operators import calendar, features, measures, values
+from stintlake.operators import calendar, dedupe, features, intervals, measures, values
 
 
 def test_pick_names(spark):
@@ -73,3 +76,43 @@ def test_replacement_level_and_sequences(spark):
     assert rows(features.vorp(df, "season", "position", "pts", {"QB": 3}), "id", "vorp") == [(1, -10), (2, 0), (3, 10), (4, 20)]
     seq = features.feature_sequences(df, "id", "season", ["pts"], "pts", 3).collect()
     assert all(len(r["sequence"]) == 3 and r["sequence"][0] == [0.0] for r in seq)
+
+
+def test_split_is_a_function_of_the_key(spark):
+    df = spark.range(4000).selectExpr("id", "id % 1000 AS player")
+    of = lambda frame: {r["player"]: r["is_train"] for r in features.split(frame, 0.8, "player").collect()}
+    marks = of(df)
+    assert features.split(df, 0.8, "player").select("player", "is_train").distinct().count() == 1000  # no key on both sides
+    assert 0.75 < sum(marks.values()) / 1000 < 0.85
+    assert of(df.orderBy(F.desc("id")).repartition(5)) == marks
+
+
+@pytest.mark.parametrize(("window", "degree"), [(7, 2), (9, 3)])
+def test_smoothing_is_a_local_fit(spark, window, degree):
+    values_ = [float((k * 37) % 11) for k in range(25)]
+    df = spark.createDataFrame([("a", k, v) for k, v in enumerate(values_)], "s string, k int, v double")
+    got = {r["k"]: r["smooth"] for r in features.savgol(df, ["s"], "k", "v", window, degree).collect()}
+    half = window // 2
+    for k in range(25):
+        middle = min(max(k, half), 24 - half)  # the ends take the fit of the first and last window
+        x = np.arange(-half, half + 1)
+        assert abs(got[k] - np.polyval(np.polyfit(x, values_[middle - half : middle + half + 1], degree), k - middle)) < 1e-8
+
+
+def test_kept_rows_are_those_of_a_numbered_window(spark):
+    rows = [(k % 3, None if k % 5 == 0 else k % 4, dt.date(2024, 1, 1 + k % 6) if k % 7 else None, float("nan") if k == 11 else k / 3, "abc"[k % 3], k % 2 == 0) for k in range(40)]
+    df = spark.createDataFrame(rows, "id int, n int, d date, f double, t string, b boolean")
+    for column in ("n", "d", "f", "t", "b"):
+        for keep, order in ((dedupe.keep_first, F.col(column)), (dedupe.keep_last, F.desc(column))):
+            line = Window.partitionBy("id").orderBy(order, "n", "d", "f", "t", "b")
+            want = df.withColumn("_n", F.row_number().over(line)).where("_n = 1").drop("_n")
+            assert sorted(map(str, keep(df, ["id"], [column]).collect())) == sorted(map(str, want.collect())), column
+
+
+def test_unknown_franchises_stay_in_the_index(spark):
+    held = spark.sql("SELECT * FROM VALUES ('f1', 'p', 'player', date'2024-01-01'), ('f2', 'p', 'player', date'2024-01-01') AS t(franchise_id, asset_id, asset_type, snapshot_date)")
+    ledger = intervals.build_snapshot_intervals(held, ["franchise_id", "asset_id", "asset_type"])
+    prices = spark.sql("SELECT 'p' AS player_id, date'2023-12-01' AS valuation_date, 5000L AS value")
+    known = spark.sql("SELECT 'f1' AS franchise_id, 'L' AS league_lineage_id")
+    out = measures.team_power_index(ledger, intervals.weekly_dates(spark, "2024-01-01", "2024-01-01"), prices, known)
+    assert {(r["franchise_id"], r["league_lineage_id"], r["power_index"]) for r in out.collect()} == {("f1", "L", 99), ("f2", None, 99)}
