@@ -304,7 +304,7 @@ def _counted(examples: DataFrame) -> DataFrame:
                     codes, at = (T.PLAIN[data], at) if unit.width == 1 else (np.frombuffer(data.tobytes(), np.uint64), at // 8)
                     count = np.diff(at) - unit.length + 1
                     row = np.repeat(np.arange(len(part)), count)
-                    inside = np.arange(len(row)) - np.repeat(np.append(0, np.cumsum(count)[:-1]), count)
+                    inside = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
                     start = at[row] + inside
                     hashed = T.prime_hash(T.prime_prefix(codes), start, start + unit.length).view(np.int64)
                     take = lambda i: part.column(i).to_numpy(zero_copy_only=False)[row]  # noqa: E731, B023

@@ -482,6 +482,13 @@ def test_repeats_against_brute_force(spark, corpus, hot, monkeypatch):
     assert substring_dedup.report(docs.limit(0)).count() == 0
 
 
+def test_hot_anchors_of_one_unit_only(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT_KINDS", 1)
+    texts = ["x" * 30 + "y" * 700 + "z" * 10, "y" * 600 + "q" * 400, "u" * 500]  # single words: no passages
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.report(make(spark, texts)).collect()}
+    assert got == {k: e[1] for k, e in enumerate(brute_repeats([t.encode() for t in texts]))}
+
+
 def test_interleave_orders_and_measures():
     rng = random.Random(8)
     strings = [bytes(rng.choice((0, 97, 98)) for _ in range(rng.randrange(0, 30))) * rng.randrange(1, 4) for _ in range(300)]
