@@ -10,8 +10,10 @@ of the documents) is read on the driver and sent to the tasks. The added token i
 first, as the library does. Words repeat, so each task keeps the ids of the words it has met, up to
 CACHE_WORDS, then starts afresh.
 
-Null texts count as empty and give no tokens. Repeated rows give the same result each. Only doc_id and
-text are read.
+Null texts count as empty and give no tokens. Repeated rows give the same result each; ties of rank are
+broken by the leftmost position. A very long text is encoded word by word, so it takes a few times its
+bytes; a very long word takes a tree of its own. An empty table gives an empty result. Only doc_id (any
+type) and text are read, so extra columns have no influence.
 """
 
 from __future__ import annotations

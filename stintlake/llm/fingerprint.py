@@ -7,7 +7,9 @@ smallest hash instead, so that short texts stay comparable with their copies.
 
 A fingerprint is the ascending kept hashes, 16 hex digits each, in one string. Null and empty texts
 have the empty fingerprint; two empty fingerprints have likeness 1, an empty and another one 0. Equal
-texts have equal fingerprints. Only doc_id and text are read.
+texts have equal fingerprints. A very long text is a slice of its own: memory is some hundred times its
+bytes. An empty table gives an empty result. Only doc_id and text are read, so extra columns have no
+influence; doc_id must be a number or cast to one, else it is an error.
 
 The next document is the next row by (doc_id, text), nulls first; repeated ids are thus neighbours,
 and after the last row comes the first. A table of one row is its own next document.

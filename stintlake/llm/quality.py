@@ -7,8 +7,9 @@ counts in WORD_BINS hashed bins; the statistics of STATS are standardised over t
 Training is on a bounded sample (training.SAMPLE_ROWS) of labelled rows.
 
 Null texts count as empty; an empty text has a score (from its statistics alone). Repeated rows give
-the same score each; an empty table gives an empty result. Only doc_id and text are read, so further
-columns, whatever their names, have no influence.
+the same score each; rows are scored alone, so there are no ties. A very long text is a slice of its own:
+memory is some hundred times its bytes. An empty table gives an empty result, and without labels all
+scores are equal. Only doc_id (any type) and text are read, so further columns have no influence.
 """
 
 from __future__ import annotations

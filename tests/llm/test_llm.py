@@ -140,6 +140,30 @@ def test_fingerprints(spark, corpus):
     assert [r["near_next"] for r in alone] == [1.0]
 
 
+def test_sketches_and_likeness_against_brute_force(spark, corpus):
+    texts = [*corpus, corpus[12] + " tail of other words", "a b c d e"]
+    rows = sorted(fingerprint.compare_with_next(make(spark, texts)).collect(), key=lambda r: r["doc_id"])
+
+    def brute(text):
+        data, at = textops.buffers(pa.array([text or ""]))
+        start, end, row = textops.words(data, at)
+        every = set()
+        words_ = textops.span_hash(textops.prefix_hash(data), start, end)
+        for k in range(max(1, len(words_) - 4) if len(words_) else 0):
+            part = words_[k : k + 5]
+            every |= set(textops.shingles(part, np.zeros(len(part), np.int64), 1)[0].tolist())
+        return {h for h in every if h < 1 << 61} or ({min(every)} if every else set())
+
+    def likeness(a, b):
+        return len(a & b) / min(len(a), len(b)) if a and b else float(not a and not b)
+
+    sketches = [brute(t) for t in texts]
+    for k, r in enumerate(rows):
+        assert {int(r["fingerprint"][i : i + 16], 16) for i in range(0, len(r["fingerprint"]), 16)} == sketches[k]
+        assert r["near_next"] == pytest.approx(likeness(sketches[k], sketches[(k + 1) % len(texts)]))
+    assert fingerprint.compare_with_next(make(spark, texts).limit(0)).count() == 0
+
+
 def test_sketches_estimate_containment_and_merge():
     rng = random.Random(1)
     big, small = words(rng, 20_000, "abcdefghijklmnop"), None
@@ -260,10 +284,21 @@ def test_media_round_trip(spark, corpus):
         raw = (t or "").encode()
         padded = raw + b"\xff" * (576 - len(raw) % 576 if len(raw) % 576 or not raw else 0)
         assert (rows[k]["n_bytes"], rows[k]["payload_bytes"], rows[k]["payload_sha256"], rows[k]["tail_crc32"]) == (len(raw), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-32:]))
+        frames = len(padded) // 576
+        first = rows[k]["media_bytes"] - 648 * frames
+        assert rows[k]["frame_offsets"] == [first + 648 * i for i in range(frames)]
+        length = Fraction(576 * frames, 16000)
+        assert rows[k]["duration"] == f"{length.numerator}/{length.denominator}" and rows[k]["samples"] == 576 * frames
     assert rows[10]["media_sha256"] == rows[46]["media_sha256"] and rows[10]["feature"] == rows[46]["feature"]
     assert media.digest(docs.limit(0)).count() == 0
 
 
+def test_reader_keeps_every_tag():
+    frames = b"".join(b"TXXX" + len(note).to_bytes(4, "big") + b"\0\0" + note for note in (f"\0k{i}\0v{i}".encode() for i in range(400)))
+    tags = media.read(b"ID3\x03\x00\x00" + bytes(len(frames) >> s & 0x7F for s in (21, 14, 7, 0)) + frames)["tags"]
+    assert tags == {f"k{i}": f"v{i}" for i in range(400)}
+
+
 def test_reader_resynchronises():
     whole = media.encode(b"payload " * 400)
     found = media.read(whole)
