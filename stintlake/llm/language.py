@@ -133,7 +133,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> dict:
     with crc32(doc_id) mod 3 other than 1. Rows with equal language and text count once in it."""
     allowed = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.coalesce(fold("doc_id", 3) != 1, F.lit(False)) & F.col("text").isNotNull())
     allowed = allowed.withColumn("_place", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)))
-    share = allowed.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(1.2 * per_language) / F.count("*")).alias("_share"))
+    # stored, so that its size is known when the join is planned: texts are shuffled only if it is large
+    share = keep(allowed.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(1.2 * per_language) / F.count("*")).alias("_share")))
     some = allowed.join(share, "lang").where(F.col("_place") < F.col("_share") * (1 << 40)).groupBy("lang", "text").agg(F.min("_place").alias("_place"))
     line = Window.partitionBy("lang").orderBy("_place", "text")
     return fit(some.withColumn("_n", F.row_number().over(line)).where(F.col("_n") <= per_language).select("lang", "text"))
