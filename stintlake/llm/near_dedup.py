@@ -42,7 +42,7 @@ SHINGLE, SAMPLES, PICKS, SIMILARITY = 5, 24, 2, 0.8
 #: Rows of a file of the stored tables.
 FILE_ROWS = 500_000
 #: Bins of a bag of words, and the nodes of a bucket that are met as one block.
-BINS, BLOCK = 256, 1000
+BINS, BLOCK = 256, 4000
 _seed = np.random.default_rng(1905)
 _XOR = _seed.integers(0, 1 << 64, SAMPLES, dtype=np.uint64)
 _TIMES = _seed.integers(0, 1 << 64, SAMPLES, dtype=np.uint64) | np.uint64(1)
