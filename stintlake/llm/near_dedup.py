@@ -13,8 +13,9 @@ similar to their leader get another chance: they are bucketed again by pairs of
 left with, so that those which agree on two entries meet without the leaders that stood between them.
 What then still belongs to different classes within a bucket is compared pair by pair, so that all pairs
 which agree on an entry are either compared or already in one class. Only pairs whose numbers of words or
-bags of words rule the threshold out (lower bounds of the edit distance) are spared the alignment. Large
-buckets are cut into blocks, and each pair of blocks is a group of its own.
+bags of words rule the threshold out (lower bounds of the edit distance) are spared the alignment. Buckets
+are cut by the number of words, as similar texts differ little in it, and large ones into blocks, each
+pair of which is a group of its own; members of a bucket's largest class only meet the others.
 
 Equal texts are one node from the start. Classes are the connected components of the links.
 
@@ -41,7 +42,7 @@ from stintlake.llm.scratch import keep
 SHINGLE, SAMPLES, PICKS, SIMILARITY = 5, 24, 2, 0.8
 #: Rows of a file of the stored tables.
 FILE_ROWS = 500_000
-#: Bins of a bag of words, and the nodes of a bucket that are met as one block.
+#: Bins of a bag of words, and the nodes of a cell of a bucket that are met as one block.
 BINS, BLOCK = 256, 4000
 _seed = np.random.default_rng(1905)
 _XOR = _seed.integers(0, 1 << 64, SAMPLES, dtype=np.uint64)
@@ -181,8 +182,16 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return whole.select("node", "leader", "a", "b").mapInArrow(align, "node long, leader long, holds boolean")
 
 
+def band(size: np.ndarray) -> np.ndarray:
+    """Bands of numbers of words: texts that within() accepts are in the same or in neighbouring bands."""
+    edges = [1]
+    while edges[-1] <= max(size, default=0):
+        edges.append(int(edges[-1] / SIMILARITY) + 1)  # above 1 / SIMILARITY times the edge before
+    return np.searchsorted(np.array(edges), size, "right")
+
+
 def _bags(docs: DataFrame) -> DataFrame:
-    """node, number of words and word counts in BINS bins (up to 255 each) of every row."""
+    """node, number of words, its band and word counts in BINS bins (up to 255 each) of every row."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,21 +200,23 @@ def _bags(docs: DataFrame) -> DataFrame:
                 found = (text.as_py() or "").split()  # the words that within() compares
                 size.append(len(found))
                 bags.append(np.minimum(np.bincount(np.array([zlib.crc32(w.encode()) % BINS for w in found], np.int64), minlength=BINS), 255).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int32()), pa.array(bags, pa.binary())], names=["node", "size", "bag"])
+            columns = [batch.column(0), pa.array(size, pa.int32()), pa.array(band(np.array(size, np.int64)), pa.int32()), pa.array(bags, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "size", "band", "bag"])
 
-    return docs.mapInArrow(count, "node long, size int, bag binary")
+    return docs.mapInArrow(count, "node long, size int, band int, bag binary")
 
 
-def possible(size: np.ndarray, bag: np.ndarray, root: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows from different roots that within() could accept; of two parts, only pairs across."""
+def possible(size: np.ndarray, bag: np.ndarray, root: np.ndarray, part: np.ndarray, guest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows from different roots that within() could accept, but for pairs of guests; of two
+    parts, only pairs across."""
     order = np.argsort(size, kind="stable")
-    size, bag, root, part = size[order], bag[order].astype(np.int16), root[order], part[order]
+    size, bag, root, part, guest = size[order], bag[order].astype(np.int16), root[order], part[order], guest[order]
     two, left, right = part.min() != part.max(), [], []
     allowed = ((1 - SIMILARITY) * size + 1e-9).astype(np.int64)  # of the pair's longer text
     first = np.searchsorted(size, size - allowed)
     for k in range(1, len(size)):
         at = np.arange(first[k], k)
-        at = at[(root[at] != root[k]) & ((part[at] != part[k]) | (not two))]
+        at = at[(root[at] != root[k]) & ((part[at] != part[k]) | (not two)) & ~(guest[at] & guest[k])]
         if len(at):
             more = bag[k] - bag[at]
             over = np.maximum(more, 0).sum(1)
@@ -217,20 +228,36 @@ def possible(size: np.ndarray, bag: np.ndarray, root: np.ndarray, part: np.ndarr
 
 
 def _rest(buckets: DataFrame, mixed: DataFrame, roots: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, leader) of all pairs within the mixed buckets that are in different classes and could be similar."""
+    """(node, leader) of all pairs within the mixed buckets that are in different classes and could be similar.
+
+    A bucket falls into cells, one for each band of sizes, in which the texts of the band meet each other
+    and those of the next band (the guests). Cells of one class are done. In the others, the members of
+    the largest class are in one class already, so their blocks only meet the blocks of the rest.
+    """
     members = keep(buckets.join(mixed, "key", "left_semi").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
-    blocks = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 2").select((F.col("key") + F.lit(0)).alias("key"), F.ceil(F.col("n") / BLOCK).alias("n"))
-    cut = members.join(blocks, "key").withColumn("part", F.pmod(F.xxhash64("node"), "n")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     texts = docs.select(_key().alias("node"), "text").join(members.select("node").distinct(), "node", "left_semi")
-    met = cut.join(keep(_bags(texts)), "node").select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "root", "size", "bag")
+    bags = keep(_bags(texts))
+    places = F.explode(F.array(F.struct(F.col("band").alias("cell"), F.lit(False).alias("guest")), F.struct((F.col("band") - 1).alias("cell"), F.lit(True).alias("guest"))))
+    placed = keep(members.join(bags, "node").withColumn("place", places).select("key", "place.*", "node", "root", "size", "bag"))
+    counts = placed.groupBy("key", "cell", "root").agg(F.count("*").alias("n"), F.min("guest").alias("guest"))
+    cells = counts.groupBy("key", "cell").agg(F.count("*").alias("_roots"), F.min("guest").alias("_guest"), F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("main"))
+    blocks = lambda n: F.ceil(n / BLOCK)
+    # adding 0 gives the join an exchange on both sides, as in _leaders
+    cells = cells.where("_roots > 1 AND NOT _guest").select((F.col("key") + F.lit(0)).alias("key"), "cell", F.col("main.root").alias("main"), blocks(F.col("main.n")).alias("of_main"), blocks(F.col("n") - F.col("main.n")).alias("of_rest"))
+    hashed, main = F.xxhash64("node"), F.col("root") == F.col("main")
+    cut = placed.join(cells, ["key", "cell"])
+    cut = cut.withColumn("part", F.when(main, F.pmod(hashed, "of_main")).otherwise(F.col("of_main") + F.pmod(hashed, "of_rest")))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.when(main, F.col("of_main")).otherwise(F.lit(0)), F.col("of_main") + F.col("of_rest") - 1)))
+    met = cut.select("key", "cell", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "guest", "node", "root", "size", "bag")
 
     def pair(groups: pa.Table) -> pa.Table:
-        column = {c: groups.column(c).to_numpy() for c in ("node", "root", "size", "part")}
+        column = {c: groups.column(c).to_numpy() for c in ("node", "root", "size", "part", "guest")}
         data, _ = T.buffers(groups.column("bag"))
-        a, b = (column["node"][x] for x in possible(column["size"], data.reshape(-1, BINS), column["root"], column["part"]))
+        found = possible(column["size"], data.reshape(-1, BINS), column["root"], column["part"], column["guest"].astype(bool))
+        a, b = (column["node"][x] for x in found)
         return pa.table({"node": np.maximum(a, b), "leader": np.minimum(a, b)})
 
-    return met.groupBy("key", "low", "high").applyInArrow(pair, "node long, leader long").distinct()
+    return met.groupBy("key", "cell", "low", "high").applyInArrow(pair, "node long, leader long").distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:

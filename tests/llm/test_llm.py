@@ -263,9 +263,16 @@ def test_spared_pairs_are_never_similar():
     split += [[x for x in t if rng.random() > 0.1] for t in split for _ in range(2)]
     bags = np.array([np.bincount(np.array([zlib.crc32(x.encode()) % 256 for x in t], np.int64), minlength=256) for t in split]).astype(np.uint8)
     size, n = np.array([len(t) for t in split]), len(split)
-    a, b = near_dedup.possible(size, bags, np.arange(n), np.zeros(n, np.int64))
+    a, b = near_dedup.possible(size, bags, np.arange(n), np.zeros(n, np.int64), np.zeros(n, bool))
     met = {frozenset(p) for p in zip(a.tolist(), b.tolist(), strict=True)}
-    assert {frozenset((i, j)) for i in range(n) for j in range(i) if near_dedup.within(split[i], split[j])} <= met
+    similar = {frozenset((i, j)) for i in range(n) for j in range(i) if near_dedup.within(split[i], split[j])}
+    assert similar <= met
+    bands = near_dedup.band(size)
+    assert all(abs(bands[i] - bands[j]) <= 1 for i, j in similar) and bands.max() > 4
+    long = np.arange(5000)
+    assert (near_dedup.band(long)[long - (0.2 * long + 1e-9).astype(int)] >= near_dedup.band(long) - 1).all()
+    one = near_dedup.possible(size, bags, np.arange(n), np.zeros(n, np.int64), np.arange(n) % 2 == 1)
+    assert {frozenset(p) for p in zip(*(x.tolist() for x in one), strict=True)} == {p for p in met if not all(x % 2 for x in p)}
 
 
 def test_components_of_chains_and_stars(spark):
