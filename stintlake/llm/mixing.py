@@ -16,7 +16,9 @@ The cut is found by refining the prefix of the order key digit pair by digit pai
 sorts the rows of a hot leaf. Rows with the same id stand at the same place and are taken together.
 
 Null language or source is the child ''; a null or empty text has 0 tokens. An empty table gives an
-empty result. An own column named domain is used if it is there; else domain_of(source) is.
+empty result. The domain is an argument (a column of docs, null is the child ''); without it domain_of(source)
+is taken, whatever columns docs has. The texts are read once to count their tokens, and rows without
+texts are stored for the rest.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stintlake.llm.scratch import keep
+
 SHARE, EPOCHS, SEED = 0.8, 2, "mix-1"
 #: Weights by level and node; nodes that aren't named have weight 1.
 WEIGHTS = {"domain": {"web": 4, "books": 3, "code": 2}, "lang": {"en": 4, "de": 2, "fr": 2}, "source": {}}
@@ -43,11 +47,16 @@ def token_count(text: Column) -> Column:
     return F.coalesce(F.floor((F.length(text) + 3) / 4), F.lit(0)).cast("long")
 
 
-def leaf_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, domain, lang, source, tokens of every row."""
+def leaf_columns(domain: Column | None = None) -> list[Column]:
+    """The columns domain, lang and source of a row of documents."""
     source = F.coalesce("source", F.lit(""))
-    domain = F.coalesce("domain", F.lit("")) if "domain" in docs.columns else domain_of(source)
-    return docs.select("doc_id", domain.alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"), source.alias("source"), token_count(F.col("text")).alias("tokens"))
+    domain = domain_of(source) if domain is None else F.coalesce(domain, F.lit(""))
+    return [domain.alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"), source.alias("source")]
+
+
+def leaf_rows(docs: DataFrame, domain: Column | None = None) -> DataFrame:
+    """doc_id, domain, lang, source, tokens of every row."""
+    return docs.select("doc_id", *leaf_columns(domain), token_count(F.col("text")).alias("tokens"))
 
 
 def _weight(level: str, weights: dict) -> Column:
@@ -104,25 +113,22 @@ def cut_points(rows: DataFrame) -> tuple[DataFrame, bool]:
     return state.select(*LEVELS, "full", F.col("prefix").alias("cut")), few
 
 
-def mix(docs: DataFrame) -> DataFrame:
+def mix(docs: DataFrame, domain: Column | None = None) -> DataFrame:
     """doc_id, domain, lang, source, tokens, copies of every row that is taken at least once."""
-    rows = leaf_rows(docs)
+    rows = keep(leaf_rows(docs, domain))
     state, few = cut_points(rows)
     taken = rows.join(F.broadcast(state) if few else state, list(LEVELS))
     copies = F.col("full") + F.coalesce((order_key(F.col("full")) <= F.col("cut")).cast("long"), F.lit(0))
     return taken.withColumn("copies", copies).where("copies > 0").select("doc_id", *LEVELS, "tokens", "copies")
 
 
-def take(docs: DataFrame) -> DataFrame:
+def take(docs: DataFrame, domain: Column | None = None) -> DataFrame:
     """The rows of docs, each as often as the mixture takes it, with the columns of docs."""
-    rows = leaf_rows(docs)
-    state, few = cut_points(rows)
-    source = F.coalesce("source", F.lit(""))
-    domain = F.coalesce("domain", F.lit("")) if "domain" in docs.columns else domain_of(source)
+    state, few = cut_points(keep(leaf_rows(docs, domain)))
     # the row travels as one struct, so its columns may have any names
-    keyed = docs.select("doc_id", domain.alias("_domain"), F.coalesce("lang", F.lit("")).alias("_lang"), source.alias("_source"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    state = state.toDF("_domain", "_lang", "_source", "_full", "_cut")
-    joined = keyed.join(F.broadcast(state) if few else state, ["_domain", "_lang", "_source"])
+    keyed = docs.select("doc_id", F.struct(*leaf_columns(domain)).alias("_leaf"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    state = state.select(F.struct(*LEVELS).alias("_leaf"), F.col("full").alias("_full"), F.col("cut").alias("_cut"))
+    joined = keyed.join(F.broadcast(state) if few else state, "_leaf")
     copies = F.col("_full") + F.coalesce((order_key(F.col("_full")) <= F.col("_cut")).cast("long"), F.lit(0))
     again = joined.withColumn("_copies", copies).where("_copies > 0")
     return again.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("row.*")

@@ -460,6 +460,14 @@ def test_mixing_is_its_sql(spark):
     assert sorted(map(tuple, mixing.mix(docs).collect())) == expected
     assert mixing.take(docs).count() == sum(r[-1] for r in expected)
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mix(docs.withColumn("text", F.lit(""))).count() == 0
+    own = docs.withColumn("domain", F.when(F.col("doc_id") % 2 == 0, "books"))  # an own column of that name changes nothing
+    assert sorted(map(tuple, mixing.mix(own).collect())) == expected
+    named = mixing.mix(own, F.col("domain"))
+    assert {r["domain"] for r in named.collect()} == {"", "books"}
+    assert mixing.take(own, F.col("domain")).count() == named.agg(F.sum("copies")).first()[0]
+    twice = docs.union(docs)  # repeated rows stand at the same place of the order and are taken together
+    counts = Counter(r["doc_id"] for r in mixing.take(twice).collect())
+    assert counts and all(n % 2 == 0 for n in counts.values())
     assert mixing.take(make(spark, ["a b c", "d e f", None])).columns == SCHEMA.replace(" long", "").replace(" string", "").split(", ")
 
 
