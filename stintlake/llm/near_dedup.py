@@ -12,7 +12,7 @@ follows the furthest-reaching points within the band that the threshold allows.
 similar to their leader get another chance: they are bucketed again by pairs of the entries they were
 left with, so that those which agree on two entries meet without the leaders that stood between them.
 What then still belongs to different classes within a bucket is compared pair by pair, so that all pairs
-which agree on an entry are either compared or already in one class. Only pairs whose numbers of words or
+of texts which agree on an entry are either compared or in one class. Only links leave that step. Only pairs whose numbers of words or
 bags of words rule the threshold out (lower bounds of the edit distance) are spared the alignment. Buckets
 are cut by the number of words, as similar texts differ little in it, and large ones into blocks, each
 pair of which is a group of its own; members of a bucket's largest class only meet the others.
@@ -27,7 +27,6 @@ keep_one keeps all columns.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +41,8 @@ from stintlake.llm.scratch import keep
 SHINGLE, SAMPLES, PICKS, SIMILARITY = 5, 24, 2, 0.8
 #: Rows of a file of the stored tables.
 FILE_ROWS = 500_000
-#: Bins of a bag of words, and the nodes of a cell of a bucket that are met as one block.
-BINS, BLOCK = 256, 4000
+#: Bins of a bag of words, and the nodes and their words of a cell of a bucket that are met as one block.
+BINS, BLOCK, BLOCK_WORDS = 256, 2000, 1 << 19
 _seed = np.random.default_rng(1905)
 _XOR = _seed.integers(0, 1 << 64, SAMPLES, dtype=np.uint64)
 _TIMES = _seed.integers(0, 1 << 64, SAMPLES, dtype=np.uint64) | np.uint64(1)
@@ -190,20 +189,18 @@ def band(size: np.ndarray) -> np.ndarray:
     return np.searchsorted(np.array(edges), size, "right")
 
 
-def _bags(docs: DataFrame) -> DataFrame:
-    """node, number of words, its band and word counts in BINS bins (up to 255 each) of every row."""
+def _sized(docs: DataFrame) -> DataFrame:
+    """node, root, sketch, band of the number of words, and text of every row."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, bags = [], []
-            for text in batch.column(1):
-                found = (text.as_py() or "").split()  # the words that within() compares
-                size.append(len(found))
-                bags.append(np.minimum(np.bincount(np.array([zlib.crc32(w.encode()) % BINS for w in found], np.int64), minlength=BINS), 255).astype(np.uint8).tobytes())
-            columns = [batch.column(0), pa.array(size, pa.int32()), pa.array(band(np.array(size, np.int64)), pa.int32()), pa.array(bags, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "size", "band", "bag"])
+            for i, j, data, at in T.slices(batch.column(2)):
+                text = batch.column(2).slice(i, j - i)
+                size = np.array([len((t.as_py() or "").split()) for t in text], np.int64)  # the words that within() compares
+                columns = [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array([x.tobytes() for x in sketch(data, at)], pa.binary()), pa.array(band(size), pa.int32()), pa.array(size), text]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "root", "sketch", "band", "size", "text"])
 
-    return docs.mapInArrow(count, "node long, size int, band int, bag binary")
+    return docs.select("node", "root", "text").mapInArrow(run, "node long, root long, sketch binary, band int, size long, text string")
 
 
 def possible(size: np.ndarray, bag: np.ndarray, root: np.ndarray, part: np.ndarray, guest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -227,35 +224,68 @@ def possible(size: np.ndarray, bag: np.ndarray, root: np.ndarray, part: np.ndarr
     return order[np.concatenate(left or none)], order[np.concatenate(right or none)]
 
 
+def links_within(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(node, leader) of links between different roots of one pair of blocks: enough of them to join all
+    that are similar. Texts that agree on several entries are compared in the bucket of the first one."""
+    column = {c: group.column(c).to_numpy() for c in ("node", "root", "part", "guest")}
+    code: dict = {}
+    texts = [[code.setdefault(w, len(code)) for w in (t.as_py() or "").split()] for t in group.column("text")]
+    bags = np.stack([np.minimum(np.bincount(np.array(t, np.int64) % BINS, minlength=BINS), 255) for t in texts])
+    data, _ = T.buffers(group.column("sketch"))
+    entries = np.frombuffer(data.tobytes(), np.int64).reshape(-1, SAMPLES)
+    a, b = possible(np.array([len(t) for t in texts]), bags.astype(np.uint8), column["root"], column["part"], column["guest"].astype(bool))
+    meet = []
+    for k in range(0, len(a), 1 << 16):
+        x, y = a[k : k + (1 << 16)], b[k : k + (1 << 16)]
+        same = entries[x] == entries[y]
+        meet.append(same.any(1) & (entries[x, same.argmax(1)] == group.column("key")[0].as_py()))
+    above, out = {r: r for r in column["root"].tolist()}, []
+
+    def top(r: int) -> int:
+        while above[r] != r:
+            above[r] = above[above[r]]
+            r = above[r]
+        return r
+
+    chosen = np.concatenate(meet) if meet else np.zeros(0, bool)
+    for i, j in zip(a[chosen].tolist(), b[chosen].tolist(), strict=True):
+        p, q = top(int(column["root"][i])), top(int(column["root"][j]))
+        if p != q and within(texts[i], texts[j]):
+            above[p] = q
+            out.append((i, j))
+    x, y = (column["node"][np.array(out, np.int64).reshape(-1, 2)[:, k]] for k in (0, 1))
+    return np.maximum(x, y), np.minimum(x, y)
+
+
 def _rest(buckets: DataFrame, mixed: DataFrame, roots: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, leader) of all pairs within the mixed buckets that are in different classes and could be similar.
+    """(node, leader) of links between the classes that meet in the mixed buckets.
 
     A bucket falls into cells, one for each band of sizes, in which the texts of the band meet each other
     and those of the next band (the guests). Cells of one class are done. In the others, the members of
-    the largest class are in one class already, so their blocks only meet the blocks of the rest.
+    the largest class are in one class already, so their blocks only meet the blocks of the rest. Pairs
+    are aligned where their blocks meet, and only links leave the task.
     """
-    members = keep(buckets.join(mixed, "key", "left_semi").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
-    texts = docs.select(_key().alias("node"), "text").join(members.select("node").distinct(), "node", "left_semi")
-    bags = keep(_bags(texts))
+    members = keep(buckets.join(mixed, "key", "left_semi"))
+    rooted = members.select("node").distinct().join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    texts = _sized(docs.select(_key().alias("node"), "text").join(rooted, "node"))
+    placed = keep(members.join(texts, "node"))
     places = F.explode(F.array(F.struct(F.col("band").alias("cell"), F.lit(False).alias("guest")), F.struct((F.col("band") - 1).alias("cell"), F.lit(True).alias("guest"))))
-    placed = keep(members.join(bags, "node").withColumn("place", places).select("key", "place.*", "node", "root", "size", "bag"))
-    counts = placed.groupBy("key", "cell", "root").agg(F.count("*").alias("n"), F.min("guest").alias("guest"))
-    cells = counts.groupBy("key", "cell").agg(F.count("*").alias("_roots"), F.min("guest").alias("_guest"), F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("main"))
-    blocks = lambda n: F.ceil(n / BLOCK)
+    placed = placed.withColumn("place", places).select("key", "place.*", "node", "root", "size", "sketch", "text")
+    counts = placed.groupBy("key", "cell", "root").agg(F.count("*").alias("n"), F.min("guest").alias("guest"), F.max("size").alias("size"))
+    cells = counts.groupBy("key", "cell").agg(F.count("*").alias("_roots"), F.min("guest").alias("_guest"), F.sum("n").alias("n"), F.max("size").alias("size"), F.max(F.struct("n", "root")).alias("main"))
+    block = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_WORDS) / F.col("size"))))
+    of = lambda n: F.ceil(n / block)
     # adding 0 gives the join an exchange on both sides, as in _leaders
-    cells = cells.where("_roots > 1 AND NOT _guest").select((F.col("key") + F.lit(0)).alias("key"), "cell", F.col("main.root").alias("main"), blocks(F.col("main.n")).alias("of_main"), blocks(F.col("n") - F.col("main.n")).alias("of_rest"))
+    cells = cells.where("_roots > 1 AND NOT _guest").select((F.col("key") + F.lit(0)).alias("key"), "cell", F.col("main.root").alias("main"), of(F.col("main.n")).alias("of_main"), of(F.col("n") - F.col("main.n")).alias("of_rest"))
     hashed, main = F.xxhash64("node"), F.col("root") == F.col("main")
-    cut = placed.join(cells, ["key", "cell"])
+    cut = placed.join(keep(cells), ["key", "cell"])
     cut = cut.withColumn("part", F.when(main, F.pmod(hashed, "of_main")).otherwise(F.col("of_main") + F.pmod(hashed, "of_rest")))
     cut = cut.withColumn("other", F.explode(F.sequence(F.when(main, F.col("of_main")).otherwise(F.lit(0)), F.col("of_main") + F.col("of_rest") - 1)))
-    met = cut.select("key", "cell", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "guest", "node", "root", "size", "bag")
+    met = cut.select("key", "cell", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "guest", "node", "root", "sketch", "text")
 
-    def pair(groups: pa.Table) -> pa.Table:
-        column = {c: groups.column(c).to_numpy() for c in ("node", "root", "size", "part", "guest")}
-        data, _ = T.buffers(groups.column("bag"))
-        found = possible(column["size"], data.reshape(-1, BINS), column["root"], column["part"], column["guest"].astype(bool))
-        a, b = (column["node"][x] for x in found)
-        return pa.table({"node": np.maximum(a, b), "leader": np.minimum(a, b)})
+    def pair(group: pa.Table) -> pa.Table:
+        node, leader = links_within(group)
+        return pa.table({"node": node, "leader": leader})
 
     return met.groupBy("key", "cell", "low", "high").applyInArrow(pair, "node long, leader long").distinct()
 
@@ -282,8 +312,8 @@ def classes(docs: DataFrame) -> DataFrame:
     top = roots.select(F.col("node").alias("leader"), F.col("root").alias("top"))
     apart = done.where("NOT holds").join(roots, "node", "left").join(top, "leader", "left").where("coalesce(root, node) != coalesce(top, leader)")
     mixed = met.join(apart.select("node", "leader"), ["node", "leader"], "left_semi").select("key").distinct()
-    third = _verify(_rest(buckets, mixed, roots, docs).join(done, ["node", "leader"], "left_anti"), docs)
-    links = done.union(third).where("holds").select("node", "leader")
+    third = keep(_rest(buckets, mixed, roots, docs))
+    links = done.where("holds").select("node", "leader").union(third)
     # rows with one id but several texts are one document
     ids = rows.join(copies, "same").select("id", "node").distinct()
     roots = components(links.union(ids.where("id != node").select("id", "node")))
