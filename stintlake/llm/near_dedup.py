@@ -42,7 +42,7 @@ SHINGLE, SAMPLES, PICKS, SIMILARITY = 5, 24, 2, 0.8
 #: Rows of a file of the stored tables.
 FILE_ROWS = 500_000
 #: Bins of a bag of words, and the nodes and their words of a cell of a bucket that are met as one block.
-BINS, BLOCK, BLOCK_WORDS = 256, 2000, 1 << 19
+BINS, BLOCK, BLOCK_WORDS = 256, 1000, 1 << 19
 _seed = np.random.default_rng(1905)
 _XOR = _seed.integers(0, 1 << 64, SAMPLES, dtype=np.uint64)
 _TIMES = _seed.integers(0, 1 << 64, SAMPLES, dtype=np.uint64) | np.uint64(1)
@@ -281,7 +281,8 @@ def _rest(buckets: DataFrame, mixed: DataFrame, roots: DataFrame, docs: DataFram
     cut = placed.join(keep(cells), ["key", "cell"])
     cut = cut.withColumn("part", F.when(main, F.pmod(hashed, "of_main")).otherwise(F.col("of_main") + F.pmod(hashed, "of_rest")))
     cut = cut.withColumn("other", F.explode(F.sequence(F.when(main, F.col("of_main")).otherwise(F.lit(0)), F.col("of_main") + F.col("of_rest") - 1)))
-    met = cut.select("key", "cell", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "guest", "node", "root", "sketch", "text")
+    # adding 0 again, so that the pairs of blocks of a cell are dealt to several tasks
+    met = cut.select((F.col("key") + F.lit(0)).alias("key"), "cell", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "guest", "node", "root", "sketch", "text")
 
     def pair(group: pa.Table) -> pa.Table:
         node, leader = links_within(group)
