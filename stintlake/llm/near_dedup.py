@@ -163,9 +163,8 @@ def _leaders(buckets: DataFrame) -> DataFrame:
     return least.select((F.col("key") + F.lit(0)).alias("key"), "leader")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, leader, holds) for pairs of nodes, by alignment of their texts."""
-    texts = docs.select(_key().alias("node"), "text")
+def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, leader, holds) for pairs of nodes, by alignment of their texts (node, text)."""
     whole = pairs.join(texts.withColumnRenamed("text", "a"), "node").join(texts.select(F.col("node").alias("leader"), F.col("text").alias("b")), "leader")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +256,7 @@ def links_within(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(x, y), np.minimum(x, y)
 
 
-def _rest(buckets: DataFrame, mixed: DataFrame, roots: DataFrame, docs: DataFrame) -> DataFrame:
+def _rest(buckets: DataFrame, mixed: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, leader) of links between the classes that meet in the mixed buckets.
 
     A bucket falls into cells, one for each band of sizes, in which the texts of the band meet each other
@@ -267,8 +266,7 @@ def _rest(buckets: DataFrame, mixed: DataFrame, roots: DataFrame, docs: DataFram
     """
     members = keep(buckets.join(mixed, "key", "left_semi"))
     rooted = members.select("node").distinct().join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-    texts = _sized(docs.select(_key().alias("node"), "text").join(rooted, "node"))
-    placed = keep(members.join(texts, "node"))
+    placed = keep(members.join(_sized(texts.join(rooted, "node")), "node"))
     places = F.explode(F.array(F.struct(F.col("band").alias("cell"), F.lit(False).alias("guest")), F.struct((F.col("band") - 1).alias("cell"), F.lit(True).alias("guest"))))
     placed = placed.withColumn("place", places).select("key", "place.*", "node", "root", "size", "sketch", "text")
     counts = placed.groupBy("key", "cell", "root").agg(F.count("*").alias("n"), F.min("guest").alias("guest"), F.max("size").alias("size"))
@@ -298,22 +296,27 @@ def classes(docs: DataFrame) -> DataFrame:
     copies = keep(rows.groupBy("same").agg(F.min("id").alias("node")).coalesce(files))
     nodes = rows.join(copies, (rows.same == copies.same) & (rows.id == copies.node)).select("node", "sketch")
     buckets = keep(_entries(nodes).distinct().coalesce(SAMPLES * files))
-    leaders = _leaders(buckets)
-    met = buckets.join(leaders, "key").where("node != leader")
-    first = keep(_verify(met.select("node", "leader").distinct(), docs).repartition(SAMPLES * files))
+    met = keep(buckets.join(_leaders(buckets), "key").where("node != leader").coalesce(SAMPLES * files))
+    texts = docs.select(_key().alias("node"), "text")
+    first = keep(_verify(met.select("node", "leader").distinct(), texts).repartition(SAMPLES * files))
+    # all that follows happens in buckets with a member unlike the leader, and their texts are stored
+    unlike = keep(met.join(first.where("NOT holds"), ["node", "leader"], "left_semi").coalesce(SAMPLES * files))
+    keys = keep(unlike.select("key").distinct().coalesce(files))
+    open_nodes = keep(buckets.join(keys, "key", "left_semi").select("node").distinct().coalesce(files))
+    texts = keep(texts.join(open_nodes, "node", "left_semi"))
     # the second chance: nodes that their leader does not resemble, by pairs of what they were left with
-    left = met.join(first.where("NOT holds"), ["node", "leader"]).groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys")).where("size(keys) > 1")
+    left = unlike.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys")).where("size(keys) > 1")
     pairs = left.select("node", F.explode(F.flatten(F.transform("keys", lambda x: F.transform(F.filter("keys", lambda y: y > x), lambda y: F.xxhash64(x, y))))).alias("key"))
     pairs = keep(pairs)
     again = pairs.join(_leaders(pairs), "key").where("node != leader").select("node", "leader").distinct()
-    second = _verify(again.join(first, ["node", "leader"], "left_anti"), docs)
+    second = _verify(again.join(first, ["node", "leader"], "left_anti"), texts)
     done = keep(first.union(second).coalesce(SAMPLES * files))
     # all pairs of the buckets whose members are not in one class yet
     roots = keep(components(done.where("holds").select("node", "leader")).coalesce(files))
     top = roots.select(F.col("node").alias("leader"), F.col("root").alias("top"))
     apart = done.where("NOT holds").join(roots, "node", "left").join(top, "leader", "left").where("coalesce(root, node) != coalesce(top, leader)")
-    mixed = met.join(apart.select("node", "leader"), ["node", "leader"], "left_semi").select("key").distinct()
-    third = keep(_rest(buckets, mixed, roots, docs))
+    mixed = unlike.join(apart.select("node", "leader"), ["node", "leader"], "left_semi").select("key").distinct()
+    third = keep(_rest(buckets, mixed, roots, texts))
     links = done.where("holds").select("node", "leader").union(third)
     # rows with one id but several texts are one document
     ids = rows.join(copies, "same").select("id", "node").distinct()
