@@ -41,7 +41,7 @@ def build_dim_dates(schedules: DataFrame, start: str | None = None, end: str | N
     after its last regular game are playoffs. In the offseason `season` is already the next one.
     """
     bounds = season_boundaries(schedules).withColumn("_on", F.col("season_start"))
-    days = asof_join(date_spine(bounds, start, end), bounds, "date", right_on="_on")
+    days = asof_join(date_spine(bounds, start, end), bounds, "date", right_on="_on", hot_rows=None)  # a row a day
     d = F.col("date")
     phase = F.when(d <= F.col("reg_end"), "regular").when(F.col("playoff_end").isNull() | (d <= F.col("playoff_end")), "playoffs").otherwise("offseason")
     same = lambda c: F.coalesce(d == F.col(c), F.lit(False))

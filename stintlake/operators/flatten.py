@@ -30,6 +30,36 @@ def parse(docs: DataFrame, schema: str, keep: Sequence[str] = ()) -> DataFrame:
     return rows.where("d IS NOT NULL").select(*keep, *[F.col(f"d.`{n}`").alias(n) for n in names])
 
 
+def as_variant(docs: DataFrame) -> DataFrame:
+    """docs with `doc` as VARIANT, parsed once; invalid and null documents are left out.
+
+    A column that is VARIANT already (a table that keeps its documents parsed) is taken as it is. The
+    parsed value leaves a generator, so neither the filter nor the fields that are read from it repeat the
+    parse.
+    """
+    if isinstance(docs.schema["doc"].dataType, T.VariantType):
+        return docs.where("doc IS NOT NULL")
+    valid = F.filter(F.array(F.try_parse_json("doc")), lambda v: v.isNotNull())
+    return docs.select(*[c for c in docs.columns if c != "doc"], F.explode(valid).alias("doc"))
+
+
+def _field(path: str, kind: str = "string", doc: str = "doc") -> Column:
+    """A field of a VARIANT column; null if it is missing or can't be read as `kind`."""
+    return F.try_variant_get(doc, f"$.{path}", kind)
+
+
+#: The most names that a wide table takes from the data; beyond it the caller has to name its columns.
+MOST_NAMES = 2000
+
+
+def names_of(rows: DataFrame, names: Column, most: int = MOST_NAMES) -> list[str]:
+    """The distinct non-null names in a column of name arrays, ascending; more than `most` are an error."""
+    found = rows.select(F.explode(names).alias("n")).where("n IS NOT NULL").distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} different names: pass the ones to be columns")
+    return sorted(r.n for r in found)
+
+
 def json_array_docs(df: DataFrame, column: str) -> DataFrame:
     """A JSON array of documents to one row each (doc, arrival = place in the array)."""
     return df.select(F.posexplode(F.from_json(column, "array<string>")).alias("arrival", "doc"))
@@ -101,8 +131,8 @@ def _leagues(docs: DataFrame) -> DataFrame:
 
 
 def _map_columns(rows: DataFrame, column: str, keys: Sequence[str] | None, kind: str) -> DataFrame:
-    """A map's keys as columns; keys: the known ones, else those found in the data (a bounded set of names)."""
-    keys = sorted(r[0] for r in rows.select(F.explode(F.map_keys(column))).distinct().collect()) if keys is None else keys
+    """A map's keys as columns; keys: the known ones, else those found in the data (MOST_NAMES at most)."""
+    keys = names_of(rows, F.map_keys(column)) if keys is None else keys
     return rows.select("league_id", *[F.col(column)[k].cast(kind).alias(k) for k in keys])
 
 
@@ -117,7 +147,7 @@ def flatten_roster_slots(docs: DataFrame, positions: Sequence[str] | None = None
     """A row for each league with the number of slots of every position; TAXI and IR from the settings."""
     rows = _leagues(docs)
     if positions is None:
-        positions = sorted(r[0] for r in rows.select(F.explode("roster_positions")).distinct().collect())
+        positions = names_of(rows, F.col("roster_positions"))
     count = lambda p: F.size(F.filter(F.coalesce("roster_positions", F.array().cast("array<string>")), lambda x: x == p)).cast("long")
     number = lambda k: F.coalesce(F.col("settings")[k], F.lit(0)).cast("long")
     return rows.select("league_id", *[count(p).alias(p) for p in positions if p not in ("TAXI", "IR")], number("taxi_slots").alias("TAXI"), number("reserve_slots").alias("IR"))
@@ -179,43 +209,52 @@ def flatten_traded_draft_picks(docs: DataFrame) -> DataFrame:
 # --- transactions ------------------------------------------------------------------------------------
 
 _PLAYER_FIELDS = ("first_name", "last_name", "position", "team", "number", "status", "injury_status", "years_exp")
-_TRADE = "struct<season:string,round:bigint,roster_id:bigint,previous_owner_id:bigint,owner_id:bigint>"
-_TXN = f"transaction_id string, league_id string, type string, status string, created bigint, status_updated bigint, creator string, leg bigint, api_week bigint, settings map<string,bigint>, metadata {_TEXT_MAP}, adds map<string,bigint>, drops map<string,bigint>, player_map map<string,{_TEXT_MAP}>, waiver_budget string, consenter_ids string, roster_ids string, draft_picks array<{{}}>"
+_TRADE = {"season": "string", "round": "bigint", "roster_id": "bigint", "previous_owner_id": "bigint", "owner_id": "bigint"}
+_TEXTS = "map<string,string>"
 
 
-def _header(rows: DataFrame, api_week: bool) -> DataFrame:
-    text = lambda c, none: F.coalesce(F.regexp_replace(F.col(c), r"\s", ""), F.lit(none)).alias(c)
+def _header(rows: DataFrame, league: Column, api_week: bool) -> DataFrame:
+    text = lambda c, none: F.coalesce(F.regexp_replace(_field(c), r"\s", ""), F.lit(none)).alias(c)
+    number = lambda c: _field(c, "bigint").alias(c)
     return rows.select(
-        "transaction_id", "league_id", "type", "status", "created", "status_updated", "creator", "leg", *(["api_week"] if api_week else []),
-        F.col("settings")["waiver_bid"].alias("waiver_bid"), F.col("settings")["seq"].alias("waiver_seq"), text("waiver_budget", "null"), F.col("metadata")["notes"].alias("metadata_notes"), text("consenter_ids", "[]"), text("roster_ids", "[]"),
-    )
+        _field("transaction_id").alias("transaction_id"), league, *[_field(c).alias(c) for c in ("type", "status")], number("created"), number("status_updated"), _field("creator").alias("creator"), number("leg"), *([number("api_week")] if api_week else []),
+        _field("settings.waiver_bid", "bigint").alias("waiver_bid"), _field("settings.seq", "bigint").alias("waiver_seq"), text("waiver_budget", "null"), _field("metadata.notes").alias("metadata_notes"), text("consenter_ids", "[]"), text("roster_ids", "[]"),
+    )
 
 
-def _moves(rows: DataFrame) -> DataFrame:
-    side = lambda c, action: rows.select("transaction_id", "league_id", "player_map", F.explode(c).alias("player_id", "roster_id"), F.lit(action).alias("action"))
-    both = side("adds", "add").union(side("drops", "drop"))
-    info = F.col("player_map")[F.col("player_id")]
+def _moves(rows: DataFrame, league: Column) -> DataFrame:
+    """Adds and drops of one pass: both maps of a transaction become one list."""
+    none = F.create_map().cast(_TEXTS)
+    side = lambda c, action: F.transform(F.map_entries(F.coalesce(_field(c, _TEXTS), none)), lambda e: F.struct(e["key"].alias("player_id"), e["value"].try_cast("bigint").alias("roster_id"), F.lit(action).alias("action")))
+    both = rows.select(_field("transaction_id").alias("transaction_id"), league, _field("player_map", f"map<string,{_TEXTS}>").alias("_players"), F.explode(F.concat(side("adds", "add"), side("drops", "drop"))).alias("m"))
+    info = F.col("_players")[F.col("m.player_id")]
     kinds = {"number": "bigint", "years_exp": "bigint"}
-    return both.select("transaction_id", "league_id", "player_id", "roster_id", "action", *[info[k].try_cast(kinds.get(k, "string")).alias(f"player_{k}") for k in _PLAYER_FIELDS])
+    return both.select("transaction_id", "league_id", "m.*", *[info[k].try_cast(kinds.get(k, "string")).alias(f"player_{k}") for k in _PLAYER_FIELDS])
+
+
+def _traded(rows: DataFrame, league: Column, element: str) -> DataFrame:
+    return rows.select(_field("transaction_id").alias("transaction_id"), league, F.explode(_field("draft_picks", f"array<{element}>")).alias("p"))
 
 
 def flatten_transactions(docs: DataFrame, league_id: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(headers, player moves, traded picks) of the daily feed."""
-    rows = parse(docs, _TXN.format(_TRADE))
-    if league_id is not None:
-        rows = rows.withColumn("league_id", F.lit(league_id))
-    picks = rows.select("transaction_id", "league_id", F.explode("draft_picks").alias("p")).select("transaction_id", "league_id", "p.season", "p.round", "p.roster_id", "p.previous_owner_id", "p.owner_id")
-    return _header(rows, True), _moves(rows), picks
+    """(headers, player moves, traded picks) of the daily feed.
+
+    Each document is parsed once, into VARIANT, whatever is read from it. Whoever needs several of the
+    three tables writes as_variant(docs) as a table first and passes that, so that they share one parse.
+    """
+    rows, league = as_variant(docs), (_field("league_id") if league_id is None else F.lit(league_id)).alias("league_id")
+    picks = _traded(rows, league, "variant").select("transaction_id", "league_id", *[_field(c, kind, "p").alias(c) for c, kind in _TRADE.items()])
+    return _header(rows, league, True), _moves(rows, league), picks
 
 
 def flatten_transactions_bulk(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The same of the bulk feed, whose picks are texts `roster,season,round,new owner,previous owner`."""
-    rows = parse(docs, _TXN.format("string"))
-    parts = F.split("draft_pick_id", ",")
+    rows, league = as_variant(docs), _field("league_id").alias("league_id")
+    parts = F.split("p", ",")
     number = lambda i: F.get(parts, F.lit(i)).try_cast("bigint")
-    picks = rows.select("transaction_id", "league_id", F.explode("draft_picks").alias("draft_pick_id"))
-    picks = picks.select("transaction_id", "league_id", "draft_pick_id", number(0).alias("roster_id"), F.get(parts, F.lit(1)).alias("season"), number(2).alias("round"), number(4).alias("previous_owner_id"), number(3).alias("owner_id"))
-    return _header(rows, False), _moves(rows), picks
+    picks = _traded(rows, league, "string")
+    picks = picks.select("transaction_id", "league_id", F.col("p").alias("draft_pick_id"), number(0).alias("roster_id"), F.get(parts, F.lit(1)).alias("season"), number(2).alias("round"), number(4).alias("previous_owner_id"), number(3).alias("owner_id"))
+    return _header(rows, league, False), _moves(rows, league), picks
 
 
 def flatten_players(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -226,7 +265,7 @@ def flatten_players(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 # --- market feeds ------------------------------------------------------------------------------------
 
-#: Variables of a page that hold data as JSON literals.
+# The variables of a page that hold data as JSON literals, as the pages name them.
 PAGE_VARIABLES = {"players": r"(?s)playersArray\s*=\s*(\[.*?\]);", "oneqb": r"(?s)var\s+playerOneQB\s*=\s*(\{.*?\});", "superflex": r"(?s)var\s+playerSuperflex\s*=\s*(\{.*?\});"}
 
 

@@ -506,7 +506,7 @@ def m2_asof_join(spark, d):
 
 @query("SELECT k.*, p.value FROM k ASOF LEFT JOIN p ON k.user_id = p.user_id AND k.date > p.valuation_date", k=EVENT_KEYS, p=USER_PRICES)
 def m2_asof_strict_bucketed(spark, d):
-    return asof.asof_join(derive(spark, d, EVENT_KEYS), derive(spark, d, USER_PRICES), "date", ["user_id"], "valuation_date", strict=True, bucket_days=7)
+    return asof.asof_join(derive(spark, d, EVENT_KEYS), derive(spark, d, USER_PRICES), "date", ["user_id"], "valuation_date", strict=True, hot_rows=0, ranges=2000)  # cuts every user with more than a 2000th of the rows
 
 
 @query("SELECT k.event_id, k.user_id, k.date, coalesce(p.value, f.v) AS value FROM k ASOF LEFT JOIN p ON k.user_id = p.user_id AND k.date >= p.valuation_date LEFT JOIN (SELECT user_id, arg_min(value, valuation_date) AS v FROM p GROUP BY user_id) f ON f.user_id = k.user_id", k=EVENT_KEYS, p=USER_PRICES)

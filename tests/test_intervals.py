@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from stintlake.operators import asof, intervals
 from stintlake.plans import ledger
@@ -70,12 +71,37 @@ def test_asof_keeps_null_values_and_unmatched_rows(spark):
     assert (1, 5, 10.0) in rows(asof.asof_join(left, right, "t", ["k"], "u", strict=True))
 
 
-def test_bucketed_asof_is_the_same(spark):
+def test_asof_of_a_hot_key(spark):
+    """One key with nine tenths of the rows of either side is cut into ranges: the rows are the same as without."""
     rng = random.Random(2)
-    day = lambda: D("2024-01-01") + dt.timedelta(days=rng.randrange(200))
-    left = spark.createDataFrame([(rng.randrange(3), day(), i) for i in range(200)], "k int, t date, i int")
-    right = spark.createDataFrame([(rng.randrange(3), day(), float(i)) for i in range(60)], "k int, u date, v double")
-    assert rows(asof.asof_join(left, right, "t", ["k"], "u")) == rows(asof.asof_join(left, right, "t", ["k"], "u", bucket_days=10))
+    key = lambda: 1 if rng.random() < 0.9 else rng.choice([2, 3, 4, None])
+    day = lambda: None if rng.random() < 0.02 else D("2024-01-01") + dt.timedelta(days=int(200 * rng.random() ** 3))
+    left = spark.createDataFrame([(key(), day(), i) for i in range(3000)], "k int, t date, i int")
+    right = spark.createDataFrame([(key(), day(), float(i) if i % 7 else None) for i in range(900)], "k long, u date, v double")
+    for strict in (False, True):
+        plain = rows(asof.asof_join(left, right, "t", ["k"], "u", strict, hot_rows=None))
+        assert rows(asof.asof_join(left, right, "t", ["k"], "u", strict)) == plain  # nothing is hot here
+        for ranges in (2, 12, 500):
+            assert rows(asof.asof_join(left, right, "t", ["k"], "u", strict, hot_rows=0, ranges=ranges)) == plain
+    # a side that is empty, no key at all, times of unlike types
+    assert rows(asof.asof_join(left, right.limit(0), "t", ["k"], "u", hot_rows=0, ranges=8)) == rows(left.selectExpr("k", "t", "i", "double(null)"))
+    assert asof.asof_join(left.limit(0), right, "t", ["k"], "u", hot_rows=0, ranges=8).count() == 0
+    stamps = right.select(F.col("u").cast("timestamp").alias("u"), "v")
+    assert rows(asof.asof_join(left, stamps, "t", [], "u", hot_rows=0, ranges=8)) == rows(asof.asof_join(left, stamps, "t", [], "u", hot_rows=None))
+
+
+def test_ranges_of_a_hot_key_are_even(spark):
+    left = spark.range(40_000).selectExpr("if(id % 10 = 0, id, 7) AS k", "pow(id, 2) AS t")
+    right = left.selectExpr("k", "t + 1 AS u", "t AS v")
+    sides = [side.select("k", F.col(c).alias("_t")) for side, c in ((left, "t"), (right, "u"))]
+    cuts = asof._hot_cuts(sides, ["k"], 1000, 20)
+    assert [r["_by_k"] for r in cuts.collect()] == [7]
+    for side in sides:
+        sizes = [r["count"] for r in asof._placed(side, cuts, ["k"]).where("_b >= 0").groupBy("_b").count().collect()]
+        assert len(sizes) >= 18 and max(sizes) <= 40_000 / 20 * 1.1 and sum(sizes) == 36_000
+    # the carry is one row for each range, and the window's groups are ranges
+    got = asof.asof_join(left, right, "t", ["k"], "u", hot_rows=1000, ranges=20)
+    assert rows(got) == rows(asof.asof_join(left, right, "t", ["k"], "u", hot_rows=None))
 
 
 def test_rollover_replay(spark):

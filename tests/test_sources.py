@@ -36,6 +36,39 @@ def test_bulk_pick_text(spark):
     assert rows(flatten.flatten_transactions_bulk(docs(spark, txn))[2], "roster_id", "season", "round", "owner_id", "previous_owner_id") == [(3, "2026", 1, 7, 9)]
 
 
+TXN = {
+    "transaction_id": 17, "league_id": "L", "type": "trade", "status": "complete", "created": 5, "status_updated": "6", "creator": None, "leg": 2, "api_week": "x", "settings": {"waiver_bid": 3}, "metadata": {"notes": "a b"}, "waiver_budget": [{"a": 1, "b": "x y"}], "roster_ids": [1, 2],
+    "adds": {"p1": 1, "p2": "no"}, "drops": {"p3": 2}, "player_map": {"p1": {"first_name": "Al", "number": 7, "years_exp": "x"}}, "draft_picks": [{"season": 2026, "round": "1", "roster_id": 3, "owner_id": 4}, None],
+}
+
+
+def test_transactions_are_parsed_once(spark, tmp_path):
+    feed = docs(spark, TXN, {"transaction_id": "bare"}).union(spark.createDataFrame([(8, "{no json"), (9, None)], "arrival long, doc string"))
+    parts = flatten.flatten_transactions(feed)
+    for part in parts:
+        plan = part._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert plan.count("parsejson") + plan.count("parse_json") == 1 and "from_json" not in plan
+    head, moves, picks = ([tuple(r) for r in p.orderBy("transaction_id").collect()] for p in parts)
+    assert head == [("17", "L", "trade", "complete", 5, 6, None, 2, None, 3, None, '[{"a":1,"b":"xy"}]', "a b", "[]", "[1,2]"), ("bare", *[None] * 10, "null", None, "[]", "[]")]
+    assert {(r[2], r[3], r[4], r[5], r[9], r[12]) for r in moves} == {("p1", 1, "add", "Al", 7, None), ("p2", None, "add", None, None, None), ("p3", 2, "drop", None, None, None)}
+    assert sorted(picks, key=repr) == sorted([("17", "L", "2026", 1, 3, None, 4), ("17", "L", None, None, None, None, None)], key=repr)
+    # a table that keeps the parsed documents serves all three without a parse
+    flatten.as_variant(feed).write.parquet(f"{tmp_path}/v")
+    stored = flatten.flatten_transactions(spark.read.parquet(f"{tmp_path}/v"))
+    for a, b in zip(parts, stored, strict=True):
+        assert rows(a) == rows(b) and "parsejson" not in b._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_names_from_data_are_bounded(spark):
+    feed = docs(spark, *[{"league_id": f"L{i}", "settings": {f"s{i}": i, "leg": 1}, "roster_positions": ["QB", f"P{i}", None]} for i in range(12)])
+    assert len(flatten.flatten_league(feed)[1].columns) == 14
+    parsed = flatten._leagues(feed)
+    assert flatten.names_of(parsed, F.map_keys("settings"), 13) == sorted({"leg", *(f"s{i}" for i in range(12))})
+    with pytest.raises(ValueError, match="more than 12"):
+        flatten.names_of(parsed, F.map_keys("settings"), 12)
+    assert "P3" in flatten.flatten_roster_slots(feed).columns
+
+
 def test_value_history_aligns_dates(spark):
     item = {"player_id": "1", "position": "RDP", "one_qb_value": [{"d": "240101", "v": 5}, {"d": "240101", "v": 6}], "sf_pos_rank": [{"d": "240102", "v": 1}], "sf_value": [{"d": "240103", "v": 2}]}
     assert rows(flatten.value_history(docs(spark, item), "2024-02-01").withColumn("d", F.col("ranking_date").cast("string")), "d", "one_qb_value", "sf_value") == [("2024-01-01", 6.0, None), ("2024-01-03", None, 2.0)]
