@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stintlake.functions import coerce
 from stintlake.operators import flatten, graph
 from stintlake.plans.registry import derive, query, table
-from stintlake.sources import io
+from stintlake.sources import bucketed, io, profiles
 
 # --- flatteners: documents are built from the tables as JSON text, then taken apart again ---------------
 
@@ -443,8 +443,9 @@ def s11_write_seasons(spark, d):
 @query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'second' ELSE 'first' END AS state FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 <> 0")
 def s12_upsert_table(spark, d):
     path, customers = _folder(spark), table(spark, d, "customer").select("c_custkey")
-    io.upsert_table(customers.where("c_custkey % 3 <> 0").withColumn("state", F.lit("first")), path, ["c_custkey"], "v1")
-    return spark.read.parquet(io.upsert_table(customers.where("c_custkey % 2 = 0").withColumn("state", F.lit("second")), path, ["c_custkey"], "v2"))
+    bucketed.upsert_table(customers.where("c_custkey % 3 <> 0").withColumn("state", F.lit("first")), path, ["c_custkey"], "v1")
+    bucketed.upsert_table(customers.where("c_custkey % 2 = 0").withColumn("state", F.lit("second")), path, ["c_custkey"], "v2")
+    return bucketed.read_current(spark, path)
 
 
 @query("SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS year, CAST(week(o_orderdate) AS INT) AS week FROM orders WHERE year(o_orderdate) NOT IN (1993, 1995)")
@@ -496,10 +497,18 @@ def s20_mapping(spark, d):
     return df.select("c_custkey", F.coalesce("n_name", F.lit("none")).alias("n_name"), "alias")
 
 
-@query("SELECT 'nation' AS table_name, 'n_name' AS column_name, 'string' AS data_type, count(*) AS n_rows, count(*) - count(n_name) AS n_null FROM nation UNION ALL SELECT 'orders', 'o_orderkey', 'bigint', count(*), count(*) - count(o_orderkey) FROM orders")
+_COLUMN = "SELECT '{t}' AS table_name, '{c}' AS column_name, '{k}' AS data_type, count(*) AS n_rows, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct, true AS estimate_is_near FROM {t}"
+_PROFILED = [("nation", "n_name", "string"), ("orders", "o_orderkey", "bigint"), ("orders", "o_custkey", "bigint"), ("orders", "o_orderstatus", "string")]
+
+
+@query(" UNION ALL ".join(_COLUMN.format(t=t, c=c, k=k) for t, c, k in _PROFILED))
 def s21_profile(spark, d):
-    out = io.profile({"nation": table(spark, d, "nation").select("n_name"), "orders": table(spark, d, "orders").select("o_orderkey")})
-    return out.drop("n_distinct")
+    """Exact profiles, and whether the estimate from sketches merged over partitions is within a twelfth."""
+    tables = {t: table(spark, d, t).select(*[c for u, c, _ in _PROFILED if u == t]) for t in ("nation", "orders")}
+    exact = io.profile(tables, exact=True)
+    stored = profiles.sketch_profile(tables["orders"], "orders", "o_orderstatus").unionByName(profiles.sketch_profile(tables["nation"], "nation", F.substring("n_name", 1, 1)))
+    near = profiles.merge_profiles(stored).select("table_name", "column_name", F.col("n_distinct").alias("_estimate"))
+    return exact.join(near, ["table_name", "column_name"]).withColumn("estimate_is_near", F.abs(F.col("_estimate") - F.col("n_distinct")) * 12 <= F.col("n_distinct")).drop("_estimate")
 
 
 def _bad(df):

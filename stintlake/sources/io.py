@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stintlake.functions.coerce import week_start as _week_start
-from stintlake.operators.dedupe import upsert
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
@@ -120,24 +119,6 @@ def write_seasons(df: DataFrame, path: str, date: str) -> str:
     return by
 
 
-def upsert_table(new: DataFrame, path: str, keys: Sequence[str], version: str) -> str:
-    """Keyed upsert of a stored table: base path/version is written anew, `current` names the last one.
-
-    The table that is read is never the one that is written.
-    """
-    spark = new.sparkSession
-    try:
-        last = spark.read.text(f"{path}/current").first()[0]
-        old = spark.read.parquet(f"{path}/{last}")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        old = None
-    upsert(old, new, keys).write.mode("errorifexists").parquet(f"{path}/{version}")
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/current")
-    return f"{path}/{version}"
-
-
 def resume(work: DataFrame, done: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """Work units whose output does not exist yet."""
     return work if done is None else work.join(done.select(*keys).distinct(), list(keys), "left_anti")
@@ -189,12 +170,17 @@ def static_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructTyp
     return spark.createDataFrame(list(rows), schema)
 
 
-def profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """table_name, column_name, data_type, n_rows, n_null, n_distinct of every column, a pass per table."""
+def profile(tables: dict[str, DataFrame], exact: bool = False) -> DataFrame:
+    """table_name, column_name, data_type, n_rows, n_null, n_distinct of every column, a pass per table.
+
+    n_distinct is an estimate unless `exact` (which shuffles every column's values). profiles.py keeps
+    estimates per partition and merges them.
+    """
+    kinds_of = F.count_distinct if exact else F.approx_count_distinct
     parts = []
     for name, df in tables.items():
         plain = [f for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-        agg = df.agg(F.count("*").alias("n"), *[F.count(F.when(F.col(f"`{f.name}`").isNull(), 1)).alias(f"null_{i}") for i, f in enumerate(plain)], *[F.approx_count_distinct(f"`{f.name}`").alias(f"kinds_{i}") for i, f in enumerate(plain)])
+        agg = df.agg(F.count("*").alias("n"), *[F.count(F.when(F.col(f"`{f.name}`").isNull(), 1)).alias(f"null_{i}") for i, f in enumerate(plain)], *[kinds_of(F.col(f"`{f.name}`")).alias(f"kinds_{i}") for i, f in enumerate(plain)])
         rows = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"), F.col("n").alias("n_rows"), F.col(f"null_{i}").alias("n_null"), F.col(f"kinds_{i}").alias("n_distinct")) for i, f in enumerate(plain)])
         parts.append(agg.select(F.lit(name).alias("table_name"), F.explode(rows).alias("x")).select("table_name", "x.*"))
     return reduce(DataFrame.unionByName, parts)

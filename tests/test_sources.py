@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stintlake.operators import flatten
 from stintlake.plans import q_ledger
-from stintlake.sources import io
+from stintlake.sources import bucketed, io, profiles
 
 
 def docs(spark, *items):
@@ -89,13 +89,65 @@ def test_round_trips(spark, tmp_path):
     assert io.read_prefix(spark, f"{tmp_path}/s").count() == 2
     assert io.read_prefix(spark, f"{tmp_path}/none", "a int").count() == 0
     assert io.write_bronze(df.limit(0), str(tmp_path), "x", "2024-01-01") is None
-    io.upsert_table(df, f"{tmp_path}/u", ["id"], "v1")
-    last = io.upsert_table(spark.createDataFrame([(2, "new"), (3, "new")], "id int, season string"), f"{tmp_path}/u", ["id"], "v2")
-    assert rows(spark.read.parquet(last)) == [(1, "2024"), (2, "new"), (3, "new")]
     with pytest.raises(ValueError, match="no partition"):
         io.latest_partition(df.limit(0).withColumn("load_date", F.lit("x")))
 
 
+def _files(spark, path):
+    """Bucket -> the files that hold it now."""
+    found = {}
+    for r in bucketed.read_current(spark, path).select("_metadata.file_path").distinct().collect():
+        found.setdefault(int(r.file_path.split("_bucket=")[1].split("/")[0]), set()).add(r.file_path)
+    return found
+
+
+def test_upserts_leave_untouched_buckets_alone(spark, tmp_path):
+    path = f"{tmp_path}/u"
+    frame = lambda ids, v, kind="bigint": spark.createDataFrame([(i, v) for i in ids], f"id {kind}, v string")
+    assert len(bucketed.upsert_table(frame(range(200), "old"), path, ["id"], "v1", buckets=16)) == 16
+    before = _files(spark, path)
+    # a narrower key type falls into the same bucket
+    touched = bucketed.upsert_table(frame([5, 77, 500], "new", "int"), path, ["id"], "v2")
+    after = _files(spark, path)
+    assert 1 <= len(touched) <= 3 and all(after[k] == before[k] for k in range(16) if k not in touched) and all(not after[k] & before[k] for k in touched)
+    want = {i: "new" if i in (5, 77) else "old" for i in range(200)} | {500: "new"}
+    assert dict(rows(bucketed.read_current(spark, path))) == want
+    assert bucketed.upsert_table(frame([], "x"), path, ["id"], "v3") == [] and _files(spark, path) == after
+    # a new column is null in older buckets; null keys are one key; repeated keys leave one row
+    more = spark.createDataFrame([(5, "w", 1.5), (None, "n", 2.0), (None, "n", 2.0)], "id bigint, v string, extra double")
+    bucketed.upsert_table(more, path, ["id"], "v4")
+    now = {r["id"]: (r["v"], r["extra"]) for r in bucketed.read_current(spark, path).collect()}
+    assert now == {i: (v, None) for i, v in want.items()} | {5: ("w", 1.5), None: ("n", 2.0)}
+
+
+def test_unfinished_upserts_are_not_seen(spark, tmp_path):
+    path = f"{tmp_path}/u"
+    with pytest.raises(ValueError, match="no bucketed table"):
+        bucketed.read_current(spark, path)
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    bucketed.upsert_table(df, path, ["id"], "v1", buckets=4)
+    df.write.parquet(f"{path}/data/v2/_bucket=0")  # of a writer that died before its manifest
+    assert rows(bucketed.read_current(spark, path)) == [(1, "a")]
+    with pytest.raises(PySparkException):
+        bucketed.upsert_table(df, path, ["id"], "v1")  # a version is never written twice
+    bucketed.upsert_table(spark.createDataFrame([(1, "b")], "id int, v string"), path, ["id"], "v3")
+    assert rows(bucketed.read_current(spark, path)) == [(1, "b")]
+
+
+def test_sketches_of_partitions_are_merged(spark, tmp_path):
+    df = spark.range(6000).selectExpr("id", "id % 3 AS part", "CAST(id % 700 AS SMALLINT) AS few", "IF(id % 2 = 0, NULL, CAST(id % 50 AS DOUBLE)) AS half", "array(id % 9) AS list")
+    for part in range(3):  # a partition at a time, the earlier ones aren't read again
+        profiles.sketch_profile(df.where(F.col("part") == part), "t", "part").write.mode("append").parquet(f"{tmp_path}/p")
+    stored = spark.read.parquet(f"{tmp_path}/p")
+    assert stored.count() == 3 * 5
+    got = {r.column_name: r for r in profiles.merge_profiles(stored).collect()}
+    for name, kinds in (("id", 6000), ("part", 3), ("few", 700), ("half", 25), ("list", 9)):
+        assert got[name].n_rows == 6000 and abs(got[name].n_distinct - kinds) <= 0.06 * kinds
+    assert got["half"].n_null == 3000 and got["few"].data_type == "smallint"
+    exact = {r["column_name"]: r["n_distinct"] for r in io.profile({"t": df}, exact=True).collect()}
+    assert exact == {"id": 6000, "part": 3, "few": 700, "half": 25, "list": 9}
+
+
 def test_registered_queries_have_sql():
     from stintlake.plans import registry
 
