@@ -60,16 +60,23 @@ def held_on(ledger: DataFrame, date: str | Column) -> DataFrame:
 def holdings_by_date(ledger: DataFrame, dates: DataFrame, date_col: str = "date") -> DataFrame:
     """Every interval on every date of an irregular grid on which it holds.
 
-    A range join by month: intervals are dealt to the months they touch, so dates only meet intervals of
-    their own month. The grid's last date bounds open intervals.
+    A range join without a join: the grid, which has at most one entry for a day of the calendar, becomes
+    a sorted array, and an array over its days tells how many dates lie at or before each. Two lookups turn
+    an interval into a range of places in the grid, and that slice is the result. Intervals are neither
+    copied nor shuffled, however long they are and however sparse or dense the grid is. Both arrays are
+    scalar subqueries. The grid's last date bounds open intervals; intervals without a start hold nowhere.
     """
-    grid = dates.select(F.col(date_col).cast("date").alias("_d")).where("_d IS NOT NULL").distinct().withColumn("_month", F.trunc("_d", "month"))
-    last = grid.agg(F.max("_d").alias("_last"), F.min("_d").alias("_first"))
-    spread = ledger.crossJoin(F.broadcast(last))  # one row
-    low, high = F.greatest("valid_from", "_first"), F.least(F.coalesce(F.date_sub("valid_to", 1), "_last"), "_last")
-    spread = spread.where(low <= high).withColumn("_month", F.explode(F.sequence(F.trunc(low, "month"), F.trunc(high, "month"), F.expr("interval 1 month"))))
-    met = spread.join(grid, "_month").where((F.col("valid_from") <= F.col("_d")) & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("_d"))))
-    return met.select(*ledger.columns, F.col("_d").alias(date_col))
+    grid = dates.select(F.col(date_col).cast("date").alias("_d")).where("_d IS NOT NULL")
+    places = grid.agg(F.array_sort(F.collect_set("_d")).alias("d"))  # collect_set: distinct before the shuffle
+    days_to_next = "coalesce(datediff(get(d, i + 1), x), 1)"
+    counts = places.select(F.expr(f"flatten(transform(d, (x, i) -> array_repeat(i + 1, {days_to_next})))").alias("n"))
+    all_dates, upto = places.scalar(), counts.scalar()
+    first, last = F.get(all_dates, F.lit(0)), F.get(all_dates, F.size(all_dates) - 1)
+    low, high = F.greatest("valid_from", first), F.least(F.coalesce(F.date_sub("valid_to", 1), last), last)
+    place = lambda day: F.coalesce(F.get(upto, F.datediff(day, first)), F.lit(0))  # noqa: E731  dates at or before
+    held = ledger.where(F.col("valid_from").isNotNull() & (low <= high))
+    before = place(F.date_sub(low, 1))
+    return held.select(*ledger.columns, F.explode(F.slice(all_dates, before + 1, place(high) - before)).alias(date_col))
 
 
 def holdings_on_grid(ledger: DataFrame, start: str, end: str, step_days: int, date_col: str = "date") -> DataFrame:

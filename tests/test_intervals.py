@@ -64,6 +64,25 @@ def test_grids_agree(spark):
     assert {x[0] for x in a} == {"a", "b"}
 
 
+def test_long_stints_on_sparse_and_dense_grids(spark):
+    """Stints of 30 years on grids from one date a decade to one a day, against a loop; the plan neither
+    copies nor shuffles the ledger."""
+    rng = random.Random(6)
+    day = lambda n: D("1990-01-01") + dt.timedelta(days=n)
+    stints = [(k, day(a), None if rng.random() < 0.2 else day(a + n)) for k, (a, n) in enumerate([(0, 30 * 365), (5, 1), (9, 0), *[(rng.randrange(11_000), rng.choice([1, 3, 40, 9000])) for _ in range(60)]])]
+    stints.append((99, None, day(50)))
+    led = spark.createDataFrame(stints, "k int, valid_from date, valid_to date")
+    for step in (1, 7, 31, 365, 3650):
+        grid = [day(n) for n in range(3, 12_000, step)] + ([day(n) for n in rng.sample(range(12_000), 5)] if step > 1 else [])
+        got = intervals.holdings_by_date(led, spark.createDataFrame([(x,) for x in [*grid, grid[0], None]], "date date"))
+        want = [(k, x) for k, a, b in stints for x in set(grid) if a and a <= x and (b is None or x < b)]
+        assert sorted((r["k"], r["date"]) for r in got.select("k", "date").collect()) == sorted(want)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Generate explode(slice(") == 1
+    for none in ([], [(None,)]):
+        assert intervals.holdings_by_date(led, spark.createDataFrame(none, "date date")).count() == 0
+
+
 def test_asof_keeps_null_values_and_unmatched_rows(spark):
     left = spark.createDataFrame([(1, 5), (1, 1), (2, 9), (1, None)], "k int, t int")
     right = spark.createDataFrame([(1, 2, 10.0), (1, 5, None), (3, 1, 7.0)], "k int, u int, v double")
