@@ -3,75 +3,112 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def walk_back(nodes: DataFrame, id: str = "league_id", prev: str = "previous_league_id", max_rounds: int = 40) -> DataFrame:
+#: One node in RULERS is a ruler: chains are first walked to the next ruler, then over rulers only.
+RULERS = 8
+
+
+def _contract(state: DataFrame, rounds: int = 60, counts: list[int] | None = None) -> DataFrame:
+    """Pointer doubling in which settled nodes leave: state has (n, at, depth, settled), settled rows being
+    what others may end at. Returns the settled rows; those that never settle (cycles, or pointers to what
+    isn't in state) are left out. counts, if given, gets the number of rows that each round starts with.
+    """
+    state = _cut(state)
+    total, settled, active = state.count(), state.where("settled"), state.where("NOT settled")
+    left = active.count()
+    for k in range(rounds):
+        if not left or 2**k > total:  # a pointer that is longer than all nodes goes round a cycle
+            break
+        if counts is not None:
+            counts.append(left)
+        ahead = settled.unionByName(active).select(F.col("n").alias("at"), F.col("at").alias("_at"), F.col("depth").alias("_depth"), F.col("settled").alias("_settled"))
+        moved = _cut(active.join(ahead, "at").select("n", F.col("_at").alias("at"), (F.col("depth") + F.col("_depth")).alias("depth"), F.col("_settled").alias("settled")))
+        settled, active = settled.unionByName(moved.where("settled")), moved.where("NOT settled")
+        left = active.count()
+    return settled
+
+
+def walk_back(nodes: DataFrame, id: str = "league_id", prev: str = "previous_league_id", counts: list[int] | None = None) -> DataFrame:
     """(id, root, depth): the end of each node's chain of predecessors, and the steps to it.
 
-    Pointer doubling: after k rounds a pointer spans 2^k steps. A predecessor that is not a node, is null,
-    blank or '0' ends the chain. A node on a cycle has a null root (the chain has no end).
+    List contraction: each node walks to the next ruler (one node in RULERS, chosen by hash, and all ends)
+    by pointer doubling, and leaves when it is there, so each round has fewer rows. Chains are then walked
+    over the rulers only, and one join gives every node its ruler's end. A predecessor that is not a node,
+    is null, blank or '0' ends the chain. A node that reaches a cycle has a null root (no end).
     """
     key = nodes.select(F.col(id).cast("string").alias("n"), F.col(prev).cast("string").alias("p")).distinct()
-    ends = key.select(F.col("n").alias("p"), F.lit(True).alias("_known"))
-    step = key.join(ends, "p", "left").select("n", F.when(F.col("_known") & ~F.col("p").isin("", "0"), F.col("p")).alias("p"))
-    state = step.select("n", F.coalesce("p", "n").alias("at"), F.col("p").isNotNull().cast("long").alias("depth"), F.col("p").isNull().alias("done"))
-    total = None
-    for k in range(max_rounds):
-        if k % 4 == 3:  # the plan would double with each round
-            state = _cut(state)
-            left = state.where("NOT done").count()
-            if left == 0 or (total is not None and 2 ** (k + 1) > total):
-                break
-            total = total or state.count()
-        ahead = state.select(F.col("n").alias("at"), F.col("at").alias("_at"), F.col("depth").alias("_depth"), F.col("done").alias("_done"))
-        state = state.join(ahead, "at", "left").select("n", F.col("_at").alias("at"), F.when(F.col("done"), F.col("depth")).otherwise(F.col("depth") + F.col("_depth")).alias("depth"), (F.col("done") | F.col("_done")).alias("done"))
-    return state.select(F.col("n").alias(id), F.when(F.col("done"), F.col("at")).alias("root"), F.when(F.col("done"), F.col("depth")).alias("depth"))
+    known = key.select(F.col("n").alias("p"), F.lit(True).alias("_known")).distinct()
+    step = key.join(known, "p", "left").select("n", F.when(F.col("_known") & ~F.col("p").isin("", "0"), F.col("p")).alias("p"))
+    ruler = lambda c: F.pmod(F.xxhash64(c), F.lit(RULERS)) == 0
+    start = step.select("n", F.coalesce("p", "n").alias("at"), F.col("p").isNotNull().cast("long").alias("depth"), (F.col("p").isNull() | ruler("p")).alias("settled"))
+    near = _contract(start, counts=counts)
+    # an end is its own ruler, at depth 0
+    rulers = near.where(ruler("n") | (F.col("depth") == 0)).withColumn("settled", F.col("depth") == 0)
+    # a pointer at a ruler that is no end goes on; one at an end is resolved by the end's own row
+    far = _contract(rulers, counts=counts).select(F.col("n").alias("at"), F.col("at").alias("root"), F.col("depth").alias("_depth"))
+    ends = near.join(far, "at").select("n", "root", (F.col("depth") + F.col("_depth")).alias("depth"))
+    return key.select("n").distinct().join(ends, "n", "left").select(F.col("n").alias(id), "root", "depth")
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Cuts lineage through the checkpoint folder, setting one only where none is named (tests)."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not named and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="stintlake-"))
-    return df.checkpoint()
+_own: list[str] = []
 
 
-def backfill_lineage(leagues: DataFrame, rounds: int = 12, id: str = "league_id", prev: str = "previous_league_id", lineage: str = "league_lineage_id") -> DataFrame:
-    """A null lineage takes its predecessor's, over at most `rounds` steps; else the league itself."""
-    out, columns = leagues, leagues.columns
-    for _ in range(rounds):
-        known = out.where(F.col(lineage).isNotNull()).select(F.col(id).alias(prev), F.col(lineage).alias("_inherited")).dropDuplicates([prev])
-        out = out.join(known, prev, "left").withColumn(lineage, F.coalesce(lineage, "_inherited")).drop("_inherited").select(*columns)
-        if not out.where(F.col(lineage).isNull() & F.col(prev).isNotNull()).limit(1).count():
-            break
-        out = _cut(out)
-    return out.withColumn(lineage, F.coalesce(lineage, id))
+def _cut(df: DataFrame) -> DataFrame:
+    """Cuts lineage by a table in the shared folder spark.checkpoint.dir (a temporary one only in tests).
+    A table's size is known, while the estimates of a plan multiply with each join of a loop."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        if not _own:
+            _own.append(tempfile.mkdtemp(prefix="stintlake-"))
+        base = _own[0]
+    path = f"{base}/stintlake-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def backfill_lineage(leagues: DataFrame, rounds: int = 12, id: str = "league_id", prev: str = "previous_league_id", lineage: str = "league_lineage_id", counts: list[int] | None = None) -> DataFrame:
+    """A null lineage takes that of the nearest predecessor which has one, at most `rounds` steps away; else
+    the league itself. Only leagues without a lineage are walked, and leave when they have met one. An id
+    with several lineages has the least; its predecessor, if it has none, is the least too."""
+    ids = leagues.groupBy(F.col(id).alias("n")).agg(F.min(lineage).alias("_own"), F.min(prev).alias("_prev")).where("n IS NOT NULL AND (_own IS NOT NULL OR _prev IS NOT NULL)")
+    ids = _cut(ids)
+    has = F.col("_own").isNotNull()
+    start = ids.select("n", F.when(has, F.col("n")).otherwise(F.col("_prev")).alias("at"), F.when(has, 0).otherwise(1).cast("long").alias("depth"), has.alias("settled"))
+    found = _contract(start, max(rounds - 1, 1).bit_length(), counts).join(ids.select(F.col("n").alias("at"), "_own"), "at")
+    near = found.where(F.col("depth") < rounds).select(F.col("n").alias(prev), F.col("_own").alias("_inherited"))
+    missing = leagues.where(F.col(lineage).isNull()).join(near, prev, "left").withColumn(lineage, F.coalesce("_inherited", id)).select(*leagues.columns)
+    return leagues.where(F.col(lineage).isNotNull()).unionByName(missing)
 
 
 def discover_forward(known: DataFrame, candidates: DataFrame, members: DataFrame, hops: int = 5, id: str = "league_id", prev: str = "previous_league_id", lineage: str = "league_lineage_id", season: str = "season") -> DataFrame:
     """New leagues that continue a known lineage: (league_id, previous, lineage, hop).
 
     From each lineage's latest league, candidate leagues of its members (members: league_id, user_id)
-    whose predecessor is in the frontier and which are not known yet become the next frontier.
+    whose predecessor is in the frontier and which are not known yet become the next frontier. Known
+    leagues leave the candidates once; after that a hop only meets the hops before it, each of which is
+    stored once and disjoint from the others.
     """
-    frontier = current_per_lineage(known, lineage, season, id)
-    seen, found = known.select(id).distinct(), None
-    offered = candidates.join(members.select(id, "user_id"), id)
+    frontier, found = current_per_lineage(known, lineage, season, id), None
+    offered = _cut(candidates.join(known.select(id), id, "left_anti").join(members.select(id, "user_id"), id).select(id, prev, "user_id"))
     for hop in range(1, hops + 1):
         users = frontier.select(F.col(id).alias("_from"), F.col(lineage).alias("_lineage")).join(members.select(F.col(id).alias("_from"), "user_id"), "_from")
         step = offered.join(users, (offered[prev] == users["_from"]) & (offered["user_id"] == users["user_id"])).select(offered[id], offered[prev], F.col("_lineage").alias(lineage)).distinct()
-        step = _cut(step.join(seen, id, "left_anti").withColumn("hop", F.lit(hop)))
+        if found is not None:
+            step = step.join(found.select(id), id, "left_anti")
+        step = _cut(step.withColumn("hop", F.lit(hop)))
         found = step if found is None else found.unionByName(step)
         if not step.limit(1).count():
             break
-        seen, frontier = seen.union(step.select(id)).distinct(), step.select(id, lineage)
+        frontier = step.select(id, lineage)
     return found
 
 

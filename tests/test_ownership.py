@@ -83,3 +83,45 @@ def test_chains_and_cycles(spark):
 def test_lineage_backfill(spark):
     df = spark.createDataFrame([("a", None, "R"), ("b", "a", None), ("c", "b", None), ("x", "missing", None)], "league_id string, previous_league_id string, league_lineage_id string")
     assert {r[0]: r[2] for r in rows(backfill_lineage(df))} == {"a": "R", "b": "R", "c": "R", "x": "x"}
+
+
+def test_contraction_of_long_chains_and_cycles(spark):
+    """Chains up to 600 long, branches, cycles with tails and blank predecessors, against a loop; every
+    round of either part starts with fewer rows than the one before."""
+    import random
+
+    rng = random.Random(7)
+    prev = {}
+    for c, length in enumerate((600, 90, 40, 1, 2)):
+        for k in range(length):
+            prev[f"c{c}_{k}"] = f"c{c}_{k - 1}" if k else rng.choice([None, "", "0", "unknown"])
+    for k in range(300):  # trees: many successors of one node
+        prev[f"t{k}"] = f"t{rng.randrange(k)}" if k else None
+    for k in range(90):
+        prev[f"y{k}"] = f"y{(k + 1) % 60}" if k < 60 else f"y{k - 60}"
+    prev["self"] = "self"
+    want = {}
+    for n in prev:
+        at, depth = n, 0
+        while prev[at] in prev and depth <= 1000:
+            at, depth = prev[at], depth + 1
+        want[n] = (None, None) if depth > 1000 else (at, depth)
+    counts: list[int] = []
+    nodes = spark.createDataFrame([(n, p) for n, p in prev.items()] * 2, "league_id string, previous_league_id string")
+    got = walk_back(nodes, counts=counts)
+    assert got.count() == len(prev) and {r["league_id"]: (r["root"], r["depth"]) for r in got.collect()} == want
+    falls = [k for k in range(1, len(counts)) if counts[k] > counts[k - 1]]
+    assert len(falls) <= 1  # where the second part, over rulers only, begins
+    assert counts[4] < counts[0] / 2
+
+
+def test_backfill_walks_at_most_its_rounds(spark):
+    chain = [(f"n{k}", f"n{k - 1}" if k else None, "R" if k == 0 else "S" if k == 20 else None) for k in range(40)]
+    df = spark.createDataFrame([*chain, ("a", "b", None), ("b", "a", None)], "league_id string, previous_league_id string, league_lineage_id string")
+    for rounds in (1, 5, 12):
+        counts: list[int] = []
+        got = {r[0]: r[2] for r in rows(backfill_lineage(df, rounds, counts=counts))}
+        for k in range(40):
+            base, name = (20, "S") if k >= 20 else (0, "R")
+            assert got[f"n{k}"] == (name if k - base <= rounds else f"n{k}")
+        assert (got["a"], got["b"]) == ("a", "b") and all(b <= a for a, b in zip(counts, counts[1:], strict=False))
