@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,31 +94,37 @@ def front_fill_range(df: DataFrame, key: str, date: str, start: str, end: str) -
     return df.unionByName(added.select(*df.columns))
 
 
+def savgol_weights(window: int, degree: int) -> tuple[list[list[float]], list[float]]:
+    """(weights of a window's values for the fit at each of its places, those for its middle)."""
+    middle = window // 2 if window % 2 else window / 2 - 0.5
+    places = np.arange(window) - middle
+    fit = np.linalg.pinv(np.vander(places, degree + 1, increasing=True))
+    at = lambda x: (np.vander(x, degree + 1, increasing=True) @ fit).tolist()
+    return at(places), at([0.0 if window % 2 else 0.5])[0]
+
+
 def savgol(df: DataFrame, by: Sequence[str], order_col: str, value: str, window: int = 20, degree: int = 3, out: str = "smooth") -> DataFrame:
     """Savitzky-Golay smoothing of each group: a polynomial fitted to a moving window, the window's ends by
     the fits of the first and last window. Groups shorter than the window stay as they are.
 
-    Groups are series of one asset; each is handled in one task.
+    The fit at a place is a fixed weighted sum of the window's values, so a row needs the window - 1 rows on
+    either side of it, a sliding frame, and never its whole series. A null among the values of a window
+    gives null. Rows of one order value are in the order of their values.
     """
-    before = window // 2 if window % 2 else window / 2 - 0.5
-    positions = np.arange(window) - before
-    fit = np.linalg.pinv(np.vander(positions, degree + 1, increasing=True))
-    inner = fit[0] if window % 2 else (np.vander([0.5], degree + 1, increasing=True) @ fit)[0]
-    head = window // 2
-
-    def smooth(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order_col, kind="stable")
-        y = group[value].to_numpy(float)
-        if len(y) < window:
-            return group.assign(**{out: y})
-        middle = np.convolve(y, inner[::-1], mode="valid")
-        first = np.vander(positions[:head], degree + 1, increasing=True) @ (fit @ y[:window])
-        tail = len(y) - head - len(middle)
-        last = np.vander(positions[window - tail :], degree + 1, increasing=True) @ (fit @ y[-window:])
-        return group.assign(**{out: np.concatenate([first, middle, last])})
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", `{out}` double"
-    return df.groupBy(*by).applyInPandas(smooth, schema)
+    weights, inner = savgol_weights(window, degree)
+    head, array = window // 2, lambda ws: F.array(*[F.lit(float(w)) for w in ws])
+    line = Window.partitionBy(*by).orderBy(order_col, value)
+    near = F.collect_list(F.struct(F.col(value).cast("double").alias("y"))).over(line.rowsBetween(1 - window, window - 1))
+    rows = df.withColumns({"_near": near, "_before": F.count(F.lit(1)).over(line.rowsBetween(1 - window, -1)).cast("int")})
+    rows = rows.withColumn("_after", F.size("_near") - F.col("_before") - 1)
+    last = F.col("_after") < window - 1 - head  # the window can't reach further: the last one
+    start = F.when(last, F.size("_near") - window).when(F.col("_before") >= head, F.col("_before") - head).otherwise(0)
+    rows = rows.withColumn("_start", start)
+    place = F.col("_before") - F.col("_start")
+    chosen = F.when(~last & (place == head), array(inner)).otherwise(F.get(F.array(*[array(w) for w in weights]), place))
+    fitted = F.aggregate(F.zip_with(chosen, F.slice("_near", F.col("_start") + 1, window), lambda w, x: w * x["y"]), F.lit(0.0), lambda t, x: t + x)
+    smooth = F.when(F.size("_near") < window, F.col(value).cast("double")).otherwise(fitted)
+    return rows.withColumn(out, smooth).select(*df.columns, out)
 
 
 def recency_counts(players: DataFrame, values: DataFrame, key: str, date: str, as_of: str, thresholds: Sequence[int]) -> tuple[DataFrame, DataFrame]:
@@ -208,5 +213,7 @@ def feature_sequences(df: DataFrame, key: str, order: str, features: Sequence[st
 
 
 def split(df: DataFrame, fraction: float, key: str, seed: int = 42) -> DataFrame:
-    """Adds is_train: a share `fraction` of the keys, decided by a hash of the key alone."""
-    return df.withColumn("is_train", F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(10_000)) < int(fraction * 10_000))
+    """Adds is_train: a share `fraction` of the keys, decided by eight digits of md5(seed:key) alone. A null
+    key is hashed as the text 'null'."""
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("null")))), 1, 8)
+    return df.withColumn("is_train", F.conv(digits, 16, 10).cast("long") % 10_000 < int(fraction * 10_000))

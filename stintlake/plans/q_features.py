@@ -117,9 +117,18 @@ def h13_front_fill_range(spark, d):
     return features.front_fill_range(derive(spark, d, DAYS), "user_id", "date", "2023-12-25", "2023-12-31")
 
 
-@query()
+_WEIGHTS, _MIDDLE = features.savgol_weights(9, 3)
+
+
+@query(
+    f"""WITH n AS (SELECT *, list(value) OVER (PARTITION BY user_id ORDER BY date ROWS BETWEEN 8 PRECEDING AND 8 FOLLOWING) AS near, CAST(count(*) OVER (PARTITION BY user_id ORDER BY date ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS BIGINT) AS b FROM v),
+s AS (SELECT *, CASE WHEN len(near) - b - 1 < 4 THEN len(near) - 9 WHEN b >= 4 THEN b - 4 ELSE 0 END AS st FROM n),
+w AS (SELECT *, CASE WHEN len(near) - b - 1 >= 4 AND b - st = 4 THEN {_MIDDLE} ELSE {_WEIGHTS}[b - st + 1] END AS c FROM s)
+SELECT user_id, date, value, round(CASE WHEN len(near) < 9 THEN value ELSE list_sum(list_transform(range(1, 10), lambda i: CAST(c[i] AS DOUBLE) * near[st + i])) END, 6) AS smooth FROM w""",
+    v=DAYS,
+)
 def h14_savgol(spark, d):
-    return features.savgol(derive(spark, d, DAYS), ["user_id"], "date", "value")
+    return features.savgol(derive(spark, d, DAYS), ["user_id"], "date", "value", 9).withColumn("smooth", F.round("smooth", 6))
 
 
 LAST = "SELECT c_custkey AS id, c_name FROM {customer}"
@@ -231,6 +240,6 @@ def h24_feature_sequences(spark, d):
     return out.select("id", total(0).alias("sum_points"), total(1).alias("sum_yards"), F.size("sequence").alias("n_rows"), padded.alias("n_padded"), "target")
 
 
-@query()
+@query("SELECT c_custkey, c_name, CAST('0x' || substr(md5('42:' || CAST(c_custkey AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 8000 AS is_train FROM customer")
 def h25_split(spark, d):
     return features.split(derive(spark, d, "SELECT c_custkey, c_name FROM {customer}"), 0.8, "c_custkey")

@@ -152,7 +152,7 @@ def test_registered_queries_have_sql():
     from stintlake.plans import registry
 
     without = set(registry.QUERIES) - set(registry.ORACLES)
-    assert without == {"h14_savgol", "h25_split"}
+    assert not without
 
 
 def test_queries_read_whole_tables():
