@@ -8,11 +8,11 @@ that follows their edit similarity, not only their set similarity (Marcais et al
 Texts that agree on an entry form a bucket. Every member is linked to the bucket's least document (the
 leader), which makes as many candidates as members, never all pairs. A candidate holds if the edit
 similarity of the word sequences, 1 - distance / longer length, is SIMILARITY or more; the alignment
-follows the furthest-reaching points within the band that the threshold allows. Members that are not
+works on bit vectors within the band that the threshold allows. Members that are not
 similar to their leader get another chance: they are bucketed again by pairs of the entries they were
 left with, so that those which agree on two entries meet without the leaders that stood between them.
 What then still belongs to different classes within a bucket is compared pair by pair, so that all pairs
-of texts which agree on an entry are either compared or in one class. Only links leave that step. Only pairs whose numbers of words or
+of texts which agree on an entry are either compared or in one class. Only pairs whose numbers of words or
 bags of words rule the threshold out (lower bounds of the edit distance) are spared the alignment. Buckets
 are cut by the number of words, as similar texts differ little in it, and large ones into blocks, each
 pair of which is a group of its own; members of a bucket's largest class only meet the others.
@@ -27,6 +27,7 @@ keep_one keeps all columns.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +42,10 @@ from stintlake.llm.scratch import keep
 SHINGLE, SAMPLES, PICKS, SIMILARITY = 5, 24, 2, 0.8
 #: Rows of a file of the stored tables.
 FILE_ROWS = 500_000
-#: Bins of a bag of words, and the nodes and their words of a cell of a bucket that are met as one block.
-BINS, BLOCK, BLOCK_WORDS = 256, 1000, 1 << 19
+#: Bins of a bag of words, and nodes of a cell of a bucket that meet as one block by their bags.
+BINS, BLOCK = 256, 8192
+#: Pairs a row that the bounds may leave before texts meet in blocks, of so many nodes and words.
+DENSE, TEXT_BLOCK, BLOCK_WORDS = 8, 1000, 1 << 19
 _seed = np.random.default_rng(1905)
 _XOR = _seed.integers(0, 1 << 64, SAMPLES, dtype=np.uint64)
 _TIMES = _seed.integers(0, 1 << 64, SAMPLES, dtype=np.uint64) | np.uint64(1)
@@ -94,10 +97,17 @@ def sketch(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Words of the pattern that one row of alignment blocks holds as bits of a number.
+ALIGN_BITS = 4096
+
+
 def within(a: list, b: list, similarity: float = SIMILARITY) -> bool:
     """Whether 1 - edit distance / longer length of two sequences is `similarity` or more.
 
-    Furthest-reaching points per diagonal (Ukkonen, Myers), inside the band of the allowed distance.
+    Banded alignment on bit vectors (Myers): a is cut into blocks of ALIGN_BITS words, a block's vertical
+    differences are two numbers, and a block only sees the columns that the allowed distance leaves it.
+    Where a border lies outside the band, differences of +1 stand there: never less than the true ones, and
+    a path within the band doesn't use them. Memory grows with a block and b, not with their product.
     """
     n, m = len(a), len(b)
     allowed = int((1 - similarity) * max(n, m) + 1e-9)
@@ -113,6 +123,8 @@ def within(a: list, b: list, similarity: float = SIMILARITY) -> bool:
     n, m = len(a), len(b)
     if max(n, m) <= allowed:
         return True
+    if not n or not m:
+        return False
     count: dict = {}
     for x in a:
         count[x] = count.get(x, 0) + 1
@@ -120,23 +132,49 @@ def within(a: list, b: list, similarity: float = SIMILARITY) -> bool:
         count[x] = count.get(x, 0) - 1
     if max(sum(v for v in count.values() if v > 0), -sum(v for v in count.values() if v < 0)) > allowed:
         return False  # a lower bound of the distance
-    goal, far = m - n, {-1: -1, 0: -1, 1: -1}  # far[k]: furthest place in a on diagonal k = place in b - place in a
-    for e in range(allowed + 1):
-        now = {}
-        for k in range(-min(e, n), min(e, m) + 1):
-            if abs(goal - k) > allowed - e:
-                continue  # the rest of the budget could not bring it to the end
-            i = 0 if e == 0 else max(far.get(k - 1, -2), far.get(k, -2) + 1, far.get(k + 1, -2) + 1)
-            if i < 0:
-                continue
-            i = min(i, n, m - k)
-            while i < n and i + k < m and a[i] == b[i + k]:
-                i += 1
-            now[k] = i
-        if now.get(goal, -1) >= n:
-            return True
-        far = now
-    return False
+    above, first = list(range(m + 1)), 0  # distances of a's prefix to b[:first], b[:first + 1], ...
+    for top in range(0, n, ALIGN_BITS):
+        block = a[top : top + ALIGN_BITS]
+        begin, end = max(0, top - allowed), min(m, top + len(block) + allowed)
+        above = _align(block, b[begin:end], above[begin - first :])
+        first = begin
+        if min(above) > allowed:
+            return False
+    return above[-1] <= allowed
+
+
+def _align(block: list, columns: list, above: list) -> list:
+    """The distances below a block: above has those over it, from the place before its first column on;
+    where above ends, they rise by one a column."""
+    places: dict = {}
+    for i, x in enumerate(block):
+        places[x] = places.get(x, 0) | 1 << i
+    every, bottom = (1 << len(block)) - 1, 1 << (len(block) - 1)
+    plus, minus, last = every, 0, len(above) - 1
+    score = above[0] + len(block)
+    out = [score]
+    for j, x in enumerate(columns):
+        step = above[j + 1] - above[j] if j < last else 1
+        equal = places.get(x, 0)
+        vertical = equal | minus
+        if step < 0:
+            equal |= 1
+        across = (((equal & plus) + plus) ^ plus) | equal
+        rise = minus | (every & ~(across | plus))
+        fall = plus & across
+        if rise & bottom:
+            score += 1
+        elif fall & bottom:
+            score -= 1
+        out.append(score)
+        rise, fall = rise << 1 & every, fall << 1 & every
+        if step < 0:
+            fall |= 1
+        elif step > 0:
+            rise |= 1
+        plus = fall | (every & ~(vertical | rise))
+        minus = rise & vertical
+    return out
 
 
 def _key(doc_id: str = "doc_id") -> Column:
@@ -180,26 +218,25 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return whole.select("node", "leader", "a", "b").mapInArrow(align, "node long, leader long, holds boolean")
 
 
-def band(size: np.ndarray) -> np.ndarray:
-    """Bands of numbers of words: texts that within() accepts are in the same or in neighbouring bands."""
-    edges = [1]
-    while edges[-1] <= max(size, default=0):
-        edges.append(int(edges[-1] / SIMILARITY) + 1)  # above 1 / SIMILARITY times the edge before
-    return np.searchsorted(np.array(edges), size, "right")
-
-
-def _sized(docs: DataFrame) -> DataFrame:
-    """node, root, sketch, band of the number of words, and text of every row."""
+def _featured(texts: DataFrame) -> DataFrame:
+    """node, text, number of words, bag of words and sketch of every row of (node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, at in T.slices(batch.column(2)):
-                text = batch.column(2).slice(i, j - i)
-                size = np.array([len((t.as_py() or "").split()) for t in text], np.int64)  # the words that within() compares
-                columns = [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array([x.tobytes() for x in sketch(data, at)], pa.binary()), pa.array(band(size), pa.int32()), pa.array(size), text]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "root", "sketch", "band", "size", "text"])
+            for i, j, data, at in T.slices(batch.column(1)):
+                node, text = (batch.column(k).slice(i, j - i) for k in (0, 1))
+                words = [(t or "").split() for t in text.to_pylist()]  # the words that within() compares
+                bags = [bag_of(w).tobytes() for w in words]
+                columns = [node, text, pa.array([len(w) for w in words], pa.int64()), pa.array(bags, pa.binary()), pa.array([x.tobytes() for x in sketch(data, at)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "text", "size", "bag", "sketch"])
 
-    return docs.select("node", "root", "text").mapInArrow(run, "node long, root long, sketch binary, band int, size long, text string")
+    return texts.select("node", "text").mapInArrow(run, "node long, text string, size long, bag binary, sketch binary")
+
+
+def bag_of(words: list[str]) -> np.ndarray:
+    """How many words fall into each of BINS bins, 255 at most: differences of bags stay lower bounds."""
+    bins = np.fromiter((zlib.crc32(w.encode()) % BINS for w in words), np.int64, len(words))
+    return np.minimum(np.bincount(bins, minlength=BINS), 255).astype(np.uint8)
 
 
 def possible(size: np.ndarray, bag: np.ndarray, root: np.ndarray, part: np.ndarray, guest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,22 +260,28 @@ def possible(size: np.ndarray, bag: np.ndarray, root: np.ndarray, part: np.ndarr
     return order[np.concatenate(left or none)], order[np.concatenate(right or none)]
 
 
-def links_within(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """(node, leader) of links between different roots of one pair of blocks: enough of them to join all
-    that are similar. Texts that agree on several entries are compared in the bucket of the first one."""
-    column = {c: group.column(c).to_numpy() for c in ("node", "root", "part", "guest")}
-    code: dict = {}
-    texts = [[code.setdefault(w, len(code)) for w in (t.as_py() or "").split()] for t in group.column("text")]
-    bags = np.stack([np.minimum(np.bincount(np.array(t, np.int64) % BINS, minlength=BINS), 255) for t in texts])
-    data, _ = T.buffers(group.column("sketch"))
-    entries = np.frombuffer(data.tobytes(), np.int64).reshape(-1, SAMPLES)
-    a, b = possible(np.array([len(t) for t in texts]), bags.astype(np.uint8), column["root"], column["part"], column["guest"].astype(bool))
+def candidates_within(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i, j) of one pair of blocks that the bounds leave, in the bucket of their first common entry."""
+    column = {c: group.column(c).to_numpy() for c in ("root", "part", "guest", "size")}
+    table = lambda c, kind: np.frombuffer(T.buffers(group.column(c))[0].tobytes(), kind).reshape(len(group), -1)
+    entries = table("sketch", np.int64)
+    a, b = possible(column["size"], table("bag", np.uint8), column["root"], column["part"], column["guest"].astype(bool))
     meet = []
     for k in range(0, len(a), 1 << 16):
         x, y = a[k : k + (1 << 16)], b[k : k + (1 << 16)]
         same = entries[x] == entries[y]
         meet.append(same.any(1) & (entries[x, same.argmax(1)] == group.column("key")[0].as_py()))
-    above, out = {r: r for r in column["root"].tolist()}, []
+    chosen = np.concatenate(meet) if meet else np.zeros(0, bool)
+    return a[chosen], b[chosen]
+
+
+def links_within(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(node, leader) of links between different roots of one pair of blocks: enough of them to join all
+    that are similar. Texts that agree on several entries are compared in the bucket of the first one."""
+    root, node = group.column("root").to_numpy(), group.column("node").to_numpy()
+    a, b = candidates_within(group)
+    words: dict[int, list] = {}
+    above, out = {r: r for r in root.tolist()}, []
 
     def top(r: int) -> int:
         while above[r] != r:
@@ -246,47 +289,86 @@ def links_within(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
             r = above[r]
         return r
 
-    chosen = np.concatenate(meet) if meet else np.zeros(0, bool)
-    for i, j in zip(a[chosen].tolist(), b[chosen].tolist(), strict=True):
-        p, q = top(int(column["root"][i])), top(int(column["root"][j]))
-        if p != q and within(texts[i], texts[j]):
+    for i, j in zip(a.tolist(), b.tolist(), strict=True):
+        p, q = top(int(root[i])), top(int(root[j]))
+        if p == q:
+            continue
+        for k in (i, j):
+            if k not in words:
+                words[k] = (group.column("text")[k].as_py() or "").split()
+        if within(words[i], words[j]):
             above[p] = q
             out.append((i, j))
-    x, y = (column["node"][np.array(out, np.int64).reshape(-1, 2)[:, k]] for k in (0, 1))
+    x, y = (node[np.array(out, np.int64).reshape(-1, 2)[:, k]] for k in (0, 1))
     return np.maximum(x, y), np.minimum(x, y)
 
 
-def _rest(buckets: DataFrame, mixed: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, leader) of links between the classes that meet in the mixed buckets.
+def band(size: Column) -> Column:
+    """Bands of numbers of words: texts that within() accepts are in the same or in neighbouring bands."""
+    edges = [1]
+    while edges[-1] < 1 << 40:
+        edges.append(int(edges[-1] / SIMILARITY) + 1)  # above 1 / SIMILARITY times the edge before
+    return F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= size))
 
-    A bucket falls into cells, one for each band of sizes, in which the texts of the band meet each other
-    and those of the next band (the guests). Cells of one class are done. In the others, the members of
-    the largest class are in one class already, so their blocks only meet the blocks of the rest. Pairs
-    are aligned where their blocks meet, and only links leave the task.
-    """
-    members = keep(buckets.join(mixed, "key", "left_semi"))
-    rooted = members.select("node").distinct().join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-    placed = keep(members.join(_sized(texts.join(rooted, "node")), "node"))
+
+def _cells(members: DataFrame, texts: DataFrame, roots: DataFrame, columns: list[str]) -> DataFrame:
+    """Members of buckets in the cells of their band of sizes, with their root and `columns` of their text:
+    the texts of a band meet each other and those of the next band (the guests)."""
+    known = texts.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "size", *columns)
     places = F.explode(F.array(F.struct(F.col("band").alias("cell"), F.lit(False).alias("guest")), F.struct((F.col("band") - 1).alias("cell"), F.lit(True).alias("guest"))))
-    placed = placed.withColumn("place", places).select("key", "place.*", "node", "root", "size", "sketch", "text")
-    counts = placed.groupBy("key", "cell", "root").agg(F.count("*").alias("n"), F.min("guest").alias("guest"), F.max("size").alias("size"))
-    cells = counts.groupBy("key", "cell").agg(F.count("*").alias("_roots"), F.min("guest").alias("_guest"), F.sum("n").alias("n"), F.max("size").alias("size"), F.max(F.struct("n", "root")).alias("main"))
-    block = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_WORDS) / F.col("size"))))
+    # bands go to the texts before they meet the members, of which there are more
+    return members.join(known.withColumn("band", band(F.col("size"))), "node").withColumn("place", places).select("key", "place.*", "node", "root", "size", *columns)
+
+
+def _paired(placed: DataFrame, cells: DataFrame, block: Column) -> DataFrame:
+    """placed rows by pairs (low, high) of blocks of their cell, each block as often as it meets another.
+    Members of the largest class of a cell are in one class already: their blocks only meet the rest's."""
     of = lambda n: F.ceil(n / block)
     # adding 0 gives the join an exchange on both sides, as in _leaders
-    cells = cells.where("_roots > 1 AND NOT _guest").select((F.col("key") + F.lit(0)).alias("key"), "cell", F.col("main.root").alias("main"), of(F.col("main.n")).alias("of_main"), of(F.col("n") - F.col("main.n")).alias("of_rest"))
+    cells = cells.select((F.col("key") + F.lit(0)).alias("key"), "cell", F.col("main.root").alias("main"), of(F.col("main.n")).alias("of_main"), of(F.col("n") - F.col("main.n")).alias("of_rest"))
     hashed, main = F.xxhash64("node"), F.col("root") == F.col("main")
-    cut = placed.join(keep(cells), ["key", "cell"])
+    cut = placed.join(cells, ["key", "cell"])
     cut = cut.withColumn("part", F.when(main, F.pmod(hashed, "of_main")).otherwise(F.col("of_main") + F.pmod(hashed, "of_rest")))
     cut = cut.withColumn("other", F.explode(F.sequence(F.when(main, F.col("of_main")).otherwise(F.lit(0)), F.col("of_main") + F.col("of_rest") - 1)))
     # adding 0 again, so that the pairs of blocks of a cell are dealt to several tasks
-    met = cut.select((F.col("key") + F.lit(0)).alias("key"), "cell", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "guest", "node", "root", "sketch", "text")
+    return cut.select((F.col("key") + F.lit(0)).alias("key"), "cell", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", *[c for c in placed.columns if c not in ("key", "cell")])
+
 
-    def pair(group: pa.Table) -> pa.Table:
+def _rest(buckets: DataFrame, mixed: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, leader) of links between the classes that meet in the mixed buckets.
+
+    A bucket falls into cells, one for each band of sizes. Cells of one class are done. In the others blocks
+    meet by sizes, bags and sketches only, and the pairs that the bounds leave are aligned. Where they leave
+    more than DENSE pairs a row (texts with like bags of words), no pairs are made: the cell's texts meet in
+    smaller blocks, and only links leave those tasks.
+    """
+    members = keep(buckets.join(mixed, "key", "left_semi"))
+    placed = keep(_cells(members, texts, roots, ["bag", "sketch"]))
+    counts = placed.groupBy("key", "cell", "root").agg(F.count("*").alias("n"), F.min("guest").alias("guest"), F.max("size").alias("size"))
+    cells = counts.groupBy("key", "cell").agg(F.count("*").alias("_roots"), F.min("guest").alias("_guest"), F.sum("n").alias("n"), F.max("size").alias("size"), F.max(F.struct("n", "root")).alias("main"))
+    cells = keep(cells.where("_roots > 1 AND NOT _guest"))
+
+    def meet(group: pa.Table) -> pa.Table:
+        a, b = candidates_within(group)
+        if len(a) > DENSE * len(group):
+            return pa.table({"key": group.column("key")[:1], "cell": group.column("cell")[:1], "node": pa.nulls(1, pa.int64()), "leader": pa.nulls(1, pa.int64())})
+        node = group.column("node").to_numpy()
+        none = [group.column(c).take(pa.array(np.zeros(len(a), np.int64))) for c in ("key", "cell")]
+        return pa.table({"key": none[0], "cell": none[1], "node": np.maximum(node[a], node[b]), "leader": np.minimum(node[a], node[b])})
+
+    def link(group: pa.Table) -> pa.Table:
         node, leader = links_within(group)
         return pa.table({"node": node, "leader": leader})
 
-    return met.groupBy("key", "cell", "low", "high").applyInArrow(pair, "node long, leader long").distinct()
+    by = ("key", "cell", "low", "high")
+    found = keep(_paired(placed, cells, F.lit(BLOCK)).groupBy(*by).applyInArrow(meet, "key long, cell int, node long, leader long"))
+    links = _verify(found.where("node IS NOT NULL").select("node", "leader").distinct(), texts).where("holds").select("node", "leader")
+    dense = cells.join(found.where("node IS NULL").select("key", "cell").distinct(), ["key", "cell"], "left_semi")
+    if not dense.limit(1).count():
+        return links
+    small = F.greatest(F.lit(1), F.least(F.lit(TEXT_BLOCK), F.floor(F.lit(BLOCK_WORDS) / F.col("size"))))
+    whole = placed.join(dense.select("key", "cell"), ["key", "cell"], "left_semi").join(texts.select("node", "text"), "node")
+    return links.unionByName(_paired(whole, dense, small).groupBy(*by).applyInArrow(link, "node long, leader long")).distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -297,14 +379,14 @@ def classes(docs: DataFrame) -> DataFrame:
     nodes = rows.join(copies, (rows.same == copies.same) & (rows.id == copies.node)).select("node", "sketch")
     buckets = keep(_entries(nodes).distinct().coalesce(SAMPLES * files))
     met = keep(buckets.join(_leaders(buckets), "key").where("node != leader").coalesce(SAMPLES * files))
-    texts = docs.select(_key().alias("node"), "text")
-    first = keep(_verify(met.select("node", "leader").distinct(), texts).repartition(SAMPLES * files))
-    # all that follows happens in buckets with a member unlike the leader, and their texts are stored
-    unlike = keep(met.join(first.where("NOT holds"), ["node", "leader"], "left_semi").coalesce(SAMPLES * files))
-    keys = keep(unlike.select("key").distinct().coalesce(files))
-    open_nodes = keep(buckets.join(keys, "key", "left_semi").select("node").distinct().coalesce(files))
-    texts = keep(texts.join(open_nodes, "node", "left_semi"))
+    pairs = keep(met.select("node", "leader").distinct().coalesce(files))
+    # all that follows is about texts that agree on an entry with another one: they are shuffled once and stored
+    open_nodes = pairs.select("node").union(pairs.select("leader")).distinct()
+    whole = docs.select(_key().alias("node"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = keep(_featured(whole.join(open_nodes, "node", "left_semi").dropDuplicates(["node", "text"])))
+    first = keep(_verify(pairs, texts).repartition(SAMPLES * files))
     # the second chance: nodes that their leader does not resemble, by pairs of what they were left with
+    unlike = keep(met.join(first.where("NOT holds"), ["node", "leader"], "left_semi").coalesce(SAMPLES * files))
     left = unlike.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys")).where("size(keys) > 1")
     pairs = left.select("node", F.explode(F.flatten(F.transform("keys", lambda x: F.transform(F.filter("keys", lambda y: y > x), lambda y: F.xxhash64(x, y))))).alias("key"))
     pairs = keep(pairs)

@@ -197,13 +197,54 @@ def test_alignment_is_the_edit_distance():
         assert near_dedup.within(a, b) == (1 - edit_distance(a, b) / max(len(a), len(b), 1) >= 0.8 - 1e-12)
 
 
+@pytest.mark.parametrize("bits", [3, 16, 4096])
+def test_alignment_in_blocks(monkeypatch, bits):
+    """Blocks of a few words, other thresholds, and texts of 20 000 words on either side of the threshold."""
+    monkeypatch.setattr(near_dedup, "ALIGN_BITS", bits)
+    rng = random.Random(bits)
+    for _ in range(800):
+        kinds = rng.choice([2, 4, 40])
+        a = [rng.randrange(kinds) for _ in range(rng.randrange(0, 40))]
+        b = list(a)
+        for _ in range(rng.randrange(12)):
+            place = rng.randrange(len(b) + 1)
+            b[place : place + rng.randrange(2)] = [rng.randrange(kinds)] * rng.randrange(2)
+        similarity = rng.choice([0.5, 0.8, 0.9])
+        assert near_dedup.within(a, b, similarity) == (edit_distance(a, b) <= int((1 - similarity) * max(len(a), len(b)) + 1e-9))
+    if bits == 4096:
+        a = list(range(20_000))
+        for edits, similar in ((3990, True), (4010, False)):
+            b = list(a)
+            for k in rng.sample(range(20_000), edits):
+                b[k] = -1 - k
+            assert near_dedup.within(a, b) == similar
+
+
+def test_templated_texts_end_in_time(spark):
+    """Unlike texts with equal bags of words and common k-mers, which no bound tells apart."""
+    rng = random.Random(3)
+    shared, own = words(rng, 70), words(rng, 30)
+    texts = []
+    for _ in range(150):
+        rng.shuffle(own)
+        texts.append(" ".join(shared + own))
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.find(make(spark, texts)).collect()}
+    split, root = [t.split() for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and near_dedup.within(split[i], split[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert got == dict(enumerate(root))
+
+
 def test_near_duplicates_against_brute_force(spark, corpus):
     rng = random.Random(5)
     texts = list(corpus)
     passage = words(rng, 40)
     for k in range(12):  # unrelated texts that share a passage
         texts.append(" ".join(words(rng, 60) + passage + words(rng, 60)))
-    for base in (8, 12, 20):
+    for base in (8, 12, 20, len(corpus) - 1):  # the last one has 30 000 words
         w = corpus[base].split()
         for _ in range(6):
             texts.append(" ".join(x if rng.random() > 0.03 else "edited" for x in w))
@@ -231,8 +272,8 @@ def test_near_duplicates_against_brute_force(spark, corpus):
     assert near_dedup.find(docs.limit(0)).count() == 0 and near_dedup.keep_one(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("block", [1000, 7])
-def test_one_bucket_is_compared_whole(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "dense"), [(8192, 8), (7, 8), (7, 0)])
+def test_one_bucket_is_compared_whole(spark, monkeypatch, block, dense):
     """Chains whose links do not go through the least document, and a templated group, all in the same two buckets."""
     rng = random.Random(11)
     w = [f"{x}{k}" for k, x in enumerate(words(rng, 100))]
@@ -245,7 +286,8 @@ def test_one_bucket_is_compared_whole(spark, monkeypatch, block):
         texts.append(template + [f"{x}_{k % 8}" for x in words(own, 26)] + [f"{x}_{k}" for x in words(rng, 4)])
     order = list(range(len(texts)))
     texts = [texts[k] for k in (0, 1, 2, 3, 6, 4, 5, *order[7:])]
-    monkeypatch.setattr(near_dedup, "BLOCK", block, raising=False)
+    for name, value in (("BLOCK", block), ("TEXT_BLOCK", block), ("DENSE", dense)):  # dense 0: texts meet in blocks
+        monkeypatch.setattr(near_dedup, name, value)
     entries = near_dedup.sketch
 
     def one_bucket(data, at):
@@ -265,20 +307,22 @@ def test_one_bucket_is_compared_whole(spark, monkeypatch, block):
     assert got == dict(enumerate(expected))
 
 
-def test_spared_pairs_are_never_similar():
+def test_spared_pairs_are_never_similar(spark):
     rng = random.Random(13)
     split = [[str(rng.randrange(12)) for _ in range(rng.randrange(0, 30))] for _ in range(60)]
     split += [[x for x in t if rng.random() > 0.1] for t in split for _ in range(2)]
-    bags = np.array([np.bincount(np.array([zlib.crc32(x.encode()) % 256 for x in t], np.int64), minlength=256) for t in split]).astype(np.uint8)
+    split += [["x"] * 900, ["x"] * 750, ["x"] * 700]  # more than a bin of a bag counts
+    bags = np.array([near_dedup.bag_of(t) for t in split])
     size, n = np.array([len(t) for t in split]), len(split)
     a, b = near_dedup.possible(size, bags, np.arange(n), np.zeros(n, np.int64), np.zeros(n, bool))
     met = {frozenset(p) for p in zip(a.tolist(), b.tolist(), strict=True)}
     similar = {frozenset((i, j)) for i in range(n) for j in range(i) if near_dedup.within(split[i], split[j])}
     assert similar <= met
-    bands = near_dedup.band(size)
+    banded = lambda sizes: np.array([r[0] for r in spark.createDataFrame([(int(x),) for x in sizes], "n long").select(near_dedup.band(F.col("n"))).collect()])
+    bands = banded(size)
     assert all(abs(bands[i] - bands[j]) <= 1 for i, j in similar) and bands.max() > 4
     long = np.arange(5000)
-    assert (near_dedup.band(long)[long - (0.2 * long + 1e-9).astype(int)] >= near_dedup.band(long) - 1).all()
+    assert (banded(long)[long - (0.2 * long + 1e-9).astype(int)] >= banded(long) - 1).all()
     one = near_dedup.possible(size, bags, np.arange(n), np.zeros(n, np.int64), np.arange(n) % 2 == 1)
     assert {frozenset(p) for p in zip(*(x.tolist() for x in one), strict=True)} == {p for p in met if not all(x % 2 for x in p)}
 
