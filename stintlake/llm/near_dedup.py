@@ -20,9 +20,11 @@ pair of which is a group of its own; members of a bucket's largest class only me
 Equal texts are one node from the start. Classes are the connected components of the links.
 
 Null texts count as empty, and empty texts are copies of each other. Rows with the same doc_id are one
-document: they get one class. A row without doc_id is known by a hash of its text. The class id is the
-least doc_id of the class. An empty table gives an empty result. Only doc_id and text are read;
-keep_one keeps all columns.
+document: they get one class. A row without doc_id is known by a hash of its text. doc_id has to be a
+number: one that can't be cast to a whole number is an error. The class id is the least doc_id of the
+class. A very long text is one sketch and one slice of memory; its alignment takes memory in proportion to
+its length, and time to the square divided by the bits of a block. An empty table gives an empty result.
+Only doc_id and text are read; keep_one keeps all columns.
 """
 
 from __future__ import annotations
@@ -375,15 +377,16 @@ def classes(docs: DataFrame) -> DataFrame:
     """(id, class_id, rows) for every id: its class and the number of rows that share the id."""
     rows = keep(_sketched(docs))
     files = 1 + rows.count() // FILE_ROWS  # tables of one row a document come in that many files
-    copies = keep(rows.groupBy("same").agg(F.min("id").alias("node")).coalesce(files))
-    nodes = rows.join(copies, (rows.same == copies.same) & (rows.id == copies.node)).select("node", "sketch")
-    buckets = keep(_entries(nodes).distinct().coalesce(SAMPLES * files))
+    # equal texts have one node and equal sketches
+    copies = keep(rows.groupBy("same").agg(F.min("id").alias("node"), F.min("sketch").alias("sketch")).coalesce(files))
+    buckets = keep(_entries(copies.select("node", "sketch")).coalesce(SAMPLES * files))
     met = keep(buckets.join(_leaders(buckets), "key").where("node != leader").coalesce(SAMPLES * files))
     pairs = keep(met.select("node", "leader").distinct().coalesce(files))
     # all that follows is about texts that agree on an entry with another one: they are shuffled once and stored
     open_nodes = pairs.select("node").union(pairs.select("leader")).distinct()
     whole = docs.select(_key().alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = keep(_featured(whole.join(open_nodes, "node", "left_semi").dropDuplicates(["node", "text"])))
+    # their number grows with the corpus, so they are never sent to all tasks, at no size
+    texts = keep(_featured(whole.join(open_nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node", "text"])))
     first = keep(_verify(pairs, texts).repartition(SAMPLES * files))
     # the second chance: nodes that their leader does not resemble, by pairs of what they were left with
     unlike = keep(met.join(first.where("NOT holds"), ["node", "leader"], "left_semi").coalesce(SAMPLES * files))
@@ -401,7 +404,7 @@ def classes(docs: DataFrame) -> DataFrame:
     third = keep(_rest(buckets, mixed, roots, texts))
     links = done.where("holds").select("node", "leader").union(third)
     # rows with one id but several texts are one document
-    ids = rows.join(copies, "same").select("id", "node").distinct()
+    ids = rows.join(copies.select("same", "node"), "same").select("id", "node").distinct()
     roots = components(links.union(ids.where("id != node").select("id", "node")))
     found = rows.groupBy("id").agg(F.count("*").alias("rows"))
     return found.join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("class_id"), "rows")
