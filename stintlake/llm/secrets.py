@@ -7,17 +7,20 @@ The battery looks at every maximal run of 20 or more letters, digits and +/_- (w
 encoding is inferred from the characters: hex, base32, base62 or base64. Three statistics under "drawn
 uniformly from that alphabet" are computed: chi-squared of the letter counts (Wilson-Hilferty), the
 number of runs above and below the middle of the alphabet, and the serial correlation of neighbours.
-A run is plausible if none of them rejects uniformity at LEVEL / 3. The chance that n characters of
-prose look uniform is taken as exp(-n * GAP), with LETTERS_GAP for runs without a digit, whose
-alphabet prose shares; these chances are p-values (1 for implausible runs),
-and Benjamini-Hochberg at rate FDR over the runs of a document decides: the more runs, the longer a
-run has to be. Spans of kind random that lie inside a base span are not added.
+Their three tail probabilities are combined by Fisher's method into P, the chance that a string drawn
+uniformly fits as badly as this one. The chance that n characters of prose look uniform falls as
+exp(-n * GAP), with LETTERS_GAP for runs without a digit, whose alphabet prose shares. The run's p-value is
+the ratio exp(-n * GAP) / P, at most 1: a bad fit costs as much evidence as it is unlikely, which a longer
+run can make up for, and a run of which one test alone rejects uniformity at LEVEL / 3 has the p-value 1.
+Benjamini-Hochberg at rate FDR over the runs of a document decides: the more runs, the longer and the
+more even a run has to be. Spans of kind random that lie inside a base span are not added.
 
 Positions are code points, ends exclusive. They come from the pieces between matches: split() and
 regexp_extract_all() agree on the matches, so summed lengths give each start.
 
 Null texts count as empty. Repeated rows give the same result each; an empty table gives an empty
-result. Only doc_id and text are read (redact keeps all columns).
+result. Very long texts are scanned whole, in one row; lists of spans grow by copying, so the time for a
+text has a part that grows with the square of its number of matches (not of its length). Only doc_id and text are read (redact keeps all columns).
 """
 
 from __future__ import annotations
@@ -92,8 +95,12 @@ def _battery(df: DataFrame) -> DataFrame:
     df = df.withColumn("_runs", F.expr(f"transform(_runs, r -> {scores})"))
     # an upper bound for the tail of the normal distribution: one-sided for chi-squared, two-sided else
     tail = "exp(-0.717D * greatest(v, 0D) - 0.416D * v * v)"
-    worst = f"array_min(transform(r.z, (v, i) -> {tail} * if(i = 0, 0.5D, 1D)))"
-    df = df.withColumn("_runs", F.expr(f"transform(_runs, r -> named_struct('p', if({worst} >= {LEVEL} / 3, exp(-r.n * if(r.s.t RLIKE '[0-9]', {GAP}D, {LETTERS_GAP}D)), 1D), 's', r.s))"))
+    df = df.withColumn("_runs", F.expr(f"transform(_runs, r -> named_struct('s', r.s, 'n', r.n, 'q', transform(r.z, (v, i) -> greatest({tail} * if(i = 0, 0.5D, 1D), 1e-300D))))"))
+    # Fisher: -2 * log sum is chi-squared with 6 degrees of freedom, whose tail has a closed form
+    df = df.withColumn("_runs", F.expr("transform(_runs, r -> named_struct('s', r.s, 'n', r.n, 'worst', array_min(r.q), 'l', -aggregate(r.q, 0D, (t, v) -> t + ln(v))))"))
+    fit = "exp(-r.l) * (1 + r.l + r.l * r.l / 2)"
+    chance = f"exp(-r.n * if(r.s.t RLIKE '[0-9]', {GAP}D, {LETTERS_GAP}D))"
+    df = df.withColumn("_runs", F.expr(f"transform(_runs, r -> named_struct('p', if(r.worst >= {LEVEL} / 3, least({chance} / ({fit}), 1D), 1D), 's', r.s))"))
     df = df.withColumn("_runs", F.expr("array_sort(_runs)"))
     cut = f"aggregate(transform(_runs, (r, i) -> if(r.p <= {FDR} * (i + 1) / size(_runs), i + 1, 0)), 0, (t, v) -> greatest(t, v))"
     return df.withColumn("_random", F.expr(f"transform(slice(_runs, 1, {cut}), r -> r.s)")).drop("_runs")
