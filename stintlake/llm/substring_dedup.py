@@ -254,7 +254,8 @@ def _examples(kinds: DataFrame, docs: DataFrame) -> DataFrame:
                         flat.append((x["words"], x["anchor"], x["covered"], x["settled"], x["who"], i, t, x["first"], x["place"], piece))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*flat, strict=True)), _EXAMPLE_TYPES, strict=True)], names=_NAMES)
 
-    joined = by_doc.join(texts, ["id", "tx"]).select("id", "tx", "list", "text")
+    # rows that repeat an id and text bring one example, not one each
+    joined = by_doc.join(texts, ["id", "tx"]).dropDuplicates(["id", "tx"]).select("id", "tx", "list", "text")
     return joined.mapInArrow(cut, _EXAMPLE)
 
 

@@ -645,3 +645,48 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
 def test_folds(spark):
     got = spark.createDataFrame([(7,), (None,)], "doc_id long").select(fold("doc_id", 4)).collect()
     assert [r[0] for r in got] == [zlib.crc32(b"7") % 4, None]
+
+
+# --- 7: recall and false alarms of the battery ------------------------------------------------------------
+
+
+def test_battery_finds_random_strings_and_spares_names(spark):
+    """100 planted strings of each kind and length, one a document, and 600 names, paths and dated slugs."""
+    rng = random.Random(21)
+    alphabets = {"base62": secrets.ALPHABETS["base62"], "base64": secrets.ALPHABETS["base64"][:64], "HEX": secrets.ALPHABETS["HEX"], "base32": secrets.ALPHABETS["base32"]}
+    planted = [(kind, n, "".join(rng.choice(abc) for _ in range(n))) for kind, abc in alphabets.items() for n in (24, 32, 40, 64) for _ in range(100)]
+    prose = " ".join(words(rng, 40))
+    texts = [f"{prose} {t} {prose}" for _, _, t in planted]
+    syllables = ["data", "frame", "user", "index", "cache", "token", "build", "path", "merge", "value", "shard", "query", "table", "event", "month"]
+    pick = lambda n: [rng.choice(syllables) for _ in range(n)]
+    names = [x for _ in range(200) for x in ("".join(w.title() for w in pick(6)), "/".join(pick(6)), f"2024-0{rng.randrange(1, 10)}-1{rng.randrange(10)}-" + "-".join(pick(4)))]
+    got = {r["doc_id"]: r["spans"] for r in secrets.report(make(spark, texts + [f"{prose} {x} {prose}" for x in names])).collect()}
+    found = Counter()
+    for k, (kind, n, t) in enumerate(planted):
+        start = len(prose) + 1
+        found[kind, n] += any(s.split(":")[0] == "random" and int(s.split(":")[1]) <= start and start + len(t.rstrip("=")) <= int(s.split(":")[2]) for s in got[k].split(",") if s)
+    assert min(found.values()) >= 90 and sum(found.values()) >= 0.95 * len(planted), found
+    alarms = sum("random" in got[len(planted) + k] for k in range(len(names)))
+    assert alarms <= 3, alarms
+
+
+def test_battery_asks_more_of_many_runs(spark):
+    """The same short string among many other runs needs more evidence than alone."""
+    rng = random.Random(2)
+    alone = ["".join(rng.choice(secrets.ALPHABETS["base62"]) for _ in range(20)) for _ in range(200)]
+    crowd = " ".join("x" * 21 + str(k) for k in range(4000))
+    count = lambda texts: sum(r["n_random"] for r in secrets.report(make(spark, texts)).collect())
+    first = count(alone)
+    assert first >= 120 and count([f"{t} {crowd}" for t in alone[:20]]) < first / 10
+
+
+def test_repeated_rows_bring_one_example(spark, monkeypatch):
+    """A text without id that stands in 60 rows is cut into as many examples as one that stands in two."""
+    rng = random.Random(31)
+    passage = " ".join(words(rng, 150))
+    other = [" ".join(words(rng, 40)) + passage[: 600 + 5 * k] + " ".join(words(rng, 40)) for k in range(4)]
+    rows, cut = [], substring_dedup._examples
+    monkeypatch.setattr(substring_dedup, "_examples", lambda kinds, docs: rows.append(cut(kinds, docs).count()) or cut(kinds, docs))
+    for copies in (2, 60):
+        substring_dedup.report(make(spark, [(None, " ".join(words(random.Random(1), 40)) + passage)] * copies + other)).collect()
+    assert rows[0] == rows[1] > 0
