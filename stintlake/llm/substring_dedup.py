@@ -236,7 +236,7 @@ _SPANS = "id long, tx long, words boolean, low int, high int"
 
 def _examples(kinds: DataFrame, docs: DataFrame) -> DataFrame:
     """Adds the units covered by the example of each kind."""
-    by_doc = kinds.groupBy("id", "tx").agg(F.collect_list(F.struct("words", "anchor", "covered", "settled", "who", "first", "last", "place")).alias("list"))
+    by_doc = kinds.groupBy("id", "tx").agg(F.collect_set(F.struct("words", "anchor", "covered", "settled", "who", "first", "last", "place")).alias("list"))
     texts = _packed(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +254,7 @@ def _examples(kinds: DataFrame, docs: DataFrame) -> DataFrame:
                         flat.append((x["words"], x["anchor"], x["covered"], x["settled"], x["who"], i, t, x["first"], x["place"], piece))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*flat, strict=True)), _EXAMPLE_TYPES, strict=True)], names=_NAMES)
 
-    # rows that repeat an id and text bring one example, not one each
+    # a set, and one row of those that repeat an id and text: they bring one example, not one each
     joined = by_doc.join(texts, ["id", "tx"]).dropDuplicates(["id", "tx"]).select("id", "tx", "list", "text")
     return joined.mapInArrow(cut, _EXAMPLE)
 
