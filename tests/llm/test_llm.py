@@ -272,6 +272,29 @@ def test_near_duplicates_against_brute_force(spark, corpus):
     assert near_dedup.find(docs.limit(0)).count() == 0 and near_dedup.keep_one(docs.limit(0)).count() == 0
 
 
+def test_recall_by_bands_of_similarity(spark):
+    """Edited copies at 0.80 to 0.85, 0.85 to 0.90 and 0.90 to 0.95: nine in ten of each band share a class, and
+    so do the similar pairs that brute force finds for every id divisible by 50 against all rows."""
+    rng, texts, pairs = random.Random(17), [], {0.8: [], 0.85: [], 0.9: []}
+    for low, found in pairs.items():
+        for _ in range(200):
+            w = words(rng, rng.randrange(25, 250))
+            v, n = list(w), len(w)
+            for place in sorted(rng.sample(range(n), int((1 - rng.uniform(low, low + 0.05)) * n)), reverse=True):
+                kind = rng.random()  # six in ten are replaced, two dropped and two inserted
+                v[place : place + (kind < 0.8)] = [] if 0.6 <= kind < 0.8 else [f"{rng.randrange(10**9)}"]
+            if near_dedup.within(w, v, low) and not near_dedup.within(w, v, low + 0.05):
+                found.append((len(texts), len(texts) + 1))
+                texts += [w, v]
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.find(make(spark, [" ".join(t) for t in texts])).collect()}
+    for low, found in pairs.items():
+        assert len(found) > 100
+        assert sum(got[i] == got[j] for i, j in found) >= 0.9 * len(found), low
+    similar = [(i, j) for i in range(0, len(texts), 50) for j in range(len(texts)) if i != j and near_dedup.within(texts[i], texts[j])]
+    assert sum(got[i] == got[j] for i, j in similar) >= 0.9 * len(similar) > 9
+    assert all(got[i] == got[i - i % 2] for i in range(len(texts)) if got[i] != i)  # unrelated texts stay apart
+
+
 @pytest.mark.parametrize(("block", "dense"), [(8192, 8), (7, 8), (7, 0)])
 def test_one_bucket_is_compared_whole(spark, monkeypatch, block, dense):
     """Chains whose links do not go through the least document, and a templated group, all in the same two buckets."""
