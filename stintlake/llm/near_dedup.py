@@ -45,8 +45,8 @@ SHINGLE, PICKS, SIMILARITY = 5, 2, 0.8
 #: Entries of a sketch. Near the threshold about a third of the k-mers survive the edits, so that two texts
 #: agree on an entry with a chance of some 0.04: 64 entries find nine in ten such pairs, 24 seven in ten.
 SAMPLES = 64
-#: Rows of a file of the stored tables.
-FILE_ROWS = 500_000
+#: Rows of a file of the stored tables, and of one that holds sketches (some 25 MB).
+FILE_ROWS, SKETCH_ROWS = 500_000, 50_000
 #: Bins of a bag of words, and nodes of a cell of a bucket that meet as one block by their bags.
 BINS, BLOCK = 256, 8192
 #: Pairs a row that the bounds may leave before texts meet in blocks, of so many nodes and words.
@@ -316,13 +316,14 @@ def band(size: Column) -> Column:
     return F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= size))
 
 
-def _cells(members: DataFrame, texts: DataFrame, roots: DataFrame, columns: list[str]) -> DataFrame:
-    """Members of buckets in the cells of their band of sizes, with their root and `columns` of their text:
-    the texts of a band meet each other and those of the next band (the guests)."""
+def _cells(keys: DataFrame, texts: DataFrame, roots: DataFrame, columns: list[str]) -> DataFrame:
+    """Nodes (node, keys) in the cells of their buckets and of their band of sizes, with their root and `columns`
+    of their text: the texts of a band meet each other and those of the next band (the guests)."""
     known = texts.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "size", *columns)
     places = F.explode(F.array(F.struct(F.col("band").alias("cell"), F.lit(False).alias("guest")), F.struct((F.col("band") - 1).alias("cell"), F.lit(True).alias("guest"))))
-    # bands go to the texts before they meet the members, of which there are more
-    return members.join(known.withColumn("band", band(F.col("size"))), "node").withColumn("place", places).select("key", "place.*", "node", "root", "size", *columns)
+    # a node meets its text once and is copied to its buckets after that; the band is computed before
+    met = known.withColumn("band", band(F.col("size"))).join(keys, "node").withColumn("key", F.explode("keys"))
+    return met.withColumn("place", places).select("key", "place.*", "node", "root", "size", *columns)
 
 
 def _paired(placed: DataFrame, cells: DataFrame, block: Column) -> DataFrame:
@@ -347,8 +348,8 @@ def _rest(buckets: DataFrame, mixed: DataFrame, roots: DataFrame, texts: DataFra
     more than DENSE pairs a row (texts with like bags of words), no pairs are made: the cell's texts meet in
     smaller blocks, and only links leave those tasks.
     """
-    members = keep(buckets.join(mixed, "key", "left_semi"))
-    placed = keep(_cells(members, texts, roots, ["bag", "sketch"]))
+    keys = buckets.join(mixed, "key", "left_semi").groupBy("node").agg(F.collect_set("key").alias("keys"))
+    placed = keep(_cells(keys, texts, roots, ["bag", "sketch"]))
     counts = placed.groupBy("key", "cell", "root").agg(F.count("*").alias("n"), F.min("guest").alias("guest"), F.max("size").alias("size"))
     cells = counts.groupBy("key", "cell").agg(F.count("*").alias("_roots"), F.min("guest").alias("_guest"), F.sum("n").alias("n"), F.max("size").alias("size"), F.max(F.struct("n", "root")).alias("main"))
     cells = keep(cells.where("_roots > 1 AND NOT _guest"))
@@ -379,9 +380,10 @@ def _rest(buckets: DataFrame, mixed: DataFrame, roots: DataFrame, texts: DataFra
 def classes(docs: DataFrame) -> DataFrame:
     """(id, class_id, rows) for every id: its class and the number of rows that share the id."""
     rows = keep(_sketched(docs))
-    files = 1 + rows.count() // FILE_ROWS  # tables of one row a document come in that many files
+    total = rows.count()
+    files = 1 + total // FILE_ROWS  # tables of one row a document come in that many files
     # equal texts have one node and equal sketches
-    copies = keep(rows.groupBy("same").agg(F.min("id").alias("node"), F.min("sketch").alias("sketch")).coalesce(files))
+    copies = keep(rows.groupBy("same").agg(F.min("id").alias("node"), F.min("sketch").alias("sketch")).coalesce(1 + total // SKETCH_ROWS))
     buckets = keep(_entries(copies.select("node", "sketch")).coalesce(SAMPLES * files))
     met = keep(buckets.join(_leaders(buckets), "key").where("node != leader").coalesce(SAMPLES * files))
     pairs = keep(met.select("node", "leader").distinct().coalesce(files))
