@@ -14,8 +14,9 @@ left with, so that those which agree on two entries meet without the leaders tha
 What then still belongs to different classes within a bucket is compared pair by pair, so that all pairs
 of texts which agree on an entry are either compared or in one class. Only pairs whose numbers of words or
 bags of words rule the threshold out (lower bounds of the edit distance) are spared the alignment. Buckets
-are cut by the number of words, as similar texts differ little in it, and large ones into blocks, each
-pair of which is a group of its own; members of a bucket's largest class only meet the others.
+are cut by the number of words, as similar texts differ little in it. Those with the same largest class
+become one group, where a text stands once however many entries it shares, and large groups are cut into
+blocks, each pair of which is a task of its own; members of the group's class only meet the others.
 
 Equal texts are one node from the start. Classes are the connected components of the links.
 
@@ -47,7 +48,7 @@ SHINGLE, PICKS, SIMILARITY = 5, 2, 0.8
 SAMPLES = 64
 #: Rows of a file of the stored tables, and of one that holds sketches (some 25 MB).
 FILE_ROWS, SKETCH_ROWS = 500_000, 50_000
-#: Bins of a bag of words, and nodes of a cell of a bucket that meet as one block by their bags.
+#: Bins of a bag of words, and nodes of a group that meet as one block by their bags.
 BINS, BLOCK = 256, 8192
 #: Pairs a row that the bounds may leave before texts meet in blocks, of so many nodes and words.
 DENSE, TEXT_BLOCK, BLOCK_WORDS = 8, 1000, 1 << 19
@@ -266,23 +267,19 @@ def possible(size: np.ndarray, bag: np.ndarray, root: np.ndarray, part: np.ndarr
 
 
 def candidates_within(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (i, j) of one pair of blocks that the bounds leave, in the bucket of their first common entry."""
+    """Rows (i, j) of one pair of blocks that the bounds leave and that agree on an entry."""
     column = {c: group.column(c).to_numpy() for c in ("root", "part", "guest", "size")}
     table = lambda c, kind: np.frombuffer(T.buffers(group.column(c))[0].tobytes(), kind).reshape(len(group), -1)
     entries = table("sketch", np.int64)
     a, b = possible(column["size"], table("bag", np.uint8), column["root"], column["part"], column["guest"].astype(bool))
-    meet = []
-    for k in range(0, len(a), 1 << 14):
-        x, y = a[k : k + (1 << 14)], b[k : k + (1 << 14)]
-        same = entries[x] == entries[y]
-        meet.append(same.any(1) & (entries[x, same.argmax(1)] == group.column("key")[0].as_py()))
+    meet = [(entries[a[k : k + (1 << 14)]] == entries[b[k : k + (1 << 14)]]).any(1) for k in range(0, len(a), 1 << 14)]
     chosen = np.concatenate(meet) if meet else np.zeros(0, bool)
     return a[chosen], b[chosen]
 
 
 def links_within(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """(node, leader) of links between different roots of one pair of blocks: enough of them to join all
-    that are similar. Texts that agree on several entries are compared in the bucket of the first one."""
+    that are similar."""
     root, node = group.column("root").to_numpy(), group.column("node").to_numpy()
     a, b = candidates_within(group)
     words: dict[int, list] = {}
@@ -316,65 +313,62 @@ def band(size: Column) -> Column:
     return F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= size))
 
 
-def _cells(keys: DataFrame, texts: DataFrame, roots: DataFrame, columns: list[str]) -> DataFrame:
-    """Nodes (node, keys) in the cells of their buckets and of their band of sizes, with their root and `columns`
-    of their text: the texts of a band meet each other and those of the next band (the guests)."""
-    known = texts.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "size", *columns)
-    places = F.explode(F.array(F.struct(F.col("band").alias("cell"), F.lit(False).alias("guest")), F.struct((F.col("band") - 1).alias("cell"), F.lit(True).alias("guest"))))
-    # a node meets its text once and is copied to its buckets after that; the band is computed before
-    met = known.withColumn("band", band(F.col("size"))).join(keys, "node").withColumn("key", F.explode("keys"))
-    return met.withColumn("place", places).select("key", "place.*", "node", "root", "size", *columns)
-
-
-def _paired(placed: DataFrame, cells: DataFrame, block: Column) -> DataFrame:
-    """placed rows by pairs (low, high) of blocks of their cell, each block as often as it meets another.
-    Members of the largest class of a cell are in one class already: their blocks only meet the rest's."""
+def _paired(placed: DataFrame, groups: DataFrame, block: Column) -> DataFrame:
+    """placed rows by pairs (low, high) of blocks of their group, each block as often as it meets another.
+    Members of the group's class are in one class already: their blocks only meet the rest's."""
     of = lambda n: F.ceil(n / block)
     # adding 0 gives the join an exchange on both sides, as in _leaders
-    cells = cells.select((F.col("key") + F.lit(0)).alias("key"), "cell", F.col("main.root").alias("main"), of(F.col("main.n")).alias("of_main"), of(F.col("n") - F.col("main.n")).alias("of_rest"))
+    groups = groups.select((F.col("main") + F.lit(0)).alias("main"), "cell", of(F.col("n_main")).alias("of_main"), of(F.col("n") - F.col("n_main")).alias("of_rest"))
     hashed, main = F.xxhash64("node"), F.col("root") == F.col("main")
-    cut = placed.join(cells, ["key", "cell"])
+    cut = placed.join(groups, ["main", "cell"])
     cut = cut.withColumn("part", F.when(main, F.pmod(hashed, "of_main")).otherwise(F.col("of_main") + F.pmod(hashed, "of_rest")))
     cut = cut.withColumn("other", F.explode(F.sequence(F.when(main, F.col("of_main")).otherwise(F.lit(0)), F.col("of_main") + F.col("of_rest") - 1)))
-    # adding 0 again, so that the pairs of blocks of a cell are dealt to several tasks
-    return cut.select((F.col("key") + F.lit(0)).alias("key"), "cell", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", *[c for c in placed.columns if c not in ("key", "cell")])
+    return cut.select("main", "cell", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "guest", "node", "root", "size")
 
 
 def _rest(buckets: DataFrame, mixed: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, leader) of links between the classes that meet in the mixed buckets.
 
-    A bucket falls into cells, one for each band of sizes. Cells of one class are done. In the others blocks
-    meet by sizes, bags and sketches only, and the pairs that the bounds leave are aligned. Where they leave
-    more than DENSE pairs a row (texts with like bags of words), no pairs are made: the cell's texts meet in
+    A bucket falls into cells, one for each band of sizes. Cells of one class are done. Many of the others
+    have the same largest class: they are one group, in which a node stands once, not once for each entry.
+    Nodes travel as numbers up to there and meet their bags and sketches after that. In a group blocks meet
+    by sizes, bags and sketches only, and the pairs that the bounds leave are aligned. Where they leave
+    more than DENSE pairs a row (texts with like bags of words), no pairs are made: the group's texts meet in
     smaller blocks, and only links leave those tasks.
     """
     keys = buckets.join(mixed, "key", "left_semi").groupBy("node").agg(F.collect_set("key").alias("keys"))
-    placed = keep(_cells(keys, texts, roots, ["bag", "sketch"]))
-    counts = placed.groupBy("key", "cell", "root").agg(F.count("*").alias("n"), F.min("guest").alias("guest"), F.max("size").alias("size"))
-    cells = counts.groupBy("key", "cell").agg(F.count("*").alias("_roots"), F.min("guest").alias("_guest"), F.sum("n").alias("n"), F.max("size").alias("size"), F.max(F.struct("n", "root")).alias("main"))
-    cells = keep(cells.where("_roots > 1 AND NOT _guest"))
+    sized = texts.select("node", "size", band(F.col("size")).alias("band")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # the texts of a band meet each other and those of the next band (the guests)
+    places = F.explode(F.array(F.struct(F.col("band").alias("cell"), F.lit(False).alias("guest")), F.struct((F.col("band") - 1).alias("cell"), F.lit(True).alias("guest"))))
+    placed = keep(sized.join(keys, "node").withColumn("key", F.explode("keys")).withColumn("place", places).select("key", "place.*", "node", "root", "size"))
+    counts = placed.groupBy("key", "cell", "root").agg(F.count("*").alias("n"), F.min("guest").alias("guest"))
+    cells = counts.groupBy("key", "cell").agg(F.count("*").alias("_roots"), F.min("guest").alias("_guest"), F.max(F.struct("n", "root")).alias("most"))
+    cells = cells.where("_roots > 1 AND NOT _guest").select((F.col("key") + F.lit(0)).alias("key"), "cell", F.col("most.root").alias("main"))
+    grouped = keep(placed.join(cells, ["key", "cell"]).select("main", "cell", "guest", "node", "root", "size").distinct())
+    groups = keep(grouped.groupBy("main", "cell").agg(F.count("*").alias("n"), F.count_if(F.col("root") == F.col("main")).alias("n_main"), F.max("size").alias("size")))
 
     def meet(group: pa.Table) -> pa.Table:
         a, b = candidates_within(group)
         if len(a) > DENSE * len(group):
-            return pa.table({"key": group.column("key")[:1], "cell": group.column("cell")[:1], "node": pa.nulls(1, pa.int64()), "leader": pa.nulls(1, pa.int64())})
+            return pa.table({"main": group.column("main")[:1], "cell": group.column("cell")[:1], "node": pa.nulls(1, pa.int64()), "leader": pa.nulls(1, pa.int64())})
         node = group.column("node").to_numpy()
-        none = [group.column(c).take(pa.array(np.zeros(len(a), np.int64))) for c in ("key", "cell")]
-        return pa.table({"key": none[0], "cell": none[1], "node": np.maximum(node[a], node[b]), "leader": np.minimum(node[a], node[b])})
+        none = [group.column(c).take(pa.array(np.zeros(len(a), np.int64))) for c in ("main", "cell")]
+        return pa.table({"main": none[0], "cell": none[1], "node": np.maximum(node[a], node[b]), "leader": np.minimum(node[a], node[b])})
 
     def link(group: pa.Table) -> pa.Table:
         node, leader = links_within(group)
         return pa.table({"node": node, "leader": leader})
 
-    by = ("key", "cell", "low", "high")
-    found = keep(_paired(placed, cells, F.lit(BLOCK)).groupBy(*by).applyInArrow(meet, "key long, cell int, node long, leader long"))
+    by = ("main", "cell", "low", "high")
+    blocks = _paired(grouped, groups, F.lit(BLOCK)).join(texts.select("node", "bag", "sketch"), "node")
+    found = keep(blocks.groupBy(*by).applyInArrow(meet, "main long, cell int, node long, leader long"))
     links = _verify(found.where("node IS NOT NULL").select("node", "leader").distinct(), texts).where("holds").select("node", "leader")
-    dense = cells.join(found.where("node IS NULL").select("key", "cell").distinct(), ["key", "cell"], "left_semi")
+    dense = groups.join(found.where("node IS NULL").select("main", "cell").distinct(), ["main", "cell"], "left_semi")
     if not dense.limit(1).count():
         return links
     small = F.greatest(F.lit(1), F.least(F.lit(TEXT_BLOCK), F.floor(F.lit(BLOCK_WORDS) / F.col("size"))))
-    whole = placed.join(dense.select("key", "cell"), ["key", "cell"], "left_semi").join(texts.select("node", "text"), "node")
-    return links.unionByName(_paired(whole, dense, small).groupBy(*by).applyInArrow(link, "node long, leader long")).distinct()
+    whole = _paired(grouped, dense, small).join(texts.select("node", "bag", "sketch", "text"), "node")
+    return links.unionByName(whole.groupBy(*by).applyInArrow(link, "node long, leader long")).distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
