@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stintlake.llm import textops as T
+from stintlake.llm.scratch import keep
 from stintlake.llm.training import fold, labelled_sample, sigmoid
 
 BINS, WIDTH, LENGTHS, CLEAR = 1 << 16, 4, (3, 4, 5), 4.0
@@ -71,7 +72,11 @@ def weights(parts: list[tuple], y: np.ndarray) -> np.ndarray:
 
 
 def fit(sample: DataFrame, epochs: int = 3, batch: int = 64, rate: float = 0.5, decay: float = 1e-5) -> dict:
-    """Trains on a bounded frame (text, label) by AdaGrad. With one class or no row the score is constant."""
+    """Trains on a bounded frame (text, label) by AdaGrad. With one class or no row the score is constant.
+
+    The encoded sample is stored and read a partition at a time, so the driver's JVM holds one partition
+    of it; Python holds bins and counts (6 bytes an n-gram), and features of the batch at work only.
+    """
 
     def encode(kept, data, at):
         bins, rows = subwords(data, at)
@@ -79,17 +84,19 @@ def fit(sample: DataFrame, epochs: int = 3, batch: int = 64, rate: float = 0.5,
         key, times = np.unique(rows * BINS + bins, return_counts=True)
         cut = T.per_row(key // BINS, n)
         pick = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
-        return [kept[0], np.bincount(rows, minlength=n), pick((key % BINS).astype(np.uint16)), pick(times.astype(np.uint32))]
-
-    rows = T.map_texts(sample.select("label", "text").orderBy(F.xxhash64("text"), "text", "label"), ["label"], "text", encode, "label int, total long, bins binary, times binary").collect()
-    y = np.array([r.label for r in rows], np.float32)
-    if len(rows) < 2 or y.min() == y.max():
+        return [*kept, np.bincount(rows, minlength=n), pick((key % BINS).astype(np.uint16)), pick(times.astype(np.uint32))]
+
+    ordered = sample.select("label", "text").orderBy(F.xxhash64("text"), "text", "label").withColumn("place", F.monotonically_increasing_id())
+    stored = keep(T.map_texts(ordered, ["label", "place"], "text", encode, "label int, place long, total long, bins binary, times binary"))
+    placed = [(r.place, r.label, np.frombuffer(r.bins, np.uint16), np.frombuffer(r.times, np.uint32), r.total) for r in stored.toLocalIterator()]
+    placed.sort(key=lambda r: r[0])
+    y, parts = np.array([r[1] for r in placed], np.float32), [r[2:] for r in placed]
+    if len(parts) < 2 or y.min() == y.max():
         p = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
         return {"e": np.zeros((BINS, WIDTH), np.float32), "w": np.zeros((WIDTH, 2), np.float32), "b": np.log(np.array([1 - p, p], np.float32))}
-    parts = [(np.frombuffer(r.bins, np.uint16), np.frombuffer(r.times, np.uint32), r.total) for r in rows]
     weight = weights(parts, y)
-    share = [t * weight[b] / np.float32(total + NEUTRAL) for b, t, total in parts]
-    scale = np.float32(1 / max(np.sqrt(np.mean([(s * s).sum() for s in share])), 1e-9))
+    share = lambda part: part[1] * weight[part[0]] / np.float32(part[2] + NEUTRAL)
+    scale = np.float32(1 / max(np.sqrt(np.mean([(s * s).sum() for s in map(share, parts)])), 1e-9))
     rng = np.random.default_rng(7)
     e, w, b = rng.normal(0, 0.1, (BINS, WIDTH)).astype(np.float32), rng.normal(0, 0.3, (WIDTH, 2)).astype(np.float32), np.zeros(2, np.float32)
     steps = [np.full_like(x, 1e-6) for x in (e, w, b)]
@@ -99,7 +106,7 @@ def fit(sample: DataFrame, epochs: int = 3, batch: int = 64, rate: float = 0.5,
             some, label = parts[k : k + batch], y[k : k + batch].astype(int)
             own = np.repeat(np.arange(len(some)), [len(p[0]) for p in some])
             bins, at = np.unique(np.concatenate([p[0] for p in some]), return_inverse=True)
-            x = np.concatenate(share[k : k + batch]) * scale
+            x = np.concatenate([share(p) for p in some]) * scale
             near = e[bins]
             sums = lambda index, values, size: np.stack([np.bincount(index, v, minlength=size) for v in values.T], axis=1).astype(np.float32)
             h = sums(own, near[at] * x[:, None], len(some))

@@ -460,6 +460,19 @@ def test_every_language_is_learned(spark):
     assert set(model["names"]) == learned and len(learned) > 200
 
 
+def test_toxicity_sample_never_passes_the_driver_at_once(spark, monkeypatch):
+    docs, labels = labelled(spark, "toxic")
+
+    def whole(self):
+        raise AssertionError("the encoded sample was collected at once")
+
+    monkeypatch.setattr(type(docs), "collect", whole)
+    monkeypatch.setattr(type(docs), "toArrow", whole)
+    monkeypatch.setattr(type(docs), "toPandas", whole)
+    model = toxicity.train(docs, labels)
+    assert np.abs(model["e"]).sum() > 0
+
+
 def test_toxicity_is_the_softmax_of_averaged_vectors(spark):
     docs, labels = labelled(spark, "toxic")
     model = toxicity.train(docs, labels)
