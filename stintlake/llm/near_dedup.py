@@ -224,6 +224,22 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return whole.select("node", "leader", "a", "b").mapInArrow(align, "node long, leader long, holds boolean")
 
 
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """(node, leader): for every node of (node, leader, n) the leader of greatest n, then the least one."""
+    return pairs.groupBy("node").agg(F.min_by("leader", F.struct(-F.col("n"), F.col("leader"))).alias("leader"))
+
+
+def _roots(checked: DataFrame, files: int) -> DataFrame:
+    """(node, root) of the classes that the pairs (node, leader, holds) make."""
+    return keep(components(checked.where("holds").select("node", "leader")).coalesce(files))
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (node, leader, ...) whose ends are in different classes."""
+    top = roots.select(F.col("node").alias("leader"), F.col("root").alias("top"))
+    return pairs.join(roots, "node", "left").join(top, "leader", "left").where("coalesce(root, node) != coalesce(top, leader)").select(*pairs.columns)
+
+
 def _featured(texts: DataFrame) -> DataFrame:
     """node, text, number of words, bag of words and sketch of every row of (node, text)."""
 
@@ -380,25 +396,29 @@ def classes(docs: DataFrame) -> DataFrame:
     copies = keep(rows.groupBy("same").agg(F.min("id").alias("node"), F.min("sketch").alias("sketch")).coalesce(1 + total // SKETCH_ROWS))
     buckets = keep(_entries(copies.select("node", "sketch")).coalesce(SAMPLES * files))
     met = keep(buckets.join(_leaders(buckets), "key").where("node != leader").coalesce(SAMPLES * files))
-    pairs = keep(met.select("node", "leader").distinct().coalesce(files))
+    pairs = keep(met.groupBy("node", "leader").agg(F.count("*").alias("n")).coalesce(files))
     # all that follows is about texts that agree on an entry with another one: they are shuffled once and stored
     open_nodes = pairs.select("node").union(pairs.select("leader")).distinct()
     whole = docs.select(_key().alias("node"), F.coalesce("text", F.lit("")).alias("text"))
     # their number grows with the corpus, so they are never sent to all tasks, at no size
     texts = keep(_featured(whole.join(open_nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node", "text"])))
-    first = keep(_verify(pairs, texts).repartition(SAMPLES * files))
+    # a node meets the leader with which it shares most entries, and of the others those of other classes
+    nearest = keep(_nearest(pairs).coalesce(files))
+    first = keep(_verify(nearest, texts).coalesce(files))
+    others = _apart(pairs.join(nearest, ["node", "leader"], "left_anti"), _roots(first, files)).select("node", "leader")
+    first = keep(first.union(_verify(keep(others.coalesce(files)), texts)).repartition(SAMPLES * files))
     # the second chance: nodes that their leader does not resemble, by pairs of what they were left with
     unlike = keep(met.join(first.where("NOT holds"), ["node", "leader"], "left_semi").coalesce(SAMPLES * files))
     left = unlike.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys")).where("size(keys) > 1")
     pairs = left.select("node", F.explode(F.flatten(F.transform("keys", lambda x: F.transform(F.filter("keys", lambda y: y > x), lambda y: F.xxhash64(x, y))))).alias("key"))
     pairs = keep(pairs)
-    again = pairs.join(_leaders(pairs), "key").where("node != leader").select("node", "leader").distinct()
-    second = _verify(again.join(first, ["node", "leader"], "left_anti"), texts)
+    again = pairs.join(_leaders(pairs), "key").where("node != leader").groupBy("node", "leader").agg(F.count("*").alias("n"))
+    again = _nearest(_apart(again.join(first, ["node", "leader"], "left_anti"), _roots(first, files)))
+    second = _verify(keep(again.coalesce(files)), texts)
     done = keep(first.union(second).coalesce(SAMPLES * files))
     # all pairs of the buckets whose members are not in one class yet
-    roots = keep(components(done.where("holds").select("node", "leader")).coalesce(files))
-    top = roots.select(F.col("node").alias("leader"), F.col("root").alias("top"))
-    apart = done.where("NOT holds").join(roots, "node", "left").join(top, "leader", "left").where("coalesce(root, node) != coalesce(top, leader)")
+    roots = _roots(done, files)
+    apart = _apart(done.where("NOT holds"), roots)
     mixed = unlike.join(apart.select("node", "leader"), ["node", "leader"], "left_semi").select("key").distinct()
     third = keep(_rest(buckets, mixed, roots, texts))
     links = done.where("holds").select("node", "leader").union(third)

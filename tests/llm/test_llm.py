@@ -272,6 +272,22 @@ def test_near_duplicates_against_brute_force(spark, corpus):
     assert near_dedup.find(docs.limit(0)).count() == 0 and near_dedup.keep_one(docs.limit(0)).count() == 0
 
 
+def test_near_copies_are_verified_a_few_times_each(spark, monkeypatch):
+    rng = random.Random(31)
+    base = words(rng, 120)
+    texts = [" ".join(rng.choice(base) if rng.random() < 0.03 else w for w in base) for _ in range(400)]
+    seen, verify = [], near_dedup._verify
+
+    def counted(pairs, kept):
+        seen.append(pairs.count())
+        return verify(pairs, kept)
+
+    monkeypatch.setattr(near_dedup, "_verify", counted)
+    got = near_dedup.find(make(spark, texts))
+    assert {r.class_id for r in got.collect()} == {0}
+    assert sum(seen) <= 2 * len(texts)  # not a pair for every entry that a text shares
+
+
 def test_recall_by_bands_of_similarity(spark):
     """Edited copies at 0.80 to 0.85, 0.85 to 0.90 and 0.90 to 0.95: nine in ten of each band share a class, and
     so do the similar pairs that brute force finds for every id divisible by 50 against all rows."""
