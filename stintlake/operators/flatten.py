@@ -287,11 +287,11 @@ def value_history(docs: DataFrame, scrape_date: str) -> DataFrame:
     point = "array<struct<d:string,v:double>>"
     rows = parse(docs, "player_id string, player_name string, position string, slug string, " + ", ".join(f"{s} {point}" for s in series))
     ids = ["player_id", "player_name", "position", "slug"]
-    tagged = None
-    for s in series:
-        own = rows if not s.endswith("pos_rank") else rows.where(~F.col("position").eqNullSafe(F.lit("RDP")))
-        part = own.select(*ids, F.lit(s).alias("_s"), F.posexplode(s).alias("_i", "_p"))
-        tagged = part if tagged is None else tagged.union(part)
+    # all series leave one generator, so a document is derived and parsed once
+    tag = lambda s: F.coalesce(F.transform(s, lambda p, i: F.struct(F.lit(s).alias("_s"), i.alias("_i"), p.alias("_p"))), F.array())
+    pick = F.col("position").eqNullSafe(F.lit("RDP"))
+    points = F.flatten(F.array(*[F.when(~pick, tag(s)).otherwise(F.array()) if s.endswith("pos_rank") else tag(s) for s in series]))
+    tagged = rows.select(*ids, F.explode(points).alias("_e")).select(*ids, "_e.*")
     century = F.when(F.substring("_p.d", 1, 2) >= "69", "19").otherwise("20")  # two-digit years: 1969 to 2068
     day = F.coalesce(F.when(F.length("_p.d") == 6, F.try_to_date(F.concat(century, "_p.d"), "yyyyMMdd")), F.try_to_date("_p.d", "yyyy-MM-dd"))
     last = lambda s: F.max_by(F.when(F.col("_s") == s, F.col("_p.v")), F.when(F.col("_s") == s, F.col("_i")))

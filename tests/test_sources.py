@@ -74,6 +74,14 @@ def test_value_history_aligns_dates(spark):
     assert rows(flatten.value_history(docs(spark, item), "2024-02-01").withColumn("d", F.col("ranking_date").cast("string")), "d", "one_qb_value", "sf_value") == [("2024-01-01", 6.0, None), ("2024-01-03", None, 2.0)]
 
 
+def test_value_history_parses_a_document_once(spark):
+    item = {"player_id": "p", "position": "RDP", "one_qb_value": [{"d": "240101", "v": 5}, None], "sf_value": None, "sf_pos_rank": [{"d": "240101", "v": 1}]}
+    got = flatten.value_history(docs(spark, item), "2024-02-01")
+    assert rows(got.withColumn("d", F.col("ranking_date").cast("string")), "d", "one_qb_value", "sf_pos_rank") == [("2024-01-01", 5.0, None), (None, None, None)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and "Union" not in plan
+
+
 def test_projection_pages(spark):
     good = '<table id="data"><thead><tr><th>Player</th><th>FPTS</th></tr></thead><tr><td>x</td><td>1</td></tr><tbody><tr><td><a class="fp-id-7">Al B</a> KC</td><td>1,200.5</td></tr><tr><td colspan=2>ad</td></tr></tbody></table>'
     bad = good.replace("<td>1,200.5</td>", "<td>1</td><td>2</td>")
