@@ -125,3 +125,16 @@ def test_backfill_walks_at_most_its_rounds(spark):
             base, name = (20, "S") if k >= 20 else (0, "R")
             assert got[f"n{k}"] == (name if k - base <= rounds else f"n{k}")
         assert (got["a"], got["b"]) == ("a", "b") and all(b <= a for a, b in zip(counts, counts[1:], strict=False))
+
+
+def test_discover_forward_stores_steps_without_members(spark, monkeypatch):
+    from stintlake.operators import graph
+
+    known = spark.createDataFrame([("a", "A", "2020")], "league_id string, league_lineage_id string, season string")
+    chain = spark.createDataFrame([("b", "a"), ("c", "b"), ("d", "c"), ("x", "a"), ("a", None)], "league_id string, previous_league_id string")
+    members = spark.createDataFrame([(n, u) for n in "abc" for u in ("u", "v")] + [("d", "w"), ("x", "w")], "league_id string, user_id string")
+    stored, cut = [], graph._cut
+    monkeypatch.setattr(graph, "_cut", lambda df: stored.append(df.columns) or cut(df))
+    got = sorted((r.league_id, r.previous_league_id, r.league_lineage_id, r.hop) for r in graph.discover_forward(known, chain, members).collect())
+    assert got == [("b", "a", "A", 1), ("c", "b", "A", 2)]
+    assert not any("user_id" in c for c in stored)
