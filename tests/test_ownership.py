@@ -138,3 +138,10 @@ def test_discover_forward_stores_steps_without_members(spark, monkeypatch):
     got = sorted((r.league_id, r.previous_league_id, r.league_lineage_id, r.hop) for r in graph.discover_forward(known, chain, members).collect())
     assert got == [("b", "a", "A", 1), ("c", "b", "A", 2)]
     assert not any("user_id" in c for c in stored)
+
+
+def test_backfill_lineage_derives_its_leagues_once(spark):
+    leagues = spark.createDataFrame([("a", None, "A"), ("b", "a", None), ("c", None, None)], "league_id string, previous_league_id string, league_lineage_id string").selectExpr("*", "row_number() OVER (PARTITION BY league_id ORDER BY league_lineage_id) AS n")
+    got = backfill_lineage(leagues)
+    assert sorted((r.league_id, r.league_lineage_id) for r in got.collect()) == [("a", "A"), ("b", "A"), ("c", "c")]
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
