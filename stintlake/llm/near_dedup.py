@@ -9,8 +9,8 @@ Texts that agree on an entry form a bucket. Every member is linked to the bucket
 leader), which makes as many candidates as members, never all pairs. A candidate holds if the edit
 similarity of the word sequences, 1 - distance / longer length, is SIMILARITY or more; the alignment
 works on bit vectors within the band that the threshold allows. Members that are not
-similar to their leader get another chance: they are bucketed again by pairs of the entries they were
-left with, so that those which agree on two entries meet without the leaders that stood between them.
+similar to their leader get another chance: their buckets are led again without it, so that a node meets
+the least document of those left, one for each class, with which it shares most buckets.
 What then still belongs to different classes within a bucket is compared pair by pair, so that all pairs
 of texts which agree on an entry are either compared or in one class. Only pairs whose numbers of words or
 bags of words rule the threshold out (lower bounds of the edit distance) are spared the alignment. Buckets
@@ -18,6 +18,10 @@ are cut by the number of words, as similar texts differ little in it. Those with
 become one group, where a text stands once however many entries it shares, and large groups are cut into
 blocks, each pair of which is a task of its own; members of the group's class only meet the others.
 
+Buckets are made twice: of the SEEDS first entries, each node meeting the one leader with which it shares
+most of them, and then of all entries, where of each class found so far one node stands in a bucket. So a
+large group of near copies brings a row for each of SEEDS entries a node, not for all of SAMPLES.
+
 Equal texts are one node from the start. Classes are the connected components of the links.
 
 Null texts count as empty, and empty texts are copies of each other. Rows with the same doc_id are one
@@ -46,6 +50,8 @@ SHINGLE, PICKS, SIMILARITY = 5, 2, 0.8
 #: Entries of a sketch. Near the threshold about a third of the k-mers survive the edits, so that two texts
 #: agree on an entry with a chance of some 0.04: 64 entries find nine in ten such pairs, 24 seven in ten.
 SAMPLES = 64
+#: Entries of the first look, by which most near copies find their class. It only saves work: the second has all.
+SEEDS = 8
 #: Rows of a file of the stored tables, and of one that holds sketches (some 25 MB).
 FILE_ROWS, SKETCH_ROWS = 500_000, 50_000
 #: Bins of a bag of words, and nodes of a group that meet as one block by their bags.
@@ -255,6 +261,13 @@ def _featured(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node long, text string, size long, bag binary, sketch binary")
 
 
+def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The texts of nodes, with what _featured adds, stored. The number of nodes grows with the corpus, so
+    they are never sent to all tasks, at no size."""
+    whole = docs.select(_key().alias("node"), F.coalesce("text", F.lit("")).alias("text"))
+    return keep(_featured(whole.join(nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node", "text"])))
+
+
 def bag_of(words: list[str]) -> np.ndarray:
     """How many words fall into each of BINS bins, 255 at most: differences of bags stay lower bounds."""
     bins = np.fromiter((zlib.crc32(w.encode()) % BINS for w in words), np.int64, len(words))
@@ -355,12 +368,14 @@ def _rest(buckets: DataFrame, mixed: DataFrame, roots: DataFrame, texts: DataFra
     keys = buckets.join(mixed, "key", "left_semi").groupBy("node").agg(F.collect_set("key").alias("keys"))
     sized = texts.select("node", "size", band(F.col("size")).alias("band")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # the texts of a band meet each other and those of the next band (the guests)
-    places = F.explode(F.array(F.struct(F.col("band").alias("cell"), F.lit(False).alias("guest")), F.struct((F.col("band") - 1).alias("cell"), F.lit(True).alias("guest"))))
-    placed = keep(sized.join(keys, "node").withColumn("key", F.explode("keys")).withColumn("place", places).select("key", "place.*", "node", "root", "size"))
-    counts = placed.groupBy("key", "cell", "root").agg(F.count("*").alias("n"), F.min("guest").alias("guest"))
+    placed = keep(sized.join(keys, "node").withColumn("key", F.explode("keys")).select("key", "band", "node", "root", "size"))
+    counts = placed.groupBy("key", "band", "root").agg(F.count("*").alias("n"))
+    own, guests = (counts.select("key", (F.col("band") - g).alias("cell"), "root", "n", F.lit(bool(g)).alias("guest")) for g in (0, 1))
+    counts = own.union(guests).groupBy("key", "cell", "root").agg(F.sum("n").alias("n"), F.min("guest").alias("guest"))
     cells = counts.groupBy("key", "cell").agg(F.count("*").alias("_roots"), F.min("guest").alias("_guest"), F.max(F.struct("n", "root")).alias("most"))
-    cells = cells.where("_roots > 1 AND NOT _guest").select((F.col("key") + F.lit(0)).alias("key"), "cell", F.col("most.root").alias("main"))
-    grouped = keep(placed.join(cells, ["key", "cell"]).select("main", "cell", "guest", "node", "root", "size").distinct())
+    cells = keep(cells.where("_roots > 1 AND NOT _guest").select((F.col("key") + F.lit(0)).alias("key"), "cell", F.col("most.root").alias("main")))
+    own, guests = (placed.withColumn("cell", F.col("band") - g).join(cells, ["key", "cell"]).select("main", "cell", F.lit(bool(g)).alias("guest"), "node", "root", "size") for g in (0, 1))
+    grouped = keep(own.union(guests).distinct())
     groups = keep(grouped.groupBy("main", "cell").agg(F.count("*").alias("n"), F.count_if(F.col("root") == F.col("main")).alias("n_main"), F.max("size").alias("size")))
 
     def meet(group: pa.Table) -> pa.Table:
@@ -394,33 +409,39 @@ def classes(docs: DataFrame) -> DataFrame:
     files = 1 + total // FILE_ROWS  # tables of one row a document come in that many files
     # equal texts have one node and equal sketches
     copies = keep(rows.groupBy("same").agg(F.min("id").alias("node"), F.min("sketch").alias("sketch")).coalesce(1 + total // SKETCH_ROWS))
-    buckets = keep(_entries(copies.select("node", "sketch")).coalesce(SAMPLES * files))
-    met = keep(buckets.join(_leaders(buckets), "key").where("node != leader").coalesce(SAMPLES * files))
+    # the first look: few entries, and of each node only the leader with which it shares most of them
+    seeds = keep(_entries(copies.select("node", F.lit(None).cast("long").alias("root"), "sketch"), SEEDS).coalesce(SEEDS * files))
+    met = seeds.join(_leaders(seeds), "key").where("node != leader")
+    nearest = keep(_nearest(met.groupBy("node", "leader").agg(F.count("*").alias("n"))).coalesce(files))
+    seen = nearest.select("node").union(nearest.select("leader")).distinct()
+    begun = _texts(docs, seen)
+    early = keep(_verify(nearest, begun).coalesce(files))
+    # then all entries, in whose buckets one node stands for each class
+    placed = copies.select("node", "sketch").join(_roots(early, files), "node", "left").select("node", "root", "sketch")
+    buckets = keep(_entries(placed).coalesce(SAMPLES * files))
+    grown = keep(buckets.where("root IS NOT NULL").groupBy("key", "root").agg(F.min("node").alias("node")).select("node", "key").coalesce(SAMPLES * files))
+    standing = buckets.where("root IS NULL").select("node", "key").union(grown)
+    met = keep(standing.join(_leaders(standing), "key").where("node != leader").coalesce(SAMPLES * files))
     pairs = keep(met.groupBy("node", "leader").agg(F.count("*").alias("n")).coalesce(files))
-    # all that follows is about texts that agree on an entry with another one: they are shuffled once and stored
-    open_nodes = pairs.select("node").union(pairs.select("leader")).distinct()
-    whole = docs.select(_key().alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-    # their number grows with the corpus, so they are never sent to all tasks, at no size
-    texts = keep(_featured(whole.join(open_nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node", "text"])))
-    # a node meets the leader with which it shares most entries, and of the others those of other classes
-    nearest = keep(_nearest(pairs).coalesce(files))
-    first = keep(_verify(nearest, texts).coalesce(files))
-    others = _apart(pairs.join(nearest, ["node", "leader"], "left_anti"), _roots(first, files)).select("node", "leader")
-    first = keep(first.union(_verify(keep(others.coalesce(files)), texts)).repartition(SAMPLES * files))
-    # the second chance: nodes that their leader does not resemble, by pairs of what they were left with
-    unlike = keep(met.join(first.where("NOT holds"), ["node", "leader"], "left_semi").coalesce(SAMPLES * files))
-    left = unlike.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys")).where("size(keys) > 1")
-    pairs = left.select("node", F.explode(F.flatten(F.transform("keys", lambda x: F.transform(F.filter("keys", lambda y: y > x), lambda y: F.xxhash64(x, y))))).alias("key"))
-    pairs = keep(pairs)
-    again = pairs.join(_leaders(pairs), "key").where("node != leader").groupBy("node", "leader").agg(F.count("*").alias("n"))
-    again = _nearest(_apart(again.join(first, ["node", "leader"], "left_anti"), _roots(first, files)))
+    # all that follows is about texts that share an entry with another class: they are shuffled once and stored
+    more = pairs.select("node").union(pairs.select("leader")).distinct().join(seen.hint("merge"), "node", "left_anti")
+    texts = begun.union(_texts(docs, more))
+    fresh = keep(pairs.select("node", "leader").join(early, ["node", "leader"], "left_anti").coalesce(files))
+    first = keep(early.union(_verify(fresh, texts)).repartition(SAMPLES * files))
+    # the second chance: without the leaders that they don't resemble, the buckets' classes have other leaders
+    roots = _roots(first, files)
+    apart = _apart(first.where("NOT holds"), roots).select("node", "leader")
+    unlike = keep(met.join(apart, ["node", "leader"], "left_semi").coalesce(SAMPLES * files))
+    classed = unlike.join(roots, "node", "left").groupBy("key", F.coalesce("root", "node").alias("root")).agg(F.min("node").alias("node")).select("node", "key")
+    again = classed.join(_leaders(classed), "key").where("node != leader").groupBy("node", "leader").agg(F.count("*").alias("n"))
+    again = _nearest(again.join(first, ["node", "leader"], "left_anti"))
     second = _verify(keep(again.coalesce(files)), texts)
     done = keep(first.union(second).coalesce(SAMPLES * files))
     # all pairs of the buckets whose members are not in one class yet
     roots = _roots(done, files)
     apart = _apart(done.where("NOT holds"), roots)
     mixed = unlike.join(apart.select("node", "leader"), ["node", "leader"], "left_semi").select("key").distinct()
-    third = keep(_rest(buckets, mixed, roots, texts))
+    third = keep(_rest(buckets.select("node", "key"), mixed, roots, texts))
     links = done.where("holds").select("node", "leader").union(third)
     # rows with one id but several texts are one document
     ids = rows.join(copies.select("same", "node"), "same").select("id", "node").distinct()
@@ -429,17 +450,18 @@ def classes(docs: DataFrame) -> DataFrame:
     return found.join(roots.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("root", "id").alias("class_id"), "rows")
 
 
-def _entries(nodes: DataFrame) -> DataFrame:
-    """(node, key): a row for every entry of a sketch; texts without a word have none."""
+def _entries(nodes: DataFrame, first: int = SAMPLES) -> DataFrame:
+    """(node, root, key): a row for each of the `first` entries of a sketch; texts without a word have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, at = T.buffers(batch.column(1))
-            keys = np.frombuffer(data.tobytes(), np.int64)
-            ids = np.repeat(batch.column(0).to_numpy(), SAMPLES)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[keys != 0]), pa.array(keys[keys != 0])], names=["node", "key"])
+            data, at = T.buffers(batch.column(2))
+            keys = np.frombuffer(data.tobytes(), np.int64).reshape(-1, SAMPLES)[:, :first]
+            there = np.flatnonzero(keys.ravel())
+            rows = pa.array(there // first)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(keys.ravel()[there])], names=["node", "root", "key"])
 
-    return nodes.mapInArrow(run, "node long, key long")
+    return nodes.mapInArrow(run, "node long, root long, key long")
 
 
 def find(docs: DataFrame) -> DataFrame:

@@ -288,6 +288,22 @@ def test_near_copies_are_verified_a_few_times_each(spark, monkeypatch):
     assert sum(seen) <= 2 * len(texts)  # not a pair for every entry that a text shares
 
 
+def test_a_group_of_near_copies_meets_its_leaders_by_few_entries(spark, monkeypatch):
+    rng = random.Random(31)
+    base = words(rng, 120)
+    texts = [" ".join(rng.choice(base) if rng.random() < 0.03 else w for w in base) for _ in range(400)]
+    made, leaders = [], near_dedup._leaders
+
+    def counted(buckets):
+        found = leaders(buckets)
+        made.append(buckets.join(found, "key").where("node != leader").count())
+        return found
+
+    monkeypatch.setattr(near_dedup, "_leaders", counted)
+    assert {r.class_id for r in near_dedup.find(make(spark, texts)).collect()} == {0}
+    assert sum(made) <= (near_dedup.SEEDS + 8) * len(texts)  # not a row for each of 64 entries, nor for their pairs
+
+
 def test_recall_by_bands_of_similarity(spark):
     """Edited copies at 0.80 to 0.85, 0.85 to 0.90 and 0.90 to 0.95: nine in ten of each band share a class, and
     so do the similar pairs that brute force finds for every id divisible by 50 against all rows."""
