@@ -102,14 +102,16 @@ def cut_points(rows: DataFrame) -> tuple[DataFrame, bool]:
     to all tasks. The rows up to `cut` in the order of epoch `full` are its prefix (null: none)."""
     leaves = rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"))
     few = leaves.limit(BROADCAST_LEAVES + 1).count() <= BROADCAST_LEAVES
-    state = leaf_budgets(leaves).withColumns({"prefix": F.lit(""), "before": F.lit(0).cast("long")})
+    # each state is used twice, so it is stored: else the plan doubles with every step
+    store = lambda df: keep(df.repartition(1) if few else df)  # noqa: E731  a row a leaf, few are one file
+    state = store(leaf_budgets(leaves).withColumns({"prefix": F.lit(""), "before": F.lit(0).cast("long")}))
     leaf = Window.partitionBy(*LEVELS)
     for digits in (2, 4, 32):
         near = rows.join(F.broadcast(state) if few else state, list(LEVELS)).withColumn("_key", order_key(F.col("full"))).where("rest > 0 AND startswith(_key, prefix)")
         sums = near.groupBy(*LEVELS, "full", "rest", F.substring("_key", 1, digits).alias("prefix")).agg(F.min("before").alias("_from"), F.sum("tokens").alias("_tokens"))
         sums = sums.withColumn("before", F.col("_from") + F.sum("_tokens").over(leaf.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_tokens"))
         last = sums.where("before < rest").groupBy(*LEVELS).agg(F.max(F.struct("prefix", "before")).alias("_x"))
-        state = state.select(*LEVELS, "full", "rest").join(last, list(LEVELS), "left").select(*LEVELS, "full", "rest", F.col("_x.prefix").alias("prefix"), F.col("_x.before").alias("before"))
+        state = store(state.select(*LEVELS, "full", "rest").join(last, list(LEVELS), "left").select(*LEVELS, "full", "rest", F.col("_x.prefix").alias("prefix"), F.col("_x.before").alias("before")))
     return state.select(*LEVELS, "full", F.col("prefix").alias("cut")), few
 
 

@@ -14,6 +14,9 @@ scores are equal. Only doc_id (any type) and text are read, so further columns h
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -74,7 +77,8 @@ def _distinct(row: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def fit(sample: DataFrame, steps: int = 160, rate: float = 0.03, decay: float = 2e-4) -> dict:
-    """Trains on a bounded frame (text, label). With no row, or one class only, the score is constant."""
+    """Trains on a bounded frame (text, label), in one task. With no row, or one class only, the score is
+    constant. The driver gets the model alone, whatever the sample holds."""
 
     def encode(kept, data, at):
         stats, row, column, value = features(data, at)
@@ -82,17 +86,28 @@ def fit(sample: DataFrame, steps: int = 160, rate: float = 0.03, decay: float =
         pick = lambda x: [x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
         return [kept[0], pa.array([s.tobytes() for s in stats], pa.binary()), pa.array(pick(column.astype(np.uint16)), pa.binary()), pa.array(pick(value), pa.binary())]
 
-    rows = T.map_texts(sample, ["label"], "text", encode, "label int, stats binary, bins binary, vals binary").collect()
-    y = np.array([r.label for r in rows], np.float32)
+    def train_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((tuple(r.values()) for b in batches for r in b.to_pylist()), key=lambda r: (r[1:], r[0]))
+        model = trained(rows, steps, rate, decay)
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    encoded = T.map_texts(sample, ["label"], "text", encode, "label int, stats binary, bins binary, vals binary")
+    found = encoded.repartition(1).mapInArrow(train_all, "model binary").collect()  # one row, none of an empty sample
+    return pickle.loads(found[0].model) if found else trained([], steps, rate, decay)
+
+
+def trained(rows: list[tuple], steps: int, rate: float, decay: float) -> dict:
+    """The model of the rows (label, statistics, bins, values), in their order."""
+    y = np.array([r[0] for r in rows], np.float32)
     width = WORD_BINS + len(STATS)
     if len(rows) < 2 or y.min() == y.max():
         rate_of_one = float(np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99))
         return {"bias": float(np.log(rate_of_one / (1 - rate_of_one))), "w": np.zeros(width, np.float32), "v": np.zeros((width, FACTORS), np.float32), "mean": np.zeros(len(STATS), np.float32), "scale": np.ones(len(STATS), np.float32)}
-    stats = np.stack([np.frombuffer(r.stats, np.float32) for r in rows])
+    stats = np.stack([np.frombuffer(r[1], np.float32) for r in rows])
     mean, scale = stats.mean(0), stats.std(0) + 1e-3
     x = np.zeros((len(rows), width), np.float32)
     for k, r in enumerate(rows):
-        x[k, np.frombuffer(r.bins, np.uint16)] = np.frombuffer(r.vals, np.float32)
+        x[k, np.frombuffer(r[2], np.uint16)] = np.frombuffer(r[3], np.float32)
     x[:, WORD_BINS:] = np.clip((stats - mean) / scale, -4, 4)
     x2 = x * x
     rng = np.random.default_rng(5)

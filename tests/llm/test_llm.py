@@ -304,6 +304,22 @@ def test_a_group_of_near_copies_meets_its_leaders_by_few_entries(spark, monkeypa
     assert sum(made) <= (near_dedup.SEEDS + 8) * len(texts)  # not a row for each of 64 entries, nor for their pairs
 
 
+def test_quality_model_is_one_tasks_and_does_not_depend_on_partitions(spark):
+    rng = random.Random(7)
+    sample = spark.createDataFrame([(" ".join(words(rng, 5 + k % 40)) + "!" * (k % 3), int(k % 3 == 0)) for k in range(200)], "text string, label int")
+    one, many = (quality.fit(sample.repartition(n, "text"), steps=20) for n in (1, 7))
+    assert one["bias"] == many["bias"] and all(np.array_equal(one[k], many[k]) for k in ("w", "v", "mean", "scale"))
+    assert np.isclose(quality.fit(sample.where("label = 1"))["bias"], np.log(99))
+    assert quality.fit(sample.limit(0))["bias"] == 0
+
+
+def test_cut_points_of_the_mixture_have_a_short_plan(spark):
+    docs = spark.createDataFrame([(k, "word " * (k % 50), f"l{k % 3}", f"s{k % 7}") for k in range(500)], "doc_id long, text string, lang string, source string")
+    state, few = mixing.cut_points(mixing.leaf_rows(docs))
+    assert few and state.count() == len(docs.where("length(text) > 0").select("lang", "source").distinct().collect())
+    assert "Join" not in state._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_recall_by_bands_of_similarity(spark):
     """Edited copies at 0.80 to 0.85, 0.85 to 0.90 and 0.90 to 0.95: nine in ten of each band share a class, and
     so do the similar pairs that brute force finds for every id divisible by 50 against all rows."""
