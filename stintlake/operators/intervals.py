@@ -26,9 +26,9 @@ def build_snapshot_intervals(present: DataFrame, keys: Sequence[str], date_col:
 def build_event_intervals(events: DataFrame, keys: Sequence[str], ts_col: str = "ts", date_col: str = "date", action_col: str = "action") -> DataFrame:
     """Add and drop events to stints: a drop sorts before an add of the same time, repeated adds are one
     stint, drops without an add do nothing."""
-    line = Window.partitionBy(*keys).orderBy(ts_col, F.col(action_col) == "add", date_col)
-    rows = events.where(F.col(action_col).isin("add", "drop")).select(*keys, ts_col, date_col, action_col)
-    rows = rows.withColumn("_add", F.col(action_col) == "add").withColumn("_before", F.coalesce(F.lag(F.col(action_col) == "add").over(line), F.lit(False)))
+    line = Window.partitionBy(*keys).orderBy(ts_col, "_add", date_col)
+    rows = events.where(F.col(action_col).isin("add", "drop")).select(*keys, ts_col, date_col, (F.col(action_col) == "add").alias("_add"))
+    rows = rows.withColumn("_before", F.coalesce(F.lag("_add").over(line), F.lit(False)))
     turns = rows.where("_add != _before")
     stints = turns.withColumn("valid_to", F.lead(F.col(date_col).cast("date")).over(line)).where("_add")
     return stints.select(*keys, F.col(date_col).cast("date").alias("valid_from"), "valid_to", F.col("valid_to").isNull().alias("is_current"))

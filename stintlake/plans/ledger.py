@@ -145,10 +145,15 @@ def player_presence(rosters: DataFrame, lineage_map: DataFrame) -> DataFrame:
     return lineage_franchise(rosters, lineage_map).select("league_lineage_id", "franchise_id", F.col("player_id").cast("string").alias("player_id"), F.col("snapshot_date").cast("date").alias("snapshot_date")).distinct()
 
 
-def player_events(transactions: DataFrame, moves: DataFrame, drafts: DataFrame, draft_picks: DataFrame, lineage_map: DataFrame) -> DataFrame:
-    """Adds and drops of completed transactions and drafts: lineage, franchise, player, ts, date, action."""
+def player_events(transactions: DataFrame, moves: DataFrame, drafts: DataFrame, draft_picks: DataFrame, lineage_map: DataFrame, repeated: bool = False) -> DataFrame:
+    """Adds and drops of completed transactions and drafts: lineage, franchise, player, ts, date, action.
+
+    An item counts once a transaction; with `repeated` as often as it is there, which saves a shuffle of all
+    items where the events become stints (a repeated event changes none).
+    """
     done = keep_first(transactions.where("status = 'complete'"), ["transaction_id"], []).select("transaction_id", F.col("created").cast("bigint").alias("ts"))
-    items = moves.select("transaction_id", "league_id", "roster_id", F.col("player_id").cast("string").alias("player_id"), "action").distinct()
+    items = moves.select("transaction_id", "league_id", "roster_id", F.col("player_id").cast("string").alias("player_id"), "action")
+    items = items if repeated else items.distinct()
     traded = items.join(done, "transaction_id").select("league_id", "roster_id", "player_id", "ts", "action")
     times = keep_first(drafts, ["draft_id"], []).select("draft_id", "league_id", F.coalesce("last_picked", "start_time").cast("bigint").alias("ts"))
     drafted = draft_picks.select("draft_id", "roster_id", F.col("player_id").cast("string").alias("player_id")).distinct().join(times, "draft_id").select("league_id", "roster_id", "player_id", "ts", F.lit("add").alias("action"))
@@ -174,7 +179,8 @@ def pick_trade_events(full: DataFrame | None, daily: DataFrame | None, overrides
     done = keep_first(transactions.where("status = 'complete'"), ["transaction_id"], []).select("transaction_id", F.col("created").cast("bigint").alias("ts"))
     events = None
     if items is not None:
-        events = keep_first(items, ["transaction_id", "season", "round", "roster_id"], []).join(done, "transaction_id").drop("transaction_id")
+        # joined first: the choice then needs no shuffle of its own
+        events = keep_first(items.join(done, "transaction_id"), ["transaction_id", "season", "round", "roster_id"], []).drop("transaction_id")
     if overrides is not None:
         moved = part(overrides, "to_team_id", "from_team_id", F.col("created").cast("bigint").alias("ts"))
         events = moved if events is None else events.unionByName(moved)
@@ -212,8 +218,10 @@ def reconstruct_pick_intervals(lifecycle: DataFrame, trades: DataFrame) -> DataF
     lineage; empty stints go.
     """
     mints = lifecycle.select("league_lineage_id", "franchise_id", "pick_id", F.col("mint_ts").alias("ts"), F.col("mint_date").cast("date").alias("date"), F.lit("add").alias("action"))
-    side = lambda f, a: trades.select("league_lineage_id", F.col(f).alias("franchise_id"), "pick_id", "ts", F.col("date").cast("date").alias("date"), F.lit(a).alias("action"))
-    stints = build_event_intervals(mints.unionByName(side("prev_franchise", "drop")).unionByName(side("new_franchise", "add")), ["league_lineage_id", "franchise_id", "pick_id"])
+    side = lambda f, a: F.struct(F.col(f).alias("franchise_id"), F.lit(a).alias("action"))
+    sides = F.inline(F.array(side("prev_franchise", "drop"), side("new_franchise", "add")))  # trades are derived once
+    moved = trades.select("league_lineage_id", "pick_id", "ts", F.col("date").cast("date").alias("date"), sides)
+    stints = build_event_intervals(mints.unionByName(moved), ["league_lineage_id", "franchise_id", "pick_id"])
     used = lifecycle.groupBy("league_lineage_id", "pick_id").agg(F.max(F.col("consume_date").cast("date")).alias("_used"))
     capped = stints.join(used, ["league_lineage_id", "pick_id"], "left").withColumn("valid_to", F.least("valid_to", "_used")).withColumn("is_current", F.col("valid_to").isNull())
     return drop_empty(capped).select("league_lineage_id", "franchise_id", "pick_id", "valid_from", "valid_to", "is_current")

@@ -467,7 +467,7 @@ SELECT *, CASE WHEN valid_from < {_ERA} THEN 'events' ELSE 'snapshots' END AS so
 def l16_ledger(spark, d):
     lineages = _lineage_map(spark, d)
     present = ledger.player_presence(derive(spark, d, ROSTER_DAYS), lineages)
-    moves = ledger.player_events(derive(spark, d, TXNS), derive(spark, d, MOVE_ITEMS), derive(spark, d, DRAFTS), derive(spark, d, DRAFT_PICKS), lineages)
+    moves = ledger.player_events(derive(spark, d, TXNS), derive(spark, d, MOVE_ITEMS), derive(spark, d, DRAFTS), derive(spark, d, DRAFT_PICKS), lineages, repeated=True)
     picks = ledger.pick_presence(derive(spark, d, DAILY), None, derive(spark, d, LEAGUES), derive(spark, d, DRAFTS))
     return ledger.assemble_ledger(present, moves, picks, ledger.reconstruct_pick_intervals(_life(spark, d), _trades(spark, d)), "2024-01-10", "2024-02-01")
 

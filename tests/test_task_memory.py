@@ -8,7 +8,8 @@ from datetime import date
 from conftest import rows
 from pyspark.sql import functions as F
 
-from stintlake.operators import measures
+from stintlake.operators import dedupe, intervals, measures
+from stintlake.plans import ledger
 
 
 def plan(df):
@@ -36,3 +37,48 @@ def test_power_index_holds_no_map_of_rows_beside_a_sort(spark):
     want = sorted(((t, lg, d, round(v, 6), int(v / best[lg, d] * 99)) for (t, lg, d), v in sums.items()), key=repr)
     assert rows(df.withColumn("adj_total", F.round("adj_total", 6)), "franchise_id", "league_lineage_id", "date", "adj_total", "power_index") == want
     assert "Aggregate" not in plan(df)
+
+
+def test_pick_intervals_derive_trades_once(spark):
+    life = spark.createDataFrame([("N", "N_1", "2026:1:1", 10, date(2024, 1, 1), None)], "league_lineage_id string, franchise_id string, pick_id string, mint_ts bigint, mint_date date, consume_date date")
+    trades = spark.range(2).selectExpr("'N' AS league_lineage_id", "'2026:1:1' AS pick_id", "concat('N_', id + 1) AS prev_franchise", "concat('N_', id + 2) AS new_franchise", "20 + id AS ts", "date_add(DATE '2024-02-01', CAST(id AS INT)) AS date")
+    df = ledger.reconstruct_pick_intervals(life, trades)
+    assert rows(df, "franchise_id", "valid_from", "valid_to") == [("N_1", date(2024, 1, 1), date(2024, 2, 1)), ("N_2", date(2024, 2, 1), date(2024, 2, 2)), ("N_3", date(2024, 2, 2), None)]
+    assert plan(df).count("Range (") == 1
+
+
+def test_trade_events_shuffle_items_once(spark):
+    items = spark.range(8).selectExpr("concat('T', id % 3) AS transaction_id", "'L' AS league_id", "'2026' AS season", "1 AS round", "id % 2 AS roster_id", "id AS owner_id", "9 AS previous_owner_id")
+    txns = spark.createDataFrame([("T0", "complete", 5), ("T1", "complete", 6), ("T1", "complete", 4), ("T2", "failed", 7)], "transaction_id string, status string, created bigint")
+    names = spark.createDataFrame([("L", "N")], "league_id string, league_lineage_id string")
+    df = ledger.pick_trade_events(items, None, None, txns, names.hint("broadcast"))
+    assert rows(df, "pick_id", "new_franchise", "ts") == [("2026:1:0", "N_0", 5), ("2026:1:0", "N_4", 4), ("2026:1:1", "N_1", 4), ("2026:1:1", "N_3", 5)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(ledger.pick_trade_events(items, None, None, txns, names.hint("broadcast")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("Exchange hashpartitioning") - text.count("Exchange hashpartitioning(league_id") == 2  # items, transactions
+
+
+def test_repeated_items_change_no_stint(spark):
+    txns = spark.createDataFrame([("T0", "complete", 5), ("T1", "complete", 900_000_000)], "transaction_id string, status string, created bigint")
+    moves = spark.createDataFrame([("T0", "L", 1, "p", "add")] * 3 + [("T1", "L", 1, "p", "drop")] * 2 + [("T1", "L", 2, "p", "add")], "transaction_id string, league_id string, roster_id bigint, player_id string, action string")
+    drafts = spark.createDataFrame([("D", "L", None, 1)], "draft_id string, league_id string, last_picked bigint, start_time bigint")
+    chosen = spark.createDataFrame([("D", 3, "q")], "draft_id string, roster_id bigint, player_id string")
+    names = spark.createDataFrame([("L", "N")], "league_id string, league_lineage_id string")
+    once, all_ = (ledger.player_events(txns, moves, drafts, chosen, names, repeated=r) for r in (False, True))
+    key = ["league_lineage_id", "franchise_id", "player_id"]
+    assert (once.count(), all_.count()) == (4, 7)
+    assert rows(intervals.build_event_intervals(all_, key)) == rows(intervals.build_event_intervals(once, key))
+
+
+def test_keyed_choice_keeps_rows_where_their_keys_are(spark):
+    df = spark.createDataFrame([(1, "b", 2.0, {"m": 1}), (1, "a", 3.0, {"m": 2}), (2, None, 1.0, None)], "k bigint, t string, x double, m map<string,int>")
+    assert rows(dedupe.keep_first(df, ["k"], []), "k", "t", "x", "m") == [(1, "a", 3.0, {"m": 2}), (2, None, 1.0, None)]
+    assert rows(dedupe.keep_last(df.drop("m"), ["k"], ["x"])) == [(1, "a", 3.0), (2, None, 1.0)]
+    zero = spark.createDataFrame([(-0.0, "z")], "x double, t string")
+    assert str(dedupe.keep_first(zero, ["x"], []).first()["x"]) == "-0.0"
+    joined = dedupe.keep_first(df.drop("m"), ["k"], []).join(spark.range(3).withColumnRenamed("id", "k").hint("merge"), "k")
+    assert plan(joined).count("Exchange hashpartitioning") == 2
