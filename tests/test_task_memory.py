@@ -8,8 +8,8 @@ from datetime import date
 from conftest import rows
 from pyspark.sql import functions as F
 
-from stintlake.operators import dedupe, intervals, measures
-from stintlake.plans import ledger
+from stintlake.operators import dedupe, flatten, intervals, measures
+from stintlake.plans import ledger, q_sources
 
 
 def plan(df):
@@ -82,3 +82,19 @@ def test_keyed_choice_keeps_rows_where_their_keys_are(spark):
     assert str(dedupe.keep_first(zero, ["x"], []).first()["x"]) == "-0.0"
     joined = dedupe.keep_first(df.drop("m"), ["k"], []).join(spark.range(3).withColumnRenamed("id", "k").hint("merge"), "k")
     assert plan(joined).count("Exchange hashpartitioning") == 2
+
+
+def test_draft_picks_are_parsed_once_and_sorted_apart_from_their_grouping(spark, tmp_path):
+    lines = [(o, n, float(o % 50), o * 7 + n, "R" if o % 2 else "N", "F", 0.01 * (o % 9)) for o in (1, 2, 501, 502, 1001) for n in (1, 2)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int, l_quantity double, l_partkey bigint, l_returnflag string, l_linestatus string, l_tax double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = q_sources.b11_draft_picks(spark, str(tmp_path))
+    assert rows(df, "draft_id", "pick_no", "player_id", "player_news_updated_iso") == [("1", 1, "7008", "2023-11-14T22:13:20+00:00"), ("1", 2, "7009", "2023-11-14T22:13:20+00:00"), ("2", 1, "3515", "2023-11-14T22:13:20+00:00"), ("2", 2, "3516", "2023-11-14T22:13:20+00:00")]
+    text = plan(df)
+    assert text.count("from_json(") == 1
+    assert [s.count("Sort [") for s in text.split("Exchange hashpartitioning")] == [1, 1, 1, 1]
+
+
+def test_parse_leaves_out_missing_documents_and_keeps_bad_ones_null(spark):
+    docs = spark.createDataFrame([(1, '{"a": "x", "b": 2}'), (2, None), (3, "no json"), (4, "{}"), (5, "")], "arrival int, doc string")
+    old = docs.select("arrival", F.from_json("doc", "a string, b bigint").alias("d")).where("d IS NOT NULL").select("arrival", "d.*")
+    assert rows(flatten.parse(docs, "a string, b bigint", ["arrival"])) == rows(old)
