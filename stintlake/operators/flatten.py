@@ -514,7 +514,9 @@ def harvest_tables(docs: DataFrame, lineage: DataFrame) -> dict[str, DataFrame]:
     """
     fields = "league_id string, season string, name string, sport string, status string, total_rosters bigint, previous_league_id string, draft_id string, bracket_id string, loser_bracket_id string, settings string, scoring_settings string, roster_positions string"
     arrays = ", ".join(f"{e} array<{_TEXT_MAP}>" for e in [*HISTORY, "winners_bracket", "losers_bracket"])
-    rows = parse(docs, f"{fields}, {arrays}").join(lineage.select("league_id", "league_lineage_id").distinct(), "league_id")
+    # without the hint the documents themselves are broadcast: by estimate a parsed one is smaller than its text, which counts as 20 bytes
+    names = lineage.select("league_id", "league_lineage_id").distinct().hint("shuffle_hash")
+    rows = parse(docs, f"{fields}, {arrays}").join(names, "league_id")
     setting = lambda k: F.get_json_object("settings", f"$.{k}").try_cast("bigint")
     head = ["league_id", "season"]
     out = {"season_meta": rows.select(*head, *[f.split()[0] for f in fields.split(", ")[2:10]], *[setting(k).alias(k) for k in ("playoff_week_start", "playoff_teams", "num_teams")], "settings", "scoring_settings", "roster_positions", "league_lineage_id")}

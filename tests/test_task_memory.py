@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 from datetime import date
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -98,3 +99,14 @@ def test_parse_leaves_out_missing_documents_and_keeps_bad_ones_null(spark):
     docs = spark.createDataFrame([(1, '{"a": "x", "b": 2}'), (2, None), (3, "no json"), (4, "{}"), (5, "")], "arrival int, doc string")
     old = docs.select("arrival", F.from_json("doc", "a string, b bigint").alias("d")).where("d IS NOT NULL").select("arrival", "d.*")
     assert rows(flatten.parse(docs, "a string, b bigint", ["arrival"])) == rows(old)
+
+
+@pytest.mark.parametrize("entity", ["draft_picks"])
+def test_harvest_broadcasts_no_documents(spark, entity):
+    key = {"transactions": "transaction_id", "users": "user_id", "drafts": "draft_id", "draft_picks": "player_id"}.get(entity, "roster_id")
+    listed = spark.range(9).groupBy((F.col("id") % 3).alias("n")).agg(F.collect_list(F.create_map(F.lit(key), "id", F.lit("week"), F.col("id") % 3)).alias(entity))
+    docs = listed.select(F.to_json(F.struct(F.concat(F.lit("L"), "n").alias("league_id"), entity)).alias("doc"))
+    lineage = spark.range(1000).selectExpr("concat('L', 1 + id % 500) AS league_id", "concat('R', id DIV 500) AS league_lineage_id")  # none of L0, two of the others
+    df = flatten.harvest_tables(docs, lineage)[entity]
+    assert rows(df, "league_id", key, "league_lineage_id") == sorted((f"L{i % 3}", str(i), f"R{r}") for i in range(9) if i % 3 for r in (0, 1))
+    assert "BroadcastExchange" not in plan(df)
