@@ -101,7 +101,7 @@ def test_parse_leaves_out_missing_documents_and_keeps_bad_ones_null(spark):
     assert rows(flatten.parse(docs, "a string, b bigint", ["arrival"])) == rows(old)
 
 
-@pytest.mark.parametrize("entity", ["draft_picks", "matchups", "drafts", "traded_picks", "rosters", "transactions"])
+@pytest.mark.parametrize("entity", ["draft_picks", "matchups", "drafts", "traded_picks", "rosters", "transactions", "users"])
 def test_harvest_broadcasts_no_documents(spark, entity):
     key = {"transactions": "transaction_id", "users": "user_id", "drafts": "draft_id", "draft_picks": "player_id"}.get(entity, "roster_id")
     listed = spark.range(9).groupBy((F.col("id") % 3).alias("n")).agg(F.collect_list(F.create_map(F.lit(key), "id", F.lit("week"), F.col("id") % 3)).alias(entity))
