@@ -286,7 +286,8 @@ def value_history(docs: DataFrame, scrape_date: str) -> DataFrame:
     """
     series = {"one_qb_value": "double", "one_qb_overall_rank": "bigint", "one_qb_pos_rank": "bigint", "sf_value": "double", "sf_overall_rank": "bigint", "sf_pos_rank": "bigint"}
     point = "array<struct<d:string,v:double>>"
-    rows = parse(docs, "player_id string, player_name string, position string, slug string, " + ", ".join(f"{s} {point}" for s in series))
+    fields = "player_id string, player_name string, position string, slug string, " + ", ".join(f"{s} {point}" for s in series)
+    rows = docs.select(F.from_json("doc", fields).alias("d")).select("d.*")  # invalid documents have no points
     ids = ["player_id", "player_name", "position", "slug"]
     # all series leave one generator, so a document is derived and parsed once
     tag = lambda s: F.coalesce(F.transform(s, lambda p, i: F.struct(F.lit(s).alias("_s"), i.alias("_i"), p.alias("_p"))), F.array())

@@ -82,6 +82,12 @@ def test_value_history_parses_a_document_once(spark):
     assert plan.count("Generate") == 1 and "Union" not in plan
 
 
+def test_value_history_of_invalid_documents_is_empty(spark):
+    texts = ['{"player_id": "p", "position": "RDP", "sf_value": [{"d": "240101", "v": 5}]}', '{"player_id": "q"}', None, "no json", "", "[]"]
+    df = flatten.value_history(spark.createDataFrame([(x,) for x in texts], "doc string"), "2024-02-01")
+    assert rows(df, "player_id", "sf_value", "one_qb_value") == [("p", 5.0, None)]
+
+
 def test_projection_pages(spark):
     good = '<table id="data"><thead><tr><th>Player</th><th>FPTS</th></tr></thead><tr><td>x</td><td>1</td></tr><tbody><tr><td><a class="fp-id-7">Al B</a> KC</td><td>1,200.5</td></tr><tr><td colspan=2>ad</td></tr></tbody></table>'
     bad = good.replace("<td>1,200.5</td>", "<td>1</td><td>2</td>")
